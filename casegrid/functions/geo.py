@@ -54,11 +54,14 @@ def _side(e: Column, lon: Column, lat: Column) -> Column:
     return (lon - e["x1"]) * (e["y2"] - e["y1"]) - (e["x2"] - e["x1"]) * (lat - e["y1"])
 
 
-def inside(edges: Column, lon: Column, lat: Column, boundary: str = "exclude") -> Column:
+def inside(
+    edges: Column, lon: Column, lat: Column, boundary: str = "exclude", crossed: Column | None = None
+) -> Column:
     """Even-odd test of a point against the edges of `polygon_edges`; holes and many parts included.
 
     ``exclude``: points on an edge are outside. ``half_open``: a point on an edge shared by two
-    polygons is inside exactly one of them.
+    polygons is inside exactly one of them. ``crossed`` tells whether the ray has crossed an odd number
+    of edges that are not in ``edges``.
     """
     if boundary not in ("exclude", "half_open"):
         raise ValueError(f"boundary must be 'exclude' or 'half_open', not {boundary!r}")
@@ -66,6 +69,8 @@ def inside(edges: Column, lon: Column, lat: Column, boundary: str = "exclude") -
         edges, lambda e: (e["y1"] <= lat) & (e["y2"] > lat) & (_side(e, lon, lat) < 0)
     )
     odd = F.size(crossings) % 2 == 1
+    if crossed is not None:
+        odd = odd != crossed
     if boundary == "half_open":
         return odd
     on_edge = F.exists(

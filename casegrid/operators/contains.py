@@ -1,9 +1,11 @@
 """Points in polygons, joined on grid cells.
 
-Every polygon is listed under the cells of its bounding box, on a grid whose cells fit its own size, so
-that it never lists more than a few dozen cells. A cell keeps only the edges that can decide about a
-point in it. A point has one cell per grid in use; the join is an equi-join on (grid, cell) with the
-even-odd test as its remaining condition.
+Every polygon is listed under the cells of its bounding box, on a grid whose cells are 1/16 to 1/4 of
+its own size, so that it never lists more than 17 x 17 cells. A listed cell keeps only the edges that
+pass through it or end beside it; edges that lie east of all of it enter as one parity bit, and cells
+outside the polygon are dropped. Points in cells inside the polygon thus need no geometry at all. A
+point has one cell per grid in use; the join is an equi-join on (grid, cell) with the even-odd test
+over the remaining edges as its condition.
 """
 
 from __future__ import annotations
@@ -13,42 +15,52 @@ from pyspark.sql import functions as F
 
 from casegrid.functions import inside, polygon_edges
 from casegrid.operators.rows import quoted
+from casegrid.operators.storage import stored
 
 CELL = ["_level", "_cx", "_cy"]
 
 
 def _cells_of(polygons: DataFrame, coordinates: str) -> DataFrame:
-    """Polygons x covered cells, with the edges that matter there; grid sizes are powers of four."""
+    """Polygons x cells, with the edges to test there and the parity of the edges further east.
+
+    Rounding is monotone, so what the corners of a cell show about an edge holds for every point in it.
+    """
     keep = [quoted(c) for c in polygons.columns if c != coordinates]
     boxed = (
         polygons.select(*keep, polygon_edges(F.col(quoted(coordinates))).alias("_edges"))
-        .select(
+        .selectExpr(
             "*",
-            F.array_min(F.transform("_edges", lambda e: F.least(e["x1"], e["x2"]))).alias("_x0"),
-            F.array_max(F.transform("_edges", lambda e: F.greatest(e["x1"], e["x2"]))).alias("_x1"),
-            F.array_min("_edges.y1").alias("_y0"),
-            F.array_max("_edges.y2").alias("_y1"),
+            "array_min(transform(_edges, e -> least(e.x1, e.x2))) AS _x0",
+            "array_max(transform(_edges, e -> greatest(e.x1, e.x2))) AS _x1",
+            "array_min(_edges.y1) AS _y0",
+            "array_max(_edges.y2) AS _y1",
+        )
+        .filter("_x1 > _x0 AND _y1 > _y0")
+        .selectExpr("*", "cast(floor(log2(greatest(_x1 - _x0, _y1 - _y0)) / 2) - 1 AS int) AS _level")
+        .selectExpr("*", "pow(4D, _level) AS _g")
+    )
+    spanning = "e.y1 <= _south AND e.y2 >= _north"
+    return (
+        boxed.selectExpr("*", "explode(sequence(floor(_x0 / _g), floor(_x1 / _g))) AS _cx")
+        .selectExpr("*", "explode(sequence(floor(_y0 / _g), floor(_y1 / _g))) AS _cy")
+        .selectExpr(
+            *[*keep, *CELL, "_g", "_edges"],
+            *["_cx * _g AS _west", "(_cx + 1) * _g AS _east", "_cy * _g AS _south", "(_cy + 1) * _g AS _north"],
         )
-        .filter((F.col("_x1") > F.col("_x0")) & (F.col("_y1") > F.col("_y0")))
-        .withColumn(
-            "_level",
-            F.floor(F.log2(F.greatest(F.col("_x1") - F.col("_x0"), F.col("_y1") - F.col("_y0"))) / 2),
+        .selectExpr(
+            *[*keep, *CELL, "_g"],
+            f"size(filter(_edges, e -> {spanning} AND {_beside('_east', '<')})) % 2 = 1 AS _crossed",
+            "filter(_edges, e -> e.y2 >= _south AND e.y1 < _north AND greatest(e.x1, e.x2) >= _west"
+            f" AND NOT ({spanning} AND ({_beside('_east', '<')} OR {_beside('_west', '>')}))) AS _edges",
         )
-        .withColumn("_g", F.pow(F.lit(4.0), F.col("_level")))
+        .filter("_crossed OR size(_edges) > 0")
     )
 
-    def covered(low: str, high: str):
-        return F.explode(F.sequence(F.floor(F.col(low) / F.col("_g")), F.floor(F.col(high) / F.col("_g"))))
 
-    celled = boxed.withColumn("_cx", covered("_x0", "_x1")).withColumn("_cy", covered("_y0", "_y1"))
-    west, south = F.col("_cx") * F.col("_g"), F.col("_cy") * F.col("_g")
-    edges = F.filter(
-        "_edges",
-        lambda e: (e["y2"] >= south)
-        & (e["y1"] <= south + F.col("_g"))
-        & (F.greatest(e["x1"], e["x2"]) >= west),
-    )
-    return celled.select(*keep, *CELL, "_g", edges.alias("_edges")).filter(F.size("_edges") > 0)
+def _beside(border: str, sign: str) -> str:
+    """Whether edge ``e`` lies strictly east (<) or west (>) of both corners on a border of the cell."""
+    corner = f"({border} - e.x1) * (e.y2 - e.y1) - (e.x2 - e.x1) * ({{}} - e.y1) {sign} 0"
+    return f"{corner.format('_south')} AND {corner.format('_north')}"
 
 
 def join_contains(
@@ -65,17 +77,17 @@ def join_contains(
     Points without coordinates and points in no polygon are left out. Polygons must not cross the
     antimeridian.
     """
-    cells = _cells_of(polygons, coordinates)
+    cells = stored(_cells_of(polygons, coordinates))
     grids = cells.select("_level", "_g").distinct().collect()  # one row per grid in use, a few
     x, y = F.col(quoted(lon)), F.col(quoted(lat))
     spots = points.filter(x.isNotNull() & y.isNotNull())
     kept = [quoted(c) for c in points.columns]
     if not grids:
-        return spots.join(cells.drop(*CELL, "_g", "_edges"), F.lit(False))
+        return spots.join(cells.drop(*CELL, "_g", "_crossed", "_edges"), F.lit(False))
     addresses = F.array(
         *[
             F.struct(
-                F.lit(grid["_level"]).alias("_level"),
+                F.lit(grid["_level"]).cast("int").alias("_level"),
                 F.floor(x / F.lit(grid["_g"])).alias("_cx"),
                 F.floor(y / F.lit(grid["_g"])).alias("_cy"),
             )
@@ -85,8 +97,8 @@ def join_contains(
     return (
         spots.select(*kept, F.inline(addresses))
         .join(cells.drop("_g"), CELL)
-        .filter(inside(F.col("_edges"), x, y, boundary))
-        .drop(*CELL, "_edges")
+        .filter(inside(F.col("_edges"), x, y, boundary, F.col("_crossed")))
+        .drop(*CELL, "_crossed", "_edges")
     )
 
 

@@ -58,9 +58,10 @@ def token_frequency(
             raise ValueError(f"join_hint must be one of {JOIN_HINTS}, not {join_hint!r}")
     code = F.col("Code")
     codes = df.select(F.explode(F.split(F.col(quoted(tokens)), " ")).alias("Code"))
-    if trim_tokens:
-        codes = codes.select(F.btrim(code, F.lit(WHITESPACE)).alias("Code"))
     counts = codes.filter(code != "").groupBy("Code").agg(F.count("*").alias("Frequency"))
+    if trim_tokens:  # once per distinct token, not per occurrence
+        trimmed = counts.select(F.btrim(code, F.lit(WHITESPACE)).alias("Code"), "Frequency")
+        counts = trimmed.filter(code != "").groupBy("Code").agg(F.sum("Frequency").alias("Frequency"))
 
     entries = dictionary.select("Code", "Description")
     if join_hint and not (join_hint == "BROADCAST" and not fits_broadcast(entries, broadcast_limit_bytes)):

@@ -12,11 +12,11 @@ from __future__ import annotations
 
 import itertools
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from casegrid.functions import EARTH_RADIUS_M, haversine, unit_vector
@@ -27,129 +27,154 @@ AXES = ("x", "y", "z")
 POINT_CELL = ("px", "py", "pz")
 SITE_CELL = ("sx", "sy", "sz")
 MAX_BITS = 24  # cells of about 0.8 m; cell arithmetic is exact in doubles and longs up to here
-STEP_BITS = 2
-DEEPER_BITS = 4
+FINER_BITS = 4  # how much finer the next tier is
 MAX_CANDIDATES = 128
+SMALL_CELLS = 50_000  # tables of at most so many cells (some 50 bytes each) are broadcast
 
 
 @dataclass(frozen=True)
 class Grid:
-    """Where refinement starts and first ends, and the site cells at its start."""
+    """Where refinement starts and first ends, and the span of site cells per axis at its start."""
 
+    n_sites: int
     first_bits: int
     leaf_bits: int
-    first_cells: list[tuple[int, int, int]]
+    spans: list[tuple[int, int]]
 
 
 def _with_axes(df: DataFrame) -> DataFrame:
     return df.withColumns(dict(zip(AXES, unit_vector(F.col("lon"), F.col("lat")))))
 
 
-def _cell(axis: Column, bits: int) -> Column:
-    """Index 0 .. 2**bits - 1 of a coordinate in [-1, 1]."""
-    index = F.floor((axis + 1) * F.lit(2.0 ** (bits - 1)))
-    return F.greatest(F.least(index, F.lit(2**bits - 1)), F.lit(0)).cast("int")
-
-
-def _cells(df: DataFrame, names: tuple[str, ...], bits: int) -> DataFrame:
-    return df.withColumns({n: _cell(F.col(a), bits) for n, a in zip(names, AXES)})
-
-
-def _coarser(df: DataFrame, names: tuple[str, ...], by: int, prefix: str = "") -> list[Column]:
-    return [F.shiftright(df[n], by).alias(prefix + n) for n in names]
+def _cell_exprs(names: tuple[str, ...], bits: int) -> list[str]:
+    """Index 0 .. 2**bits - 1 of every coordinate in [-1, 1]."""
+    scale, top = 2.0 ** (bits - 1), 2**bits - 1
+    return [
+        f"cast(greatest(least(floor(({axis} + 1) * {scale!r}D), {top}L), 0L) AS int) AS {name}"
+        for name, axis in zip(names, AXES)
+    ]
 
 
-def _sum_of_squares(columns: Iterable[Column]) -> Column:
-    return reduce(Column.__add__, [c * c for c in columns])
+def _coarser(names: tuple[str, ...], by: int, prefix: str = "") -> list[str]:
+    return [f"shiftright({n}, {by}) AS {prefix}{n}" for n in names]
 
 
 def _grid(sites: DataFrame) -> Grid | None:
-    """Start where all sites fit in two cells per axis, end at about four cells per site."""
-    bounds = sites.agg(
-        F.count("*").alias("n"),
-        *[f(a).alias(f"{name}_{a}") for a in AXES for name, f in (("lo", F.min), ("hi", F.max))],
+    """Start where the sites span eight cells per axis or fewer, end at some eight cells per site."""
+    bounds = sites.selectExpr(
+        "count(*) AS n", *[f"{f}({a}) AS {f}_{a}" for f in ("min", "max") for a in AXES]
     ).first()
-    if not bounds["n"]:
+    n = bounds["n"]
+    if not n:
         return None
-    extent = max(bounds[f"hi_{a}"] - bounds[f"lo_{a}"] for a in AXES)
-    first = 0
-    if bounds["n"] > 1 and extent > 0:
-        first = max(0, min(MAX_BITS, math.floor(math.log2(2 / extent))))
-    leaf = first if bounds["n"] == 1 else min(MAX_BITS, first + math.ceil(math.log2(bounds["n"]) / 2) + 1)
+    extent = max(bounds[f"max_{a}"] - bounds[f"min_{a}"] for a in AXES)
+    first = leaf = 0
+    if n > 1:
+        first = MAX_BITS if extent <= 0 else max(0, min(MAX_BITS, math.floor(math.log2(2 / extent)) + 2))
+        leaf = min(MAX_BITS, max(first, first + math.ceil(math.log2(n) / 2)))
 
     def index(value: float) -> int:
         return max(0, min(2**first - 1, math.floor((value + 1) * 2.0 ** (first - 1))))
 
-    spans = [range(index(bounds[f"lo_{a}"]), index(bounds[f"hi_{a}"]) + 1) for a in AXES]
-    return Grid(first, leaf, list(itertools.product(*spans)))
+    return Grid(n, first, leaf, [(index(bounds[f"min_{a}"]), index(bounds[f"max_{a}"])) for a in AXES])
+
+
+def _steps(at: int, to: int) -> list[int]:
+    """Grid sizes after ``at`` on the way to ``to``: at most three bits per step, the smaller steps last."""
+    bits = to - at
+    count = math.ceil(bits / 3)
+    sizes = [bits // count + (i < bits % count) for i in range(count)] if count else []
+    return list(itertools.accumulate(sizes, initial=at))
+
 
+class _Cells:
+    """Occupied point cells (stored once) and site cells, at any coarser grid; small ones broadcast."""
 
-def _site_cells(sites: DataFrame, bits: int) -> DataFrame:
-    return _cells(sites, SITE_CELL, bits).groupBy(*SITE_CELL).agg(F.count("*").alias("n"))
+    def __init__(self, points: DataFrame, bits: int, sites: DataFrame, grid: Grid):
+        counted = Observation()
+        occupied = points.selectExpr(*_cell_exprs(POINT_CELL, bits)).distinct()
+        self.occupied = stored(occupied.observe(counted, F.count("*").alias("n")))
+        self.bits = bits
+        self.sites = sites
+        self.few_points = (counted.get["n"] or 0) <= SMALL_CELLS
+        self.few_sites = grid.n_sites <= SMALL_CELLS
+
+    def point_cells(self, bits: int, parent: int = 0) -> DataFrame:
+        cells = self.occupied.selectExpr(*_coarser(POINT_CELL, self.bits - bits)).distinct()
+        cells = cells.selectExpr(*POINT_CELL, *_coarser(POINT_CELL, parent, "up_"))
+        return F.broadcast(cells) if self.few_points else cells
+
+    def site_cells(self, bits: int, parent: int = 0) -> DataFrame:
+        cells = self.sites.selectExpr(*_cell_exprs(SITE_CELL, bits))
+        cells = cells.groupBy(*SITE_CELL).agg(F.count("*").alias("n"))
+        cells = cells.selectExpr(*SITE_CELL, "n", *_coarser(SITE_CELL, parent, "up_"))
+        return F.broadcast(cells) if self.few_sites else cells
 
 
 def _prune(pairs: DataFrame) -> DataFrame:
-    """Per point cell, drop the site cells that cannot hold a nearest site. Whole numbers only."""
-    gaps = [F.abs(F.col(p) - F.col(s)).cast("long") for p, s in zip(POINT_CELL, SITE_CELL)]
-    by_cell = Window.partitionBy(*POINT_CELL)
+    """Per point cell, drop the site cells that cannot hold a nearest site. Whole numbers only.
+
+    ``within`` is a bound known beforehand (square of a distance, in cells); it thins out the pairs
+    before they are shuffled. ``bound`` is the one found here.
+    """
+    gaps = [f"cast(abs({p} - {s}) AS bigint)" for p, s in zip(POINT_CELL, SITE_CELL)]
+    near = " + ".join(f"greatest({g} - 1, 0L) * greatest({g} - 1, 0L)" for g in gaps)
+    far = " + ".join(f"({g} + 1) * ({g} + 1)" for g in gaps)
+    cell = ", ".join(POINT_CELL)
     return (
-        pairs.withColumns(
-            {
-                "near": _sum_of_squares(F.greatest(gap - 1, F.lit(0)) for gap in gaps),
-                "far": _sum_of_squares(gap + 1 for gap in gaps),
-            }
-        )
-        .withColumn("bound", F.min("far").over(by_cell))
-        .filter(F.col("near") <= F.col("bound"))
-        .select(*POINT_CELL, *SITE_CELL, "n")
+        pairs.selectExpr(*POINT_CELL, *SITE_CELL, "n", "within", f"{near} AS near", f"{far} AS far")
+        .filter("near <= within")
+        .selectExpr("*", f"min(far) OVER (PARTITION BY {cell}) AS bound")
+        .filter("near <= bound")
+        .select(*POINT_CELL, *SITE_CELL, "n", "bound")
     )
 
 
-def _start(occupied: DataFrame, occupied_bits: int, sites: DataFrame, grid: Grid) -> DataFrame:
-    cells = occupied.select(_coarser(occupied, POINT_CELL, occupied_bits - grid.first_bits)).distinct()
-    first = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(SITE_CELL, c)]) for c in grid.first_cells])
-    pairs = cells.select(*POINT_CELL, F.inline(first))
-    return _prune(pairs.join(_site_cells(sites, grid.first_bits), list(SITE_CELL)))
+def _start(cells: _Cells, grid: Grid) -> DataFrame:
+    pairs = cells.point_cells(grid.first_bits).selectExpr(*POINT_CELL, f"{2**62}L AS within")
+    for axis, (low, high) in zip(SITE_CELL, grid.spans):
+        pairs = pairs.selectExpr("*", f"explode(sequence({low}, {high})) AS {axis}")
+    return _prune(pairs.join(cells.site_cells(grid.first_bits), list(SITE_CELL)))
 
 
-def _descend(
-    pairs: DataFrame, occupied: DataFrame, occupied_bits: int, sites: DataFrame, at: int, to: int
-) -> DataFrame:
+def _descend(pairs: DataFrame, cells: _Cells, at: int, to: int) -> DataFrame:
     """Replace every (point cell, site cell) by the pairs of their occupied sub-cells, then prune."""
-    for low in range(at, to, STEP_BITS):
-        high = min(low + STEP_BITS, to)
-        points = occupied.select(_coarser(occupied, POINT_CELL, occupied_bits - high)).distinct()
-        points = points.select(*POINT_CELL, *_coarser(points, POINT_CELL, high - low, "up_"))
-        site_cells = _site_cells(sites, high)
-        site_cells = site_cells.select(*SITE_CELL, "n", *_coarser(site_cells, SITE_CELL, high - low, "up_"))
-        parents = pairs.select(*[F.col(n).alias("up_" + n) for n in (*POINT_CELL, *SITE_CELL)])
+    for low, high in itertools.pairwise(_steps(at, to)):
+        parents = pairs.selectExpr(
+            *[f"{n} AS up_{n}" for n in (*POINT_CELL, *SITE_CELL)], f"bound * {4 ** (high - low)}L AS within"
+        )
         pairs = _prune(
-            parents.join(points, ["up_" + n for n in POINT_CELL]).join(
-                site_cells, ["up_" + n for n in SITE_CELL]
+            parents.join(cells.point_cells(high, high - low), ["up_" + n for n in POINT_CELL]).join(
+                cells.site_cells(high, high - low), ["up_" + n for n in SITE_CELL]
             )
         )
     return pairs
 
 
 def _candidates(pairs: DataFrame, sites: DataFrame, bits: int) -> DataFrame:
-    """Per point cell, the array of site locations that can be nearest from somewhere in the cell."""
+    """Per point cell, the array of site locations that can be nearest from somewhere in the cell.
+
+    With h half the cell's diagonal: a site farther from the centre than the least such distance plus
+    2h is nearest from nowhere in the cell.
+    """
     side = 2.0 ** (1 - bits)
-    centre = [(F.col(n) + 0.5) * F.lit(side) - 1 for n in POINT_CELL]
-    to_centre = F.sqrt(_sum_of_squares(F.col(a) - c for a, c in zip(AXES, centre)))
-    slack = F.lit(side * math.sqrt(3) * (1 + 1e-9) + 1e-15)
+    slack = side * math.sqrt(3) * (1 + 1e-9) + 1e-15
+    offsets = [f"({a} - (({c} + 0.5D) * {side!r}D - 1))" for a, c in zip(AXES, POINT_CELL)]
+    to_centre = " + ".join(f"{o} * {o}" for o in offsets)
+    cell = ", ".join(POINT_CELL)
     return (
         pairs.select(*POINT_CELL, *SITE_CELL)
-        .join(_cells(sites, SITE_CELL, bits), list(SITE_CELL))
-        .withColumn("to_centre", to_centre)
-        .withColumn("least", F.min("to_centre").over(Window.partitionBy(*POINT_CELL)))
-        .filter(F.col("to_centre") <= F.col("least") + slack)
+        .join(sites.selectExpr("*", *_cell_exprs(SITE_CELL, bits)), list(SITE_CELL))
+        .selectExpr(*POINT_CELL, "lon", "lat", *AXES, f"sqrt({to_centre}) AS to_centre")
+        .selectExpr("*", f"min(to_centre) OVER (PARTITION BY {cell}) AS least")
+        .filter(f"to_centre <= least + {slack!r}D")
         .groupBy(*POINT_CELL)
-        .agg(F.collect_list(F.struct("lon", "lat")).alias("sites"))
+        .agg(F.collect_list(F.struct("lon", "lat", *AXES)).alias("sites"))
     )
 
 
 def _leaves(points: DataFrame, sites: DataFrame, max_candidates: int) -> Iterator[tuple[int, DataFrame]]:
-    """(bits, candidates) by tier; every point's cell is in exactly one tier.
+    """(bits, candidates) by tier, each stored; every point's cell is in exactly one tier.
 
     Cells that still have more than ``max_candidates`` sites in reach go on to the next, finer tier.
     At the finest tier they keep all of them.
@@ -158,25 +183,25 @@ def _leaves(points: DataFrame, sites: DataFrame, max_candidates: int) -> Iterato
     if grid is None:
         return
     bits = grid.leaf_bits
-    occupied = _cells(points, POINT_CELL, bits).select(*POINT_CELL).distinct()
-    pairs = _start(occupied, bits, sites, grid)
-    pairs = _descend(pairs, occupied, bits, sites, grid.first_bits, bits)
+    cells = _Cells(points, bits, sites, grid)
+    pairs = _descend(_start(cells, grid), cells, grid.first_bits, bits)
+    cell = ", ".join(POINT_CELL)
     while True:
-        reach = pairs.withColumn("reach", F.sum("n").over(Window.partitionBy(*POINT_CELL)))
         most = Observation()
-        reach = stored(reach.observe(most, F.max("reach").alias("most")))
-        last = (most.get["most"] or 0) <= max_candidates or bits == MAX_BITS
-        done = reach if last else reach.filter(F.col("reach") <= max_candidates)
-        yield bits, _candidates(done, sites, bits)
-        if last:
+        reach = pairs.selectExpr("*", f"sum(n) OVER (PARTITION BY {cell}) AS reach")
+        done = reach.observe(most, F.max("reach").alias("most"))
+        if bits < MAX_BITS:
+            done = done.filter(F.col("reach") <= max_candidates)
+        yield bits, stored(_candidates(done, sites, bits))
+        if bits == MAX_BITS or (most.get["most"] or 0) <= max_candidates:
             return
-        crowded = reach.filter(F.col("reach") > max_candidates).drop("reach")
-        finer = min(MAX_BITS, bits + DEEPER_BITS)
-        cells = _cells(points, POINT_CELL, bits).join(
+        crowded = stored(reach.filter(F.col("reach") > max_candidates).select(*POINT_CELL, *SITE_CELL, "bound"))
+        finer = min(MAX_BITS, bits + FINER_BITS)
+        remaining = points.selectExpr(*AXES, *_cell_exprs(POINT_CELL, bits)).join(
             crowded.select(*POINT_CELL).distinct(), list(POINT_CELL), "left_semi"
         )
-        occupied = _cells(cells.select(*AXES), POINT_CELL, finer).select(*POINT_CELL).distinct()
-        pairs = _descend(crowded, occupied, finer, sites, bits, finer)
+        cells = _Cells(remaining, finer, sites, grid)
+        pairs = _descend(crowded, cells, bits, finer)
         bits = finer
 
 
@@ -186,7 +211,7 @@ def _located(df: DataFrame, lon: str, lat: str, **others: str) -> DataFrame:
         F.col(quoted(lon)).cast("double").alias("lon"),
         F.col(quoted(lat)).cast("double").alias("lat"),
     )
-    return out.filter(F.col("lon").isNotNull() & F.col("lat").isNotNull())
+    return out.filter("lon IS NOT NULL AND lat IS NOT NULL")
 
 
 def _with_candidates(points: DataFrame, sites: DataFrame, max_candidates: int) -> DataFrame:
@@ -194,46 +219,67 @@ def _with_candidates(points: DataFrame, sites: DataFrame, max_candidates: int) -
     located = _with_axes(points)
     locations = _with_axes(sites.select("lon", "lat").distinct())
     tiers = [
-        _cells(located, POINT_CELL, bits).join(leaf, list(POINT_CELL)).select(*points.columns, "sites")
+        located.selectExpr("*", *_cell_exprs(POINT_CELL, bits))
+        .join(leaf, list(POINT_CELL))
+        .select(*located.columns, "sites")
         for bits, leaf in _leaves(located.select(*AXES), locations, max_candidates)
     ]
     if not tiers:
-        return points.select("*", F.array(F.struct("lon", "lat")).alias("sites")).filter(F.lit(False))
+        nowhere = F.array(F.struct("lon", "lat", *AXES)).alias("sites")
+        return located.select("*", nowhere).filter(F.lit(False))
     return reduce(DataFrame.unionByName, tiers)
 
 
 def _closest(candidates: DataFrame, radius_m: float) -> DataFrame:
-    """One row per point and closest location; several only where distances are equal."""
-    measured = F.transform(
-        "sites",
-        lambda s: F.struct(
-            haversine(F.col("lon"), F.col("lat"), s["lon"], s["lat"], radius_m).alias("distance_m"),
-            s["lon"].alias("site_lon"),
-            s["lat"].alias("site_lat"),
-        ),
-    )
-    rest = [c for c in candidates.columns if c != "sites"]
+    """One row per point and closest location; several only where distances are equal.
+
+    Straight-line distances, which are cheap, leave the candidates that differ from the least by no
+    more than rounding; where that is more than one, great-circle distances decide.
+    """
+    rest = [c for c in candidates.columns if c not in ("sites", *AXES)]
+    square = " + ".join(f"(s.{a} - {a}) * (s.{a} - {a})" for a in AXES)
     return (
-        candidates.select(*rest, measured.alias("measured"))
-        .select(*rest, "measured", F.array_min("measured.distance_m").alias("least"))
-        .select(*rest, F.inline(F.filter("measured", lambda m: m["distance_m"] == F.col("least"))))
+        candidates.selectExpr("*", f"transform(sites, s -> {square}) AS squares")
+        .selectExpr("*", "pow(sqrt(array_min(squares)) + 2e-15D, 2) AS bound")
+        .selectExpr(
+            *rest,
+            "CASE WHEN size(sites) = 1 THEN sites"
+            " ELSE filter(sites, (s, i) -> element_at(squares, i + 1) <= bound) END AS sites",
+        )
+        .select(
+            *rest,
+            F.inline(
+                F.when(F.size("sites") == 1, F.col("sites")).otherwise(_least(radius_m))
+            ).alias("site_lon", "site_lat", *AXES),
+        )
+        .select(*rest, "site_lon", "site_lat")
+        .withColumn(
+            "distance_m",
+            haversine(F.col("lon"), F.col("lat"), F.col("site_lon"), F.col("site_lat"), radius_m),
+        )
     )
 
 
+def _least(radius_m: float):
+    """The members of ``sites`` at the least great-circle distance."""
+
+    def distance(s):
+        return haversine(F.col("lon"), F.col("lat"), s["lon"], s["lat"], radius_m)
+
+    least = F.array_min(F.transform("sites", distance))
+    return F.filter("sites", lambda s: distance(s) == least)
+
+
 def _closest_by_rank(candidates: DataFrame, radius_m: float) -> DataFrame:
     """`_closest` by a window over one row per candidate; it shuffles by point id."""
-    distance = haversine(F.col("lon"), F.col("lat"), F.col("site.lon"), F.col("site.lat"), radius_m)
+    distance = haversine(F.col("lon"), F.col("lat"), F.col("site_lon"), F.col("site_lat"), radius_m)
     by_point = Window.partitionBy("id").orderBy("distance_m")
     return (
-        candidates.select("id", "lon", "lat", F.explode("sites").alias("site"))
-        .select(
-            "id",
-            distance.alias("distance_m"),
-            F.col("site.lon").alias("site_lon"),
-            F.col("site.lat").alias("site_lat"),
-        )
+        candidates.selectExpr("id", "lon", "lat", "explode(sites) AS s")
+        .selectExpr("id", "lon", "lat", "s.lon AS site_lon", "s.lat AS site_lat")
+        .withColumn("distance_m", distance)
         .withColumn("place", F.rank().over(by_point))
-        .filter(F.col("place") == 1)
+        .filter("place = 1")
     )
 
 
