@@ -59,9 +59,17 @@ def token_frequency(
     code = F.col("Code")
     codes = df.select(F.explode(F.split(F.col(quoted(tokens)), " ")).alias("Code"))
     counts = codes.filter(code != "").groupBy("Code").agg(F.count("*").alias("Frequency"))
-    if trim_tokens:  # once per distinct token, not per occurrence
-        trimmed = counts.select(F.btrim(code, F.lit(WHITESPACE)).alias("Code"), "Frequency")
-        counts = trimmed.filter(code != "").groupBy("Code").agg(F.sum("Frequency").alias("Frequency"))
+    if trim_tokens:
+        # Once per distinct token: as a filter on a key, "not blank" would be moved below the count
+        # and trim every occurrence, so it is one on an aggregate.
+        trimmed = F.btrim(code, F.lit(WHITESPACE)).alias("Code")
+        counts = (
+            counts.select(trimmed, "Frequency")
+            .groupBy("Code")
+            .agg(F.sum("Frequency").alias("Frequency"), F.max(F.length("Code")).alias("length"))
+            .filter("length > 0")
+            .drop("length")
+        )
 
     entries = dictionary.select("Code", "Description")
     if join_hint and not (join_hint == "BROADCAST" and not fits_broadcast(entries, broadcast_limit_bytes)):

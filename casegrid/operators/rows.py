@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,20 +21,17 @@ def union_incidents(*tables: DataFrame) -> DataFrame:
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """One row per key: the least by ``order_by``, then by the remaining columns.
 
-    A plain ``min`` over a struct, so each input partition sends at most one row per key through the
-    shuffle however many copies a key has. Select the columns you need first: all of them are compared.
+    Spark keeps only the first row of every key per input partition before the shuffle
+    (``WindowGroupLimit``), so a key with very many copies is no burden. Select the columns you need
+    first: all of them are compared.
     """
     ordered = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
     if not ordered:
         return df.distinct()
-    least = F.min(F.struct(*[F.col(quoted(c)) for c in ordered])).alias("_row")
-    picked = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(least)
-    return picked.select(
-        *[
-            F.col(quoted(c)) if c in keys else F.col(f"_row.{quoted(c)}").alias(c)
-            for c in df.columns
-        ]
+    place = F.row_number().over(
+        Window.partitionBy(*map(quoted, keys)).orderBy(*map(quoted, ordered))
     )
+    return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def valid_points(df: DataFrame, lat: str = "LAT", lon: str = "LON") -> DataFrame:
