@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Fixed value: mean radius of the sphere that distances are taken on.
 EARTH_RADIUS_M = 6_371_008.0
 
+_TESTED_IN_CODE = 2  # edges per polygon and point that `inside` tests without an array function
+
 
 def haversine(
     lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius_m: float = EARTH_RADIUS_M
@@ -61,22 +63,33 @@ def inside(
 
     ``exclude``: points on an edge are outside. ``half_open``: a point on an edge shared by two
     polygons is inside exactly one of them. ``crossed`` tells whether the ray has crossed an odd number
-    of edges that are not in ``edges``.
+    of edges that are not in ``edges``. The first edges are tested in generated code; only lists that
+    are longer go through array functions, which Spark interprets.
     """
     if boundary not in ("exclude", "half_open"):
         raise ValueError(f"boundary must be 'exclude' or 'half_open', not {boundary!r}")
-    crossings = F.filter(
-        edges, lambda e: (e["y1"] <= lat) & (e["y2"] > lat) & (_side(e, lon, lat) < 0)
-    )
-    odd = F.size(crossings) % 2 == 1
+
+    def crosses(e: Column) -> Column:
+        return (e["y1"] <= lat) & (e["y2"] > lat) & (_side(e, lon, lat) < 0)
+
+    def touches(e: Column) -> Column:
+        return (
+            lat.between(e["y1"], e["y2"])
+            & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+            & (_side(e, lon, lat) == 0)
+        )
+
+    first = [F.get(edges, F.lit(i)) for i in range(_TESTED_IN_CODE)]
+    longer = F.size(edges) > _TESTED_IN_CODE
+    further = F.filter(edges, lambda e, i: (i >= _TESTED_IN_CODE) & crosses(e))
+    odd = longer & (F.size(further) % 2 == 1)
+    for e in first:
+        odd = odd != F.coalesce(crosses(e), F.lit(False))
     if crossed is not None:
         odd = odd != crossed
     if boundary == "half_open":
         return odd
-    on_edge = F.exists(
-        edges,
-        lambda e: lat.between(e["y1"], e["y2"])
-        & lon.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & (_side(e, lon, lat) == 0),
-    )
+    on_edge = longer & F.exists(edges, touches)
+    for e in first:
+        on_edge = on_edge | F.coalesce(touches(e), F.lit(False))
     return odd & ~on_edge

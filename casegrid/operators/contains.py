@@ -1,11 +1,11 @@
 """Points in polygons, joined on grid cells.
 
 Every polygon is listed under the cells of its bounding box, on a grid whose cells are 1/16 to 1/4 of
-its own size, so that it never lists more than 17 x 17 cells. A listed cell keeps only the edges that
-pass through it or end beside it; edges that lie east of all of it enter as one parity bit, and cells
-outside the polygon are dropped. Points in cells inside the polygon thus need no geometry at all. A
-point has one cell per grid in use; the join is an equi-join on (grid, cell) with the even-odd test
-over the remaining edges as its condition.
+its own size, so that it never lists more than 17 x 17 cells. Cells that no edge touches are wholly
+inside, and are listed without edges, or wholly outside, and are dropped. Other cells keep the edges
+that pass through them or end beside them; edges that lie east of all of a cell enter as one parity
+bit. Most points thus need no geometry at all, and the others an edge or two. A point has one cell per
+grid in use; the join is an equi-join on (grid, cell) with the even-odd test as its condition.
 """
 
 from __future__ import annotations
@@ -39,28 +39,43 @@ def _cells_of(polygons: DataFrame, coordinates: str) -> DataFrame:
         .selectExpr("*", "cast(floor(log2(greatest(_x1 - _x0, _y1 - _y0)) / 2) - 1 AS int) AS _level")
         .selectExpr("*", "pow(4D, _level) AS _g")
     )
+    overlapping = (
+        "e.y2 >= _south AND e.y1 <= _north AND greatest(e.x1, e.x2) >= _west AND least(e.x1, e.x2) <= _east"
+    )
+    apart = f"({_beside('_west', '<')} AND {_east_of}) OR ({_beside('_east', '>')} AND {_west_of})"
     spanning = "e.y1 <= _south AND e.y2 >= _north"
+    listed = [*keep, *CELL, "_g"]
     return (
         boxed.selectExpr("*", "explode(sequence(floor(_x0 / _g), floor(_x1 / _g))) AS _cx")
         .selectExpr("*", "explode(sequence(floor(_y0 / _g), floor(_y1 / _g))) AS _cy")
         .selectExpr(
-            *[*keep, *CELL, "_g", "_edges"],
+            *[*listed, "_edges"],
             *["_cx * _g AS _west", "(_cx + 1) * _g AS _east", "_cy * _g AS _south", "(_cy + 1) * _g AS _north"],
         )
+        .selectExpr("*", f"exists(_edges, e -> {overlapping} AND NOT ({apart})) AS _touched")
         .selectExpr(
-            *[*keep, *CELL, "_g"],
-            f"size(filter(_edges, e -> {spanning} AND {_beside('_east', '<')})) % 2 = 1 AS _crossed",
-            "filter(_edges, e -> e.y2 >= _south AND e.y1 < _north AND greatest(e.x1, e.x2) >= _west"
-            f" AND NOT ({spanning} AND ({_beside('_east', '<')} OR {_beside('_west', '>')}))) AS _edges",
+            *listed,
+            "size(filter(_edges, e -> CASE"
+            f" WHEN _touched THEN {spanning} AND {_east_of}"
+            f" ELSE e.y1 <= _south AND e.y2 > _south AND {_corner('_west', '_south', '<')} END)) % 2 = 1 AS _crossed",
+            "filter(_edges, e -> _touched AND e.y2 >= _south AND e.y1 < _north AND greatest(e.x1, e.x2) >= _west"
+            f" AND NOT ({spanning} AND ({_east_of} OR {_west_of}))) AS _edges",
         )
         .filter("_crossed OR size(_edges) > 0")
     )
 
 
+def _corner(x: str, y: str, sign: str) -> str:
+    """Whether edge ``e``, prolonged to a line, lies east (<) or west (>) of the point (x, y)."""
+    return f"({x} - e.x1) * (e.y2 - e.y1) - (e.x2 - e.x1) * ({y} - e.y1) {sign} 0"
+
+
 def _beside(border: str, sign: str) -> str:
-    """Whether edge ``e`` lies strictly east (<) or west (>) of both corners on a border of the cell."""
-    corner = f"({border} - e.x1) * (e.y2 - e.y1) - (e.x2 - e.x1) * ({{}} - e.y1) {sign} 0"
-    return f"{corner.format('_south')} AND {corner.format('_north')}"
+    """`_corner` at both corners on a border of the cell."""
+    return f"{_corner(border, '_south', sign)} AND {_corner(border, '_north', sign)}"
+
+
+_east_of, _west_of = _beside("_east", "<"), _beside("_west", ">")
 
 
 def join_contains(
