@@ -29,6 +29,7 @@ SITE_CELL = ("sx", "sy", "sz")
 MAX_BITS = 24  # cells of about 0.8 m; cell arithmetic is exact in doubles and longs up to here
 FINER_BITS = 4  # how much finer the next tier is
 MAX_CANDIDATES = 128
+MEASURED_IN_CODE = 8
 SMALL_CELLS = 50_000  # tables of at most so many cells (some 50 bytes each) are broadcast
 
 
@@ -234,17 +235,33 @@ def _closest(candidates: DataFrame, radius_m: float) -> DataFrame:
     """One row per point and closest location; several only where distances are equal.
 
     Straight-line distances, which are cheap, leave the candidates that differ from the least by no
-    more than rounding; where that is more than one, great-circle distances decide.
+    more than rounding; where that is more than one, great-circle distances decide. Lists of up to
+    ``MEASURED_IN_CODE`` candidates are measured in generated code, longer ones by array functions.
     """
     rest = [c for c in candidates.columns if c not in ("sites", *AXES)]
-    square = " + ".join(f"(s.{a} - {a}) * (s.{a} - {a})" for a in AXES)
+    members = [f"get(sites, {i})" for i in range(MEASURED_IN_CODE)]
+    squares = [f"square{i}" for i in range(MEASURED_IN_CODE)]
+    longer = f"size(sites) > {MEASURED_IN_CODE}"
+    close = [f"coalesce({q} <= bound, false)" for q in squares]
+    only = " ".join(f"WHEN {c} THEN {m}" for c, m in zip(close, members))
     return (
-        candidates.selectExpr("*", f"transform(sites, s -> {square}) AS squares")
-        .selectExpr("*", "pow(sqrt(array_min(squares)) + 2e-15D, 2) AS bound")
+        candidates.selectExpr(
+            *rest,
+            *AXES,
+            "sites",
+            *[f"{_square(m)} AS {q}" for m, q in zip(members, squares)],
+            f"CASE WHEN {longer} THEN transform(sites, s -> {_square('s')}) END AS squares",
+        )
+        .selectExpr(
+            "*",
+            f"pow(sqrt(CASE WHEN {longer} THEN array_min(squares) ELSE least({', '.join(squares)}) END)"
+            " + 2e-15D, 2) AS bound",
+        )
         .selectExpr(
             *rest,
-            "CASE WHEN size(sites) = 1 THEN sites"
-            " ELSE filter(sites, (s, i) -> element_at(squares, i + 1) <= bound) END AS sites",
+            f"CASE WHEN {longer} THEN filter(sites, (s, i) -> element_at(squares, i + 1) <= bound)"
+            f" WHEN {' + '.join(f'int({c})' for c in close)} = 1 THEN array(CASE {only} END)"
+            f" ELSE filter(sites, s -> {_square('s')} <= bound) END AS sites",
         )
         .select(
             *rest,
@@ -260,6 +277,11 @@ def _closest(candidates: DataFrame, radius_m: float) -> DataFrame:
     )
 
 
+def _square(site: str) -> str:
+    """Square of the straight-line distance between the point and a site."""
+    return " + ".join(f"({site}.{a} - {a}) * ({site}.{a} - {a})" for a in AXES)
+
+
 def _least(radius_m: float):
     """The members of ``sites`` at the least great-circle distance."""
 
