@@ -348,11 +348,11 @@ def nearest_summary(
 ) -> DataFrame:
     """(site, count, mean_m): points nearest to each site and their mean distance, ties counted at each.
 
-    Equal points are counted first and measured once; sites at one location are measured once too, and
-    join only the finished figures of their location.
+    Equal points are counted first, in the only pass over ``points``, and measured once; sites at one
+    location are measured once too, and join only the finished figures of their location.
     """
     spots = _located(sites, site_lon, site_lat, site=site_id)
-    places = _located(points, lon, lat).groupBy("lon", "lat").agg(F.count("*").alias("n"))
+    places = stored(_located(points, lon, lat).groupBy("lon", "lat").agg(F.count("*").alias("n")))
     closest = _closest(_with_candidates(places, spots, max_candidates), radius_m)
     per_location = closest.groupBy("site_lon", "site_lat").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("distance_m")).alias("metres")

@@ -67,6 +67,13 @@ def test_nearest_equals_brute_force(spark, name):
     expected = brute_nearest(points, sites)
     found = nearest(points, sites, point_id="id", **NAMES).collect()
     assert sorted((r["id"], r["site"]) for r in found) == expected
+
+
+@pytest.mark.parametrize("name", ["hot spot", "copies", "no site"])
+def test_nearest_summary_counts_every_tie(spark, name):
+    points, sites = case(name)
+    points, sites = spark.createDataFrame(points, POINTS), spark.createDataFrame(sites, SITES)
+    expected = brute_nearest(points, sites)
     counts = {r["site"]: r["count"] for r in nearest_summary(points, sites, **NAMES).collect()}
     assert counts == {s: sum(site == s for _, site in expected) for s in {site for _, site in expected}}
 
