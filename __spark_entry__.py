@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casegrid import plans
 from casegrid.functions import DATE_PATTERN, EARTH_RADIUS_M, haversine, matches_text, parse_money, year_of
 from casegrid.operators.contains import contains_count, join_contains
 from casegrid.operators.counts import banded_count, token_frequency
@@ -140,8 +141,7 @@ FROM orders GROUP BY 1
 
 
 def q_parse_money(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts written as money text, parsed back and summed per nation; customers without a market segment's
-    first letter in A-L carry text that is no amount."""
+    """Balances written as money text, parsed back and summed per nation; machinery customers have no amount."""
     listed = table(spark, sf_dir, "customer").select(
         "c_nationkey",
         F.when(F.col("c_mktsegment") < "M", F.concat(F.lit("$"), F.format_number("c_acctbal", 2)))
@@ -508,6 +508,176 @@ UNION ALL SELECT 'bottom10', count(*), round(corr(mean, rate), 6) FROM placed WH
 """
 )
 
+# --- the analyses as a whole ----------------------------------------------------------------------------
+# Line items serve as incidents, and many of them repeat an incident number. Suppliers are descent groups,
+# codes and stations; nations are communities and regions zip codes.
+
+
+def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").withColumn("k", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    located = F.col("l_tax") > 0
+    return lines.select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("DR_NO"),
+        F.date_format("l_shipdate", DATE_PATTERN).alias("DATE OCC"),
+        F.when(F.col("l_returnflag") == "R", F.lit("ASSAULT - Aggravated Assault"))
+        .otherwise(F.lit("BURGLARY"))
+        .alias("Crm Cd Desc"),
+        (F.col("l_quantity").cast("int") * 2 - 10).alias("Vict Age"),
+        F.col("l_suppkey").cast("string").alias("Vict Descent"),
+        F.concat_ws("  ", *(F.lpad(F.col(c).cast("string"), DIGITS, "0") for c in ("l_suppkey", "l_partkey"))).alias(
+            "Mocodes"
+        ),
+        F.when(located, spread("k", 7919, LAT)).otherwise(F.lit(0.0)).alias("LAT"),
+        F.when(located, spread("k", 6151, LON)).otherwise(F.lit(0.0)).alias("LON"),
+    )
+
+
+def incidents_sql(*columns: str) -> str:
+    """WITH clause: one incident per number, the least by the given columns."""
+    return f"""
+WITH lines AS (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem),
+every AS (
+    SELECT l_orderkey || '-' || l_linenumber AS number, strftime(l_shipdate, '%Y %b %d %I:%M:%S %p') AS occurred,
+           CASE WHEN l_returnflag = 'R' THEN 'ASSAULT - Aggravated Assault' ELSE 'BURGLARY' END AS offence,
+           l_quantity::INTEGER * 2 - 10 AS age, l_suppkey::VARCHAR AS descent,
+           lpad(l_suppkey::VARCHAR, {DIGITS}, '0') || '  ' || lpad(l_partkey::VARCHAR, {DIGITS}, '0') AS codes,
+           CASE WHEN l_tax > 0 THEN {spread_sql('k', 7919, LAT)} ELSE 0 END AS lat,
+           CASE WHEN l_tax > 0 THEN {spread_sql('k', 6151, LON)} ELSE 0 END AS lon
+    FROM lines
+),
+incidents AS (
+    SELECT * EXCLUDE (place) FROM (
+        SELECT *, row_number() OVER (PARTITION BY number ORDER BY {', '.join(columns)}) AS place FROM every)
+    WHERE place = 1
+)"""
+
+
+def q_victims_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plans.victims_by_age(incidents(spark, sf_dir)).withColumnRenamed("Age Group", "age_group")
+
+
+VICTIMS_BY_AGE_SQL = f"""{incidents_sql('offence', 'age')}
+SELECT CASE WHEN age < 18 THEN 'Children' WHEN age < 25 THEN 'Young adults' WHEN age < 65 THEN 'Adults'
+            ELSE 'Seniors' END AS age_group, count(*) AS count
+FROM incidents WHERE lower(offence) LIKE '%aggravated assault%' AND age > 0 GROUP BY 1
+"""
+
+
+def q_victims_by_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    descents = table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("Vict Descent"), F.col("s_name").alias("Vict Descent Full")
+    )
+    shares = plans.victims_by_descent(incidents(spark, sf_dir), descents)
+    return shares.select(
+        F.col("year").cast("long").alias("year"),
+        F.col("Victim Descent").alias("name"),
+        F.col("#").alias("count"),
+        F.col("%").alias("percent"),
+    )
+
+
+VICTIMS_BY_DESCENT_SQL = f"""{incidents_sql('occurred', 'descent')},
+groups AS (
+    SELECT year(strptime(occurred, '%Y %b %d %I:%M:%S %p')) AS year, s_name AS name, count(*) AS count
+    FROM incidents JOIN supplier ON descent = s_suppkey::VARCHAR GROUP BY 1, 2
+),
+ranked AS (
+    SELECT *, sum(count) OVER (PARTITION BY year) AS total,
+           rank() OVER (PARTITION BY year ORDER BY count DESC) AS place
+    FROM groups
+)
+SELECT year, name, count, format('{{:,.1f}}', (count / total) * 100) AS percent FROM ranked WHERE place <= 3
+"""
+
+
+def q_method_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dictionary = parse_code_dictionary(supplier_lines(spark, sf_dir), DIGITS)
+    return _plain(plans.method_frequency(incidents(spark, sf_dir), dictionary))
+
+
+METHOD_FREQUENCY_SQL = f"""{incidents_sql('codes')},
+counts AS (
+    SELECT code, count(*) AS frequency FROM (SELECT unnest(string_split(codes, ' ')) AS code FROM incidents)
+    WHERE code <> '' GROUP BY 1
+)
+SELECT code, CASE WHEN s_suppkey IS NULL THEN 'Unknown' WHEN s_acctbal < 0 THEN '' ELSE s_name END AS description,
+       frequency
+FROM counts LEFT JOIN supplier ON code = lpad(s_suppkey::VARCHAR, {DIGITS}, '0')
+"""
+
+
+def q_nearest_station(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stations = supplier_sites(spark, sf_dir).select(F.col("s_suppkey").cast("string").alias("DIVISION"), "x", "y")
+    return plans.nearest_station(incidents(spark, sf_dir), stations).withColumnRenamed("#", "count")
+
+
+NEAREST_STATION_SQL = f"""{incidents_sql('lat', 'lon')},
+sites AS ({SUPPLIER_SITES_SQL}),
+ranked AS (
+    SELECT s_suppkey, d, rank() OVER (PARTITION BY number ORDER BY d) AS place
+    FROM (SELECT number, s_suppkey, {haversine_sql('lon', 'lat', 'x', 'y')} AS d
+          FROM incidents CROSS JOIN sites WHERE lat <> 0 AND lon <> 0)
+)
+SELECT s_suppkey::VARCHAR AS division, format('{{:,.3f}}', avg(d) / 1000) AS average_distance, count(*) AS count
+FROM ranked WHERE place = 1 GROUP BY 1
+"""
+
+
+def community_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    zips = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").cast("string").alias("Zip Code"),
+        F.concat(F.lit("$"), F.format_number(F.col("r_regionkey") * 1234 + 40000, 0)).alias("Estimated Median Income"),
+    )
+    blocks = geojson_features(nation_lines(spark, sf_dir))
+    return plans.community_rates(incidents(spark, sf_dir), blocks, parse_income(zips))
+
+
+def q_community_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return community_rates(spark, sf_dir).select(
+        F.col("COMM").alias("community"),
+        F.col("Total_Population").alias("population"),
+        rounded("Avg_Income", 4).alias("income"),
+        F.col("Total_Crimes").alias("count"),
+        rounded("Crimes_Per_Person", 9).alias("rate"),
+    )
+
+
+def q_income_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    slices = plans.income_correlations(community_rates(spark, sf_dir))
+    return slices.select("slice", "n", rounded("corr", 6).alias("corr"))
+
+
+_COMMUNITIES_SQL = f"""{incidents_sql('lat', 'lon')},
+areas AS (
+    SELECT n_name AS community, n_nationkey + 100 AS population, n_regionkey * 1234 + 40000 AS income,
+           {spread_sql('n_nationkey', 7919, LON)} AS cx, {spread_sql('n_nationkey', 104729, LAT)} AS cy,
+           0.0123::DOUBLE * (n_regionkey + 1) * (n_regionkey + 1) AS r
+    FROM nation JOIN region ON n_regionkey = r_regionkey
+),
+rates AS (
+    SELECT community, population, income, count(*) AS count, count(*) / 2.0::DOUBLE / population AS rate
+    FROM incidents JOIN areas ON abs(lon - cx) + abs(lat - cy) < r GROUP BY 1, 2, 3
+),
+placed AS (
+    SELECT *, row_number() OVER (ORDER BY income DESC, community) AS from_top,
+           row_number() OVER (ORDER BY income, community) AS from_bottom
+    FROM rates
+)
+"""
+COMMUNITY_RATES_SQL = (
+    _COMMUNITIES_SQL
+    + "SELECT community, population::BIGINT AS population, income::DOUBLE AS income, count, round(rate, 9) AS rate"
+    " FROM rates"
+)
+INCOME_CORRELATIONS_SQL = (
+    _COMMUNITIES_SQL
+    + """
+SELECT 'all' AS slice, count(*) AS n, round(corr(income, rate), 6) AS corr FROM placed
+UNION ALL SELECT 'top10', count(*), round(corr(income, rate), 6) FROM placed WHERE from_top <= 10
+UNION ALL SELECT 'bottom10', count(*), round(corr(income, rate), 6) FROM placed WHERE from_bottom <= 10
+"""
+)
+
 # --- contract -------------------------------------------------------------------------------------------
 
 _TOKENS, _TOKENS_UNKNOWN = token_sql(""), token_sql("Unknown")
@@ -547,6 +717,12 @@ _QUERIES: dict[str, tuple[Query, str]] = {
     "weighted_mean": (q_weighted_mean, WEIGHTED_MEAN_SQL),
     "rate_table": (q_rate_table, RATE_TABLE_SQL),
     "corr_slices": (q_corr_slices, CORR_SLICES_SQL),
+    "victims_by_age": (q_victims_by_age, VICTIMS_BY_AGE_SQL),
+    "victims_by_descent": (q_victims_by_descent, VICTIMS_BY_DESCENT_SQL),
+    "method_frequency": (q_method_frequency, METHOD_FREQUENCY_SQL),
+    "nearest_station": (q_nearest_station, NEAREST_STATION_SQL),
+    "community_rates": (q_community_rates, COMMUNITY_RATES_SQL),
+    "income_correlations": (q_income_correlations, INCOME_CORRELATIONS_SQL),
 }
 
 
