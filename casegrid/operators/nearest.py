@@ -26,6 +26,7 @@ from casegrid.operators.storage import stored
 AXES = ("x", "y", "z")
 POINT_CELL = ("px", "py", "pz")
 SITE_CELL = ("sx", "sy", "sz")
+SITE = ("lon", "lat", "site", *AXES)
 MAX_BITS = 24  # cells of about 0.8 m; cell arithmetic is exact in doubles and longs up to here
 FINER_BITS = 4  # how much finer the next tier is
 MAX_CANDIDATES = 128
@@ -38,6 +39,7 @@ class Grid:
     """Where refinement starts and first ends, and the span of site cells per axis at its start."""
 
     n_sites: int
+    shared: bool  # some location has several sites
     first_bits: int
     leaf_bits: int
     spans: list[tuple[int, int]]
@@ -63,7 +65,7 @@ def _coarser(names: tuple[str, ...], by: int, prefix: str = "") -> list[str]:
 def _grid(sites: DataFrame) -> Grid | None:
     """Start where the sites span eight cells per axis or fewer, end at some eight cells per site."""
     bounds = sites.selectExpr(
-        "count(*) AS n", *[f"{f}({a}) AS {f}_{a}" for f in ("min", "max") for a in AXES]
+        "count(*) AS n", "max(here) AS most", *[f"{f}({a}) AS {f}_{a}" for f in ("min", "max") for a in AXES]
     ).first()
     n = bounds["n"]
     if not n:
@@ -77,7 +79,7 @@ def _grid(sites: DataFrame) -> Grid | None:
     def index(value: float) -> int:
         return max(0, min(2**first - 1, math.floor((value + 1) * 2.0 ** (first - 1))))
 
-    return Grid(n, first, leaf, [(index(bounds[f"min_{a}"]), index(bounds[f"max_{a}"])) for a in AXES])
+    return Grid(n, bounds["most"] > 1, first, leaf, [(index(bounds[f"min_{a}"]), index(bounds[f"max_{a}"])) for a in AXES])
 
 
 def _steps(at: int, to: int) -> list[int]:
@@ -166,23 +168,22 @@ def _candidates(pairs: DataFrame, sites: DataFrame, bits: int) -> DataFrame:
     return (
         pairs.select(*POINT_CELL, *SITE_CELL)
         .join(sites.selectExpr("*", *_cell_exprs(SITE_CELL, bits)), list(SITE_CELL))
-        .selectExpr(*POINT_CELL, "lon", "lat", *AXES, f"sqrt({to_centre}) AS to_centre")
+        .selectExpr(*POINT_CELL, "lon", "lat", "site", *AXES, f"sqrt({to_centre}) AS to_centre")
         .selectExpr("*", f"min(to_centre) OVER (PARTITION BY {cell}) AS least")
         .filter(f"to_centre <= least + {slack!r}D")
         .groupBy(*POINT_CELL)
-        .agg(F.collect_list(F.struct("lon", "lat", *AXES)).alias("sites"))
+        .agg(F.collect_list(F.struct(*SITE)).alias("sites"))
     )
 
 
-def _leaves(points: DataFrame, sites: DataFrame, max_candidates: int) -> Iterator[tuple[int, DataFrame]]:
+def _leaves(
+    points: DataFrame, sites: DataFrame, grid: Grid, max_candidates: int
+) -> Iterator[tuple[int, DataFrame]]:
     """(bits, candidates) by tier, each stored; every point's cell is in exactly one tier.
 
     Cells that still have more than ``max_candidates`` sites in reach go on to the next, finer tier.
     At the finest tier they keep all of them.
     """
-    grid = _grid(sites)
-    if grid is None:
-        return
     bits = grid.leaf_bits
     cells = _Cells(points, bits, sites, grid)
     pairs = _descend(_start(cells, grid), cells, grid.first_bits, bits)
@@ -215,20 +216,26 @@ def _located(df: DataFrame, lon: str, lat: str, **others: str) -> DataFrame:
     return out.filter("lon IS NOT NULL AND lat IS NOT NULL")
 
 
-def _with_candidates(points: DataFrame, sites: DataFrame, max_candidates: int) -> DataFrame:
-    """Points with the array ``sites`` of the locations that can be nearest to them."""
+def _with_candidates(
+    points: DataFrame, sites: DataFrame, max_candidates: int
+) -> tuple[DataFrame, bool]:
+    """Points with the array ``sites`` of the locations that can be nearest to them.
+
+    The ``site`` of a location is one of its sites; the flag tells whether some location has more.
+    """
     located = _with_axes(points)
-    locations = _with_axes(sites.select("lon", "lat").distinct())
+    locations = _with_axes(sites.groupBy("lon", "lat").agg(F.count("*").alias("here"), F.min("site").alias("site")))
+    grid = _grid(locations)
+    if grid is None:
+        nowhere = F.array(F.struct("lon", "lat", F.lit(None).cast(sites.schema["site"].dataType).alias("site"), *AXES))
+        return located.select("*", nowhere.alias("sites")).filter(F.lit(False)), False
     tiers = [
         located.selectExpr("*", *_cell_exprs(POINT_CELL, bits))
         .join(leaf, list(POINT_CELL))
         .select(*located.columns, "sites")
-        for bits, leaf in _leaves(located.select(*AXES), locations, max_candidates)
+        for bits, leaf in _leaves(located.select(*AXES), locations, grid, max_candidates)
     ]
-    if not tiers:
-        nowhere = F.array(F.struct("lon", "lat", *AXES)).alias("sites")
-        return located.select("*", nowhere).filter(F.lit(False))
-    return reduce(DataFrame.unionByName, tiers)
+    return reduce(DataFrame.unionByName, tiers), grid.shared
 
 
 def _closest(candidates: DataFrame, radius_m: float) -> DataFrame:
@@ -267,9 +274,9 @@ def _closest(candidates: DataFrame, radius_m: float) -> DataFrame:
             *rest,
             F.inline(
                 F.when(F.size("sites") == 1, F.col("sites")).otherwise(_least(radius_m))
-            ).alias("site_lon", "site_lat", *AXES),
+            ).alias("site_lon", "site_lat", "site", *AXES),
         )
-        .select(*rest, "site_lon", "site_lat")
+        .select(*rest, "site_lon", "site_lat", "site")
         .withColumn(
             "distance_m",
             haversine(F.col("lon"), F.col("lat"), F.col("site_lon"), F.col("site_lat"), radius_m),
@@ -298,7 +305,7 @@ def _closest_by_rank(candidates: DataFrame, radius_m: float) -> DataFrame:
     by_point = Window.partitionBy("id").orderBy("distance_m")
     return (
         candidates.selectExpr("id", "lon", "lat", "explode(sites) AS s")
-        .selectExpr("id", "lon", "lat", "s.lon AS site_lon", "s.lat AS site_lat")
+        .selectExpr("id", "lon", "lat", "s.lon AS site_lon", "s.lat AS site_lat", "s.site AS site")
         .withColumn("distance_m", distance)
         .withColumn("place", F.rank().over(by_point))
         .filter("place = 1")
@@ -327,11 +334,12 @@ def nearest(
     if method not in ("array", "window"):
         raise ValueError(f"method must be 'array' or 'window', not {method!r}")
     spots = _located(sites, site_lon, site_lat, site=site_id)
-    candidates = _with_candidates(_located(points, lon, lat, id=point_id), spots, max_candidates)
+    candidates, shared = _with_candidates(_located(points, lon, lat, id=point_id), spots, max_candidates)
     closest = (_closest if method == "array" else _closest_by_rank)(candidates, radius_m)
-    closest = closest.select("id", "distance_m", "site_lon", "site_lat")
-    spots = spots.withColumnsRenamed({"lon": "site_lon", "lat": "site_lat"})
-    return closest.join(spots, ["site_lon", "site_lat"]).select("id", "site", "distance_m")
+    if shared:
+        spots = spots.withColumnsRenamed({"lon": "site_lon", "lat": "site_lat"})
+        closest = closest.drop("site").join(spots, ["site_lon", "site_lat"])
+    return closest.select("id", "site", "distance_m")
 
 
 def nearest_summary(
@@ -353,7 +361,8 @@ def nearest_summary(
     """
     spots = _located(sites, site_lon, site_lat, site=site_id)
     places = stored(_located(points, lon, lat).groupBy("lon", "lat").agg(F.count("*").alias("n")))
-    closest = _closest(_with_candidates(places, spots, max_candidates), radius_m)
+    candidates, _ = _with_candidates(places, spots, max_candidates)
+    closest = _closest(candidates, radius_m)
     per_location = closest.groupBy("site_lon", "site_lat").agg(
         F.sum("n").alias("n"), F.sum(F.col("n") * F.col("distance_m")).alias("metres")
     )

@@ -45,12 +45,16 @@ def read_incidents(
 
 
 def parse_code_dictionary(lines: DataFrame, digits: int = 4) -> DataFrame:
-    """Lines ``dddd description`` as (Code, Description); lines that start with no code are dropped."""
+    """Lines ``dddd description`` as (Code, Description); lines that start with no code are dropped.
+
+    A longer number gives its first digits as code, and no description.
+    """
     line = F.col(lines.columns[0])
-    return lines.select(
-        F.regexp_extract(line, rf"^(\d{{{digits}}})", 1).alias("Code"),
-        F.regexp_extract(line, rf"^\d{{{digits}}}\s+(.+)$", 1).alias("Description"),
-    ).filter(F.col("Code") != "")
+    # The patterns of a code and of a description.
+    code, description = rf"^(\d{{{digits}}})", rf"^\d{{{digits}}}\s+(.+)$"
+    return lines.filter(line.rlike(code)).select(
+        F.regexp_extract(line, code, 1).alias("Code"), F.regexp_extract(line, description, 1).alias("Description")
+    )
 
 
 def read_code_dictionary(spark: SparkSession, path: str, digits: int = 4) -> DataFrame:

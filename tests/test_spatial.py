@@ -99,6 +99,23 @@ def test_window_method_gives_the_same_rows(spark):
         nearest(points, sites, point_id="id", method="other", **NAMES)
 
 
+@pytest.mark.parametrize("name", ["city", "copies"])
+def test_nearest_without_any_broadcast(spark, monkeypatch, name):
+    monkeypatch.setattr("casegrid.operators.nearest.SMALL_CELLS", 0)
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for key in settings:
+        spark.conf.set(key, "-1")
+    try:
+        points, sites = case(name)
+        points, sites = spark.createDataFrame(points, POINTS), spark.createDataFrame(sites, SITES)
+        found = nearest(points, sites, point_id="id", **NAMES)
+        assert sorted((r["id"], r["site"]) for r in found.collect()) == brute_nearest(points, sites)
+        assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_tie_gives_a_row_per_site(spark):
     points = spark.createDataFrame([(1, 0.0, 0.0)], POINTS)
     sites = spark.createDataFrame([(1, -1.0, 0.0), (2, 1.0, 0.0), (3, 0.0, 1.5)], SITES)
