@@ -731,9 +731,20 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_banded_count(spark, "/root/testdata/sf0.001")
 
 
+# The training-data operators are a part of their own, which may be absent.
+_LLM = ("casegrid.llm", "corpus_pipeline")
+try:
+    from casegrid.llm.queries import ORACLES as _llm_oracles
+    from casegrid.llm.queries import QUERIES as _llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(_LLM):
+        raise
+    _llm_queries, _llm_oracles = {}, {}
+
+
 def queries() -> dict[str, Query]:
-    return {name: query for name, (query, _) in _QUERIES.items()}
+    return {name: query for name, (query, _) in _QUERIES.items()} | _llm_queries
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: sql for name, (_, sql) in _QUERIES.items()}
+    return {name: sql for name, (_, sql) in _QUERIES.items()} | _llm_oracles
