@@ -6,7 +6,9 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.token_files import read_token_files, write_token_files
 from casegrid.operators.storage import shared_folder
@@ -20,6 +22,46 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    items = F.array_sort(F.transform("items", lambda item: item.cast("string")))
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP2_WORDS = rf"regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, {OP2_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {OP2_WORDS} AS w FROM benchmark),
+windows AS (
+    SELECT DISTINCT item_id, n, array_to_string(w[p:p + n - 1], ' ') AS k
+    FROM (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p
+          FROM i WHERE len(w) > 0)),
+starts AS (
+    SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS k
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p
+          FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
+hits AS (SELECT doc_id, p, n, item_id FROM starts JOIN windows USING (n, k)),
+words AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+          FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hits) GROUP BY 1),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+          FROM (SELECT DISTINCT doc_id, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=1, capacity=4096)
 
@@ -32,8 +74,11 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_files": op6_token_files,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {
+    "op2_decontamination": OP2_SQL,
+}
