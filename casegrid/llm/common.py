@@ -17,7 +17,30 @@ from pyspark.sql import functions as F
 
 from casegrid.operators.rows import quoted
 
-CACHED_WORDS = 400_000
+CACHED_WORDS, CHUNK_WORDS = 400_000, 1 << 20
+
+#: Bytes of words as they are compared: digits, small ASCII letters and all of non-ASCII; the rest parts words.
+_WORD_BYTES = bytes(
+    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
+    for b in range(256)
+)
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(_WORD_BYTES).split()
+
+
+def word_chunks(texts: list[bytes | None], split=None) -> Iterator[tuple[int, list[list[bytes]]]]:
+    """(first row, words of each row) in runs of rows with about CHUNK_WORDS words."""
+    first, held, size = 0, [], 0
+    for k, text in enumerate(texts):
+        held.append((split or words_of)(text))
+        size += len(held[-1])
+        if size >= CHUNK_WORDS:
+            yield first, held
+            first, held, size = k + 1, [], 0
+    if held:
+        yield first, held
 
 
 def with_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

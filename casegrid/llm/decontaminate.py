@@ -21,22 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import with_text
+from casegrid.llm.common import with_text, word_chunks, words_of
 
-SHINGLE, SHARD_WINDOWS, CHUNK_WORDS = 3, 150_000, 1 << 20
+SHINGLE, SHARD_WINDOWS = 3, 150_000
 _ID_BITS = 21
 
-#: Bytes of words as they are compared: digits, small ASCII letters and all of non-ASCII; the rest parts words.
-_WORD_BYTES = bytes(
-    b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
-    for b in range(256)
-)
-
-
-def words_of(text: bytes | None) -> list[bytes]:
-    return (text or b"").translate(_WORD_BYTES).split()
-
-
 def item_windows(benchmark: DataFrame, window: int, item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item_id, words): the distinct windows of every item; a shorter item is one window, an empty one none."""
 
@@ -108,19 +97,6 @@ def _places(ids: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return at, shingle_codes(np.stack([ids[at + k] for k in range(size)], axis=-1))
 
 
-def _chunks(texts: list[bytes | None]) -> Iterator[tuple[int, list[list[bytes]]]]:
-    """Documents' words in runs of about CHUNK_WORDS."""
-    first, held, size = 0, [], 0
-    for k, text in enumerate(texts):
-        held.append(words_of(text))
-        size += len(held[-1])
-        if size >= CHUNK_WORDS:
-            yield first, held
-            first, held, size = k + 1, [], 0
-    if held:
-        yield first, held
-
-
 def _flat(index: WindowIndex, docs: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     """Word numbers of all documents with a 0 after each, and the documents' starts."""
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
@@ -137,7 +113,7 @@ def _count_shingles(docs: DataFrame, index: WindowIndex) -> dict[int, np.ndarray
         index = shared.value
         counts = {size: np.zeros(len(codes), np.int64) for size, codes in index.vocabulary.items()}
         for batch in batches:
-            for _, held in _chunks(batch.column("text").to_pylist()):
+            for _, held in word_chunks(batch.column("text").to_pylist()):
                 ids, _ = _flat(index, held)
                 for size, vocabulary in index.vocabulary.items():
                     codes = _places(ids, size)[1]
@@ -188,7 +164,7 @@ def _matched(docs: DataFrame, index: WindowIndex) -> DataFrame:
         index = shared.value
         for batch in batches:
             n_words, spans, items = [], [], []
-            for _, held in _chunks(batch.column("text").to_pylist()):
+            for _, held in word_chunks(batch.column("text").to_pylist()):
                 ids, starts = _flat(index, held)
                 edges = np.zeros(len(ids) + 1, np.int64)
                 own: list[set] = [set() for _ in held]

@@ -5,12 +5,13 @@ from __future__ import annotations
 import uuid
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.token_files import read_token_files, write_token_files
+from casegrid.llm.toxicity import fit_toxicity, score_toxicity
 from casegrid.operators.storage import shared_folder
 
 
@@ -62,6 +63,22 @@ FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def remainder(modulus: int) -> Column:
+    return F.crc32(F.col("id").cast("string")) % modulus
+
+
+def with_decision(scores: DataFrame, held_out: Column, threshold: float) -> DataFrame:
+    return scores.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"), usable=remainder(4) != 2)
+    return with_decision(score_toxicity(docs, model), F.crc32(F.col("doc_id").cast("string")) % 4 == 2, 0.3)
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=1, capacity=4096)
 
@@ -75,6 +92,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_files": op6_token_files,
 }
