@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.packing import best_fit_packing
+from casegrid.llm.quality import fit_quality, score_quality
 from casegrid.llm.token_files import read_token_files, write_token_files
 from casegrid.llm.toxicity import fit_toxicity, score_toxicity
 from casegrid.operators.storage import shared_folder
@@ -90,11 +91,18 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = fit_quality(docs, table(spark, sf_dir, "labels"), usable=remainder(3) != 1)
+    return with_decision(score_quality(docs, model), F.crc32(F.col("doc_id").cast("string")) % 3 == 1, 0.5)
+
+
 QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_files": op6_token_files,
+    "op9_quality": op9_quality,
 }
 
 ORACLES = {
