@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from casegrid.llm.chat import formatted_and_read
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.quality import fit_quality, score_quality
@@ -91,6 +92,32 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, path, with_ids=False)
 
 
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    added = spark.range(2).select(F.lit(-1).alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(CONTROL_TEXT).alias("text"))
+    return formatted_and_read(turns.unionByName(added))
+
+
+OP7_SQL = rf"""
+WITH turns AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+    UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')),
+sized AS (
+    SELECT *, 10 + length(role) + length(t)
+        + length(regexp_replace(role || t, '[^<|\[\\]', '', 'g')) AS chars FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn, role, t)) AS turns_sha256,
+       coalesce(sum(length(t)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn, role, t) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(chars)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id
+"""
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_quality(docs, table(spark, sf_dir, "labels"), usable=remainder(3) != 1)
@@ -102,9 +129,11 @@ QUERIES = {
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_files": op6_token_files,
+    "op7_chat_format": op7_chat_format,
     "op9_quality": op9_quality,
 }
 
 ORACLES = {
     "op2_decontamination": OP2_SQL,
+    "op7_chat_format": OP7_SQL,
 }
