@@ -14,6 +14,7 @@ from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.quality import fit_quality, score_quality
 from casegrid.llm.token_files import read_token_files, write_token_files
 from casegrid.llm.toxicity import fit_toxicity, score_toxicity
+from casegrid.llm.url_filter import KEPT_SHARE, PRIOR_PAGES, REJECT_AT, judge_urls
 from casegrid.operators.storage import shared_folder
 
 
@@ -25,6 +26,74 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+RULES = (
+    ("org/", "allow"),
+    ("example.org/es/", "block"),
+    ("example.org/en/1", "block"),
+    ("com/fr/", "allow"),
+    ("com/de/", "block"),
+)
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def _rule_rows_sql() -> str:
+    split = [(rule, *rule.partition("/"), verdict) for rule, verdict in RULES]
+    return ", ".join(f"('{rule}', '{host}', '{slash}{path}', '{verdict}')" for rule, host, slash, path, verdict in split)
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP1_SQL = rf"""
+WITH rules(rule, of_host, of_path, verdict) AS (VALUES {_rule_rows_sql()}),
+rest AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+urls AS (SELECT page_id, translate(regexp_extract(r, '^([^/?#]*)', 1), '{_UPPER}', '{_LOWER}') AS host,
+                regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path FROM rest),
+paths AS (SELECT host, path, count(*) AS n FROM urls GROUP BY ALL),
+given AS (SELECT host, path, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS given
+          FROM paths JOIN rules ON (host = of_host OR ends_with(host, '.' || of_host)) AND starts_with(path, of_path)
+          GROUP BY ALL),
+cut AS (SELECT host, path, n, string_split(regexp_replace(path, '^/', ''), '/') AS s FROM paths),
+spread AS (SELECT host, path, n, i - 1 AS place, s[i] AS segment, regexp_replace(s[i], '[0-9]+', '#', 'g') AS shape,
+                  regexp_replace(array_to_string(s[1:i - 1], '/'), '[0-9]+', '#', 'g') AS node
+           FROM (SELECT *, unnest(range(1, len(s) + 1)) AS i FROM cut)),
+general AS (
+    SELECT host, path, place,
+           CASE WHEN sum(n) OVER (PARTITION BY host, node, segment) * {KEPT_SHARE} >= sum(n) OVER (PARTITION BY host, node)
+                THEN segment
+                WHEN contains(shape, '#') AND sum(n) OVER (PARTITION BY host, node, shape) * {KEPT_SHARE}
+                     >= sum(n) OVER (PARTITION BY host, node) THEN shape
+                ELSE '*' END AS g
+    FROM spread),
+parts AS (SELECT host, path, list(g ORDER BY place) AS g FROM general GROUP BY ALL),
+found AS (SELECT host, path, len(g) AS depth, array_to_string(g[1:len(g) - 1], '/') AS branch, g[len(g)] AS leaf,
+                 n, rule, given
+          FROM parts JOIN paths USING (host, path) LEFT JOIN given USING (host, path)),
+leaves AS (SELECT host, depth, branch, leaf, sum(n)::BIGINT AS n,
+                  coalesce(sum(n) FILTER (given IS NOT NULL), 0)::BIGINT AS labelled,
+                  coalesce(sum(n) FILTER (given = 'block'), 0)::BIGINT AS blocked FROM found GROUP BY ALL),
+shares AS (SELECT *, (n * 8 + of_branch) // (of_branch * 2) AS quarters
+           FROM (SELECT *, (sum(n) OVER (PARTITION BY host, depth, branch))::BIGINT AS of_branch FROM leaves)),
+signatures AS (SELECT host, depth, branch,
+                      coalesce(list((leaf, quarters) ORDER BY leaf) FILTER (quarters > 0), [])::VARCHAR AS signature
+               FROM shares GROUP BY ALL),
+merged AS (SELECT host, depth, branch, min(branch) OVER (PARTITION BY host, depth, signature) AS merged FROM signatures),
+hosts AS (SELECT host, (sum(blocked)::BIGINT + {PRIOR_PAGES}::DOUBLE * 0.5::DOUBLE)
+                       / (sum(labelled)::BIGINT + {PRIOR_PAGES}::DOUBLE) AS prior FROM leaves GROUP BY 1),
+pure AS (SELECT host, depth, merged, leaf, sum(labelled)::BIGINT AS labelled, sum(blocked)::BIGINT AS blocked
+         FROM leaves JOIN merged USING (host, depth, branch) GROUP BY ALL),
+judged AS (SELECT f.host, f.path, f.rule, coalesce(f.given, CASE
+                  WHEN (p.blocked + h.prior * {PRIOR_PAGES}::DOUBLE) / (p.labelled + {PRIOR_PAGES}::DOUBLE) >= {REJECT_AT}::DOUBLE
+                  THEN 'block' ELSE 'allow' END) AS verdict
+           FROM found f JOIN merged m USING (host, depth, branch)
+           JOIN pure p ON p.host = f.host AND p.depth = f.depth AND p.merged = m.merged AND p.leaf = f.leaf
+           JOIN hosts h ON h.host = f.host)
+SELECT page_id, host, path, rule, verdict FROM urls JOIN judged USING (host, path)
+"""
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
@@ -125,6 +194,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
@@ -134,6 +204,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_url_filter": OP1_SQL,
     "op2_decontamination": OP2_SQL,
     "op7_chat_format": OP7_SQL,
 }
