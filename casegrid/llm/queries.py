@@ -12,6 +12,7 @@ from casegrid.llm.chat import formatted_and_read
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.quality import fit_quality, score_quality
+from casegrid.llm.substring import remove_repeated
 from casegrid.llm.token_files import read_token_files, write_token_files
 from casegrid.llm.toxicity import fit_toxicity, score_toxicity
 from casegrid.llm.url_filter import KEPT_SHARE, PRIOR_PAGES, REJECT_AT, judge_urls
@@ -187,6 +188,28 @@ FROM sized GROUP BY conv_id
 """
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeated(table(spark, sf_dir, "documents"), least=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP8_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS k
+            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS p FROM d WHERE len(w) >= 50)),
+firsts AS (SELECT k, min(doc_id) AS first FROM windows GROUP BY k),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 50)) AS q
+         FROM windows JOIN firsts USING (k) WHERE first < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS q FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY q) AS text
+         FROM words ANTI JOIN gone USING (doc_id, q) GROUP BY 1),
+counts AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = fit_quality(docs, table(spark, sf_dir, "labels"), usable=remainder(3) != 1)
@@ -200,6 +223,7 @@ QUERIES = {
     "op4_best_fit_packing": op4_best_fit_packing,
     "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
 }
 
@@ -207,4 +231,5 @@ ORACLES = {
     "op1_url_filter": OP1_SQL,
     "op2_decontamination": OP2_SQL,
     "op7_chat_format": OP7_SQL,
+    "op8_substring_dedup": OP8_SQL,
 }
