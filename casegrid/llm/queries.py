@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from casegrid.llm.chat import formatted_and_read
 from casegrid.llm.decontaminate import find_contamination
+from casegrid.llm.jaccard import jaccard_components
 from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.quality import fit_quality, score_quality
 from casegrid.llm.substring import remove_repeated
@@ -216,6 +217,27 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_decision(score_quality(docs, model), F.crc32(F.col("doc_id").cast("string")) % 3 == 1, 0.5)
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+OP10_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS MATERIALIZED (
+    SELECT DISTINCT doc_id, hash(array_to_string(w[p:p + least(3, len(w)) - 1], ' ')) AS k
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(3, len(w)) + 2)) AS p FROM d WHERE len(w) > 0)),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+links AS MATERIALIZED (
+    SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS o
+                      FROM s x JOIN s y ON x.k = y.k AND x.doc_id <> y.doc_id GROUP BY ALL)
+    JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b WHERE 100 * o >= 90 * (p.n + q.n - o)),
+reached AS (SELECT doc_id AS a, doc_id AS c FROM documents
+            UNION SELECT reached.a, links.b FROM reached JOIN links ON links.a = reached.c)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, c AS component_id
+FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(c) AS c FROM reached GROUP BY 1) USING (doc_id)
+"""
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
@@ -225,6 +247,7 @@ QUERIES = {
     "op7_chat_format": op7_chat_format,
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLES = {
@@ -232,4 +255,5 @@ ORACLES = {
     "op2_decontamination": OP2_SQL,
     "op7_chat_format": OP7_SQL,
     "op8_substring_dedup": OP8_SQL,
+    "op10_jaccard_join": OP10_SQL,
 }
