@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from casegrid.llm.chat import formatted_and_read
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.jaccard import jaccard_components
+from casegrid.llm.neighbours import nearest_neighbours
 from casegrid.llm.packing import best_fit_packing
 from casegrid.llm.quality import fit_quality, score_quality
 from casegrid.llm.substring import remove_repeated
@@ -156,6 +157,10 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=1, capacity=4096)
 
 
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("node") % 20 == 0, k=20)
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = f"{shared_folder(docs)}/casegrid-{uuid.uuid4()}"
@@ -243,6 +248,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_nearest_neighbours": op5_nearest_neighbours,
     "op6_token_files": op6_token_files,
     "op7_chat_format": op7_chat_format,
     "op8_substring_dedup": op8_substring_dedup,
