@@ -296,7 +296,7 @@ def repeated_passages(rows: DataFrame, least: int, shard_contexts: int = SHARD_C
     return whole.union(partial)
 
 
-_OUT = "doc_id long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, text binary"
+_OUT = "doc_id long, row long, n_words long, n_removed long, spans array<struct<start:int,end:int>>, text binary"
 _SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -307,7 +307,7 @@ def remove_repeated(
     text_col: str = "text",
     shard_contexts: int = SHARD_CONTEXTS,
 ) -> DataFrame:
-    """(doc_id, n_words, n_removed, spans, text) of every row.
+    """(doc_id, row, n_words, n_removed, spans, text) of every row; ``row`` is Spark's xxhash64 of the text's bytes.
 
     ``spans`` are the maximal removed stretches [start, end) of words, ``text`` the other words joined by one space
     each. Windows are judged on the input. NULL and empty texts have no words. Rows with a NULL id neither lose
@@ -322,7 +322,7 @@ def remove_repeated(
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_words, n_removed, out, kept = [], [], [], []
-            for text, spans in zip(batch.column(1), batch.column(2).to_pylist()):
+            for text, spans in zip(batch.column(2), batch.column(3).to_pylist()):
                 words = words_of(text.as_py())
                 edges = np.zeros(len(words) + 1, np.int64)
                 for span in spans or ():
@@ -335,8 +335,8 @@ def remove_repeated(
                 out.append([{"start": a, "end": b} for a, b in zip(turns[::2].tolist(), turns[1::2].tolist())])
                 kept.append(b" ".join([w for w, g in zip(words, gone.tolist()) if not g] if n_removed[-1] else words))
             arrays = [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(out, _SPANS), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], names=["doc_id", "n_words", "n_removed", "spans", "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["doc_id", "row", "n_words", "n_removed", "spans", "text"])
 
     joined = rows.join(per_row, rows["id"].eqNullSafe(per_row["id"]) & rows["row"].eqNullSafe(per_row["row"]), "left")
-    found = joined.select(rows["id"], rows["text"], "spans").mapInArrow(removed, _OUT)
+    found = joined.select(rows["id"], rows["row"], rows["text"], "spans").mapInArrow(removed, _OUT)
     return found.withColumn("text", F.col("text").cast("string"))
