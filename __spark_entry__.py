@@ -736,6 +736,11 @@ _LLM = ("casegrid.llm", "corpus_pipeline")
 try:
     from casegrid.llm.queries import ORACLES as _llm_oracles
     from casegrid.llm.queries import QUERIES as _llm_queries
+    from corpus_pipeline import ORACLE_SQL as _pipeline_oracle
+    from corpus_pipeline import run as _pipeline
+
+    _llm_queries = {**_llm_queries, "pipeline": _pipeline}
+    _llm_oracles = {**_llm_oracles, **({"pipeline": _pipeline_oracle} if _pipeline_oracle else {})}
 except ModuleNotFoundError as missing:
     if not (missing.name or "").startswith(_LLM):
         raise
