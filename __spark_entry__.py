@@ -113,7 +113,7 @@ def q_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DEDUP_SQL = """
 SELECT * EXCLUDE (place) FROM (
-    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate NULLS FIRST,
+    SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate,
         l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) AS place
     FROM lineitem)
 WHERE place = 1
@@ -232,24 +232,19 @@ FROM counts c LEFT JOIN entries e ON c.code = e.code
 
 
 def q_code_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Four-digit codes of supplier lines; suppliers in debt have a line without a leading code."""
-    code = F.lpad(F.col("s_suppkey").cast("string"), 4, "0")
+    """Codes of supplier lines; suppliers in debt have a line without a leading code."""
+    code = F.lpad(F.col("s_suppkey").cast("string"), DIGITS, "0")
     lead = F.when(F.col("s_acctbal") < 0, F.lit("- ")).otherwise(F.lit(""))
     lines = table(spark, sf_dir, "supplier").select(
         F.concat(lead, code, F.lit("\t"), F.col("s_name")).alias("value")
     )
-    return parse_code_dictionary(lines).select(
+    return parse_code_dictionary(lines, DIGITS).select(
         F.col("Code").alias("code"), F.col("Description").alias("description")
     )
 
 
-CODE_DICTIONARY_SQL = r"""
-WITH lines AS (
-    SELECT CASE WHEN s_acctbal < 0 THEN '- ' ELSE '' END || lpad(s_suppkey::VARCHAR, 4, '0') || chr(9) || s_name AS line
-    FROM supplier
-)
-SELECT regexp_extract(line, '^(\d{4})', 1) AS code, regexp_extract(line, '^\d{4}\s+(.+)$', 1) AS description
-FROM lines WHERE regexp_matches(line, '^\d{4}')
+CODE_DICTIONARY_SQL = f"""
+SELECT lpad(s_suppkey::VARCHAR, {DIGITS}, '0') AS code, s_name AS description FROM supplier WHERE s_acctbal >= 0
 """
 
 # --- shares -------------------------------------------------------------------------------------------
@@ -292,11 +287,14 @@ SELECT year, name, count, format('{:,.1f}', (count / total) * 100) AS percent FR
 
 
 def q_valid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in debt have longitude 0, those of one market segment have no latitude."""
+    """Customers in debt have longitude 0, those of one market segment have no latitude, some nations have none
+    that is a number, is finite or is in range."""
+    wrong = F.when(F.col("c_nationkey") == 3, F.lit(float("nan"))).when(F.col("c_nationkey") == 7, F.lit(float("inf")))
+    wrong = wrong.when(F.col("c_nationkey") == 11, F.lit(91.0)).otherwise(spread("c_custkey", 6151, LAT))
     customers = table(spark, sf_dir, "customer").select(
         "c_custkey",
         F.when(F.col("c_acctbal") < 0, F.lit(0.0)).otherwise(spread("c_custkey", 7919, LON)).alias("lon"),
-        F.when(F.col("c_mktsegment") != "MACHINERY", spread("c_custkey", 6151, LAT)).alias("lat"),
+        F.when(F.col("c_mktsegment") != "MACHINERY", wrong).alias("lat"),
     )
     return valid_points(customers, "lat", "lon").select(
         "c_custkey", rounded("lon", 9).alias("lon"), rounded("lat", 9).alias("lat")
@@ -306,7 +304,7 @@ def q_valid_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 VALID_POINTS_SQL = f"""
 SELECT c_custkey, round({spread_sql('c_custkey', 7919, LON)}, 9) AS lon,
        round({spread_sql('c_custkey', 6151, LAT)}, 9) AS lat
-FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'MACHINERY'
+FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'MACHINERY' AND c_nationkey NOT IN (3, 7, 11)
 """
 
 
@@ -514,6 +512,18 @@ UNION ALL SELECT 'bottom10', count(*), round(corr(mean, rate), 6) FROM placed WH
 
 
 def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as incidents; many have a further copy that lacks something: NULL fields, a place of zeros, of NaN."""
+    whole = recorded(spark, sf_dir)
+    number = F.xxhash64("DR_NO") % 3
+    blank = whole.filter(number == 0).withColumns(
+        {"Vict Age": F.lit(None).cast("int"), "Mocodes": F.lit(None).cast("string"), "Crm Cd Desc": F.lit("")}
+    )
+    zero = whole.filter(number == 1).withColumns({"LAT": F.lit(0.0), "LON": F.lit(0.0), "DATE OCC": F.lit(None).cast("string")})
+    nowhere = whole.filter(number == 2).withColumns({"LAT": F.lit(float("nan")), "Vict Descent": F.lit(None).cast("string")})
+    return union_incidents(blank, nowhere, whole, zero)
+
+
+def recorded(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").withColumn("k", F.col("l_orderkey") * 8 + F.col("l_linenumber"))
     located = F.col("l_tax") > 0
     return lines.select(
@@ -532,8 +542,10 @@ def incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def incidents_sql(*columns: str) -> str:
-    """WITH clause: one incident per number, the least by the given columns."""
+def incidents_sql() -> str:
+    """WITH clause: one incident per number, a located one if there is one, then the first by its fields.
+
+    The copies that lack more than a place never win, so they do not occur here at all."""
     return f"""
 WITH lines AS (SELECT *, l_orderkey * 8 + l_linenumber AS k FROM lineitem),
 every AS (
@@ -546,9 +558,11 @@ every AS (
     FROM lines
 ),
 incidents AS (
-    SELECT * EXCLUDE (place) FROM (
-        SELECT *, row_number() OVER (PARTITION BY number ORDER BY {', '.join(columns)}) AS place FROM every)
-    WHERE place = 1
+    SELECT number, kept.* FROM (
+        SELECT number, arg_min((occurred, offence, age, descent, codes, lat, lon)::STRUCT(
+                   occurred VARCHAR, offence VARCHAR, age INTEGER, descent VARCHAR, codes VARCHAR, lat DOUBLE, lon DOUBLE),
+                   (lat = 0, occurred, offence, age, descent, codes, lat, lon)) AS kept
+        FROM every GROUP BY number)
 )"""
 
 
@@ -556,7 +570,7 @@ def q_victims_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.victims_by_age(incidents(spark, sf_dir)).withColumnRenamed("Age Group", "age_group")
 
 
-VICTIMS_BY_AGE_SQL = f"""{incidents_sql('offence', 'age')}
+VICTIMS_BY_AGE_SQL = f"""{incidents_sql()}
 SELECT CASE WHEN age < 18 THEN 'Children' WHEN age < 25 THEN 'Young adults' WHEN age < 65 THEN 'Adults'
             ELSE 'Seniors' END AS age_group, count(*) AS count
 FROM incidents WHERE lower(offence) LIKE '%aggravated assault%' AND age > 0 GROUP BY 1
@@ -576,7 +590,7 @@ def q_victims_by_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-VICTIMS_BY_DESCENT_SQL = f"""{incidents_sql('occurred', 'descent')},
+VICTIMS_BY_DESCENT_SQL = f"""{incidents_sql()},
 groups AS (
     SELECT year(strptime(occurred, '%Y %b %d %I:%M:%S %p')) AS year, s_name AS name, count(*) AS count
     FROM incidents JOIN supplier ON descent = s_suppkey::VARCHAR GROUP BY 1, 2
@@ -595,7 +609,7 @@ def q_method_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(plans.method_frequency(incidents(spark, sf_dir), dictionary))
 
 
-METHOD_FREQUENCY_SQL = f"""{incidents_sql('codes')},
+METHOD_FREQUENCY_SQL = f"""{incidents_sql()},
 counts AS (
     SELECT code, count(*) AS frequency FROM (SELECT unnest(string_split(codes, ' ')) AS code FROM incidents)
     WHERE code <> '' GROUP BY 1
@@ -611,7 +625,7 @@ def q_nearest_station(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plans.nearest_station(incidents(spark, sf_dir), stations).withColumnRenamed("#", "count")
 
 
-NEAREST_STATION_SQL = f"""{incidents_sql('lat', 'lon')},
+NEAREST_STATION_SQL = f"""{incidents_sql()},
 sites AS ({SUPPLIER_SITES_SQL}),
 ranked AS (
     SELECT s_suppkey, d, rank() OVER (PARTITION BY number ORDER BY d) AS place
@@ -647,7 +661,7 @@ def q_income_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return slices.select("slice", "n", rounded("corr", 6).alias("corr"))
 
 
-_COMMUNITIES_SQL = f"""{incidents_sql('lat', 'lon')},
+_COMMUNITIES_SQL = f"""{incidents_sql()},
 areas AS (
     SELECT n_name AS community, n_nationkey + 100 AS population, n_regionkey * 1234 + 40000 AS income,
            {spread_sql('n_nationkey', 7919, LON)} AS cx, {spread_sql('n_nationkey', 104729, LAT)} AS cy,

@@ -2,6 +2,7 @@ from casegrid.functions.geo import (
     EARTH_RADIUS_M,
     haversine,
     inside,
+    on_earth,
     polygon_edges,
     unit_vector,
 )
@@ -26,6 +27,7 @@ __all__ = [
     "haversine",
     "inside",
     "matches_text",
+    "on_earth",
     "parse_money",
     "polygon_edges",
     "unit_vector",

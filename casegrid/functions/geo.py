@@ -21,6 +21,11 @@ def haversine(
     return F.lit(2 * radius_m) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
 
 
+def on_earth(lon: Column, lat: Column) -> Column:
+    """Whether both coordinates are there, finite and in range. NaN compares as larger than any number."""
+    return F.coalesce((F.abs(lat) <= 90.0) & (F.abs(lon) <= 360.0), F.lit(False))
+
+
 def unit_vector(lon: Column, lat: Column) -> tuple[Column, Column, Column]:
     """The point on the unit sphere; straight-line distance there orders like great-circle distance."""
     flat = F.cos(F.radians(lat))

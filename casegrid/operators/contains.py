@@ -1,11 +1,13 @@
 """Points in polygons, joined on grid cells.
 
-Every polygon is listed under the cells of its bounding box, on a grid whose cells are 1/16 to 1/4 of
-its own size, so that it never lists more than 17 x 17 cells. Cells that no edge touches are wholly
-inside, and are listed without edges, or wholly outside, and are dropped. Other cells keep the edges
-that pass through them or end beside them; edges that lie east of all of a cell enter as one parity
-bit. Most points thus need no geometry at all, and the others an edge or two. A point has one cell per
-grid in use; the join is an equi-join on (grid, cell) with the even-odd test as its condition.
+Every polygon picks a grid whose cells are 1/16 to 1/4 of its own size, so that it lists at most 17 x 17 cells.
+Each of its edges names the cells it can matter to: those of its rows that it passes through or lies east
+of. Grouped by cell, the edges show whether the cell is wholly inside (listed without edges), wholly
+outside (dropped) or cut; a cut cell keeps the edges that pass through it or end beside it, and those that
+lie east of all of it as one parity bit. Cells that keep many edges are divided into 4 x 4 finer ones by the
+same rule, so the edges that a point is tested against stay few however many vertices a polygon has. The
+work grows with the edges, which are spread over all tasks. A point has one cell per grid in use; the join is
+an equi-join on (grid, cell) with the even-odd test as its condition.
 """
 
 from __future__ import annotations
@@ -13,69 +15,139 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.functions import inside, polygon_edges
+from casegrid.functions import inside, on_earth, polygon_edges
 from casegrid.operators.rows import quoted
 from casegrid.operators.storage import stored
 
 CELL = ["_level", "_cx", "_cy"]
+#: A cell with more edges is divided, at most so many times.
+MANY_EDGES, MAX_DIVISIONS = 48, 6
 
+_EDGE = "struct<x1:double,y1:double,x2:double,y2:double>"
 
-def _cells_of(polygons: DataFrame, coordinates: str) -> DataFrame:
-    """Polygons x cells, with the edges to test there and the parity of the edges further east.
 
-    Rounding is monotone, so what the corners of a cell show about an edge holds for every point in it.
-    """
+def _corner(x: str, y: str, sign: str) -> str:
+    """Whether edge ``e``, prolonged to a line, lies east (<) or west (>) of the point (x, y)."""
+    return f"({x} - e.x1) * (e.y2 - e.y1) - (e.x2 - e.x1) * ({y} - e.y1) {sign} 0"
+
+
+def _beside(border: str, sign: str) -> str:
+    """`_corner` at both corners on a border of the cell."""
+    return f"{_corner(border, '_south', sign)} AND {_corner(border, '_north', sign)}"
+
+
+def _boxed(polygons: DataFrame, coordinates: str) -> DataFrame:
+    """Polygons with a number, their edges, box and grid; stored, so that the numbers stay."""
     keep = [quoted(c) for c in polygons.columns if c != coordinates]
-    boxed = (
+    return stored(
         polygons.select(*keep, polygon_edges(F.col(quoted(coordinates))).alias("_edges"))
         .selectExpr(
             "*",
+            "monotonically_increasing_id() AS _polygon",
             "array_min(transform(_edges, e -> least(e.x1, e.x2))) AS _x0",
             "array_max(transform(_edges, e -> greatest(e.x1, e.x2))) AS _x1",
             "array_min(_edges.y1) AS _y0",
             "array_max(_edges.y2) AS _y1",
         )
-        .filter("_x1 > _x0 AND _y1 > _y0")
-        .selectExpr("*", "cast(floor(log2(greatest(_x1 - _x0, _y1 - _y0)) / 2) - 1 AS int) AS _level")
-        .selectExpr("*", "pow(4D, _level) AS _g")
-    )
-    overlapping = (
-        "e.y2 >= _south AND e.y1 <= _north AND greatest(e.x1, e.x2) >= _west AND least(e.x1, e.x2) <= _east"
-    )
-    apart = f"({_beside('_west', '<')} AND {_east_of}) OR ({_beside('_east', '>')} AND {_west_of})"
+    ).filter("_x1 > _x0 AND _y1 > _y0")
+
+
+def _judged(rows: DataFrame) -> DataFrame:
+    """(_polygon, *CELL, _crossed, _edges) from (_polygon, *CELL, _odd, e) rows, one per cell and edge.
+
+    ``_odd`` is the parity of edges east of the cell that are left out; ``e`` may be NULL. Rounding is
+    monotone, so what the corners of a cell show about an edge holds for every point in it.
+    """
+    east_of, west_of = _beside("_east", "<"), _beside("_west", ">")
+    across = "e.y2 >= _south AND e.y1 <= _north AND greatest(e.x1, e.x2) >= _west AND least(e.x1, e.x2) <= _east"
+    apart = f"({_beside('_west', '<')} AND {east_of}) OR ({_beside('_east', '>')} AND {west_of})"
     spanning = "e.y1 <= _south AND e.y2 >= _north"
-    listed = [*keep, *CELL, "_g"]
+    side = "pow(4D, _level)"
     return (
-        boxed.selectExpr("*", "explode(sequence(floor(_x0 / _g), floor(_x1 / _g))) AS _cx")
-        .selectExpr("*", "explode(sequence(floor(_y0 / _g), floor(_y1 / _g))) AS _cy")
+        rows.selectExpr(
+            "*", f"_cx * {side} AS _west", f"(_cx + 1) * {side} AS _east",
+            f"_cy * {side} AS _south", f"(_cy + 1) * {side} AS _north",
+        )
         .selectExpr(
-            *[*listed, "_edges"],
-            *["_cx * _g AS _west", "(_cx + 1) * _g AS _east", "_cy * _g AS _south", "(_cy + 1) * _g AS _north"],
+            "_polygon", *CELL, "_odd", "e",
+            f"coalesce({across} AND NOT ({apart}), false) AS _touches",
+            f"coalesce({spanning} AND {east_of}, false) AS _beyond",
+            f"coalesce(e.y1 <= _south AND e.y2 > _south AND {_corner('_west', '_south', '<')}, false) AS _right",
+            "coalesce(e.y2 >= _south AND e.y1 < _north AND greatest(e.x1, e.x2) >= _west"
+            f" AND NOT ({spanning} AND ({east_of} OR {west_of})), false) AS _matters",
+        )
+        .groupBy("_polygon", *CELL)
+        .agg(
+            F.expr("bool_or(_touches) AS _cut"),
+            F.expr("max(_odd) AS _odd"),
+            F.expr("count_if(_beyond) % 2 = 1 AS _beyond"),
+            F.expr("count_if(_right) % 2 = 1 AS _right"),
+            F.expr("collect_list(CASE WHEN _matters THEN e END) AS _edges"),
         )
-        .selectExpr("*", f"exists(_edges, e -> {overlapping} AND NOT ({apart})) AS _touched")
         .selectExpr(
-            *listed,
-            "size(filter(_edges, e -> CASE"
-            f" WHEN _touched THEN {spanning} AND {_east_of}"
-            f" ELSE e.y1 <= _south AND e.y2 > _south AND {_corner('_west', '_south', '<')} END)) % 2 = 1 AS _crossed",
-            "filter(_edges, e -> _touched AND e.y2 >= _south AND e.y1 < _north AND greatest(e.x1, e.x2) >= _west"
-            f" AND NOT ({spanning} AND ({_east_of} OR {_west_of}))) AS _edges",
+            "_polygon", *CELL,
+            "_odd <> CASE WHEN _cut THEN _beyond ELSE _right END AS _crossed",
+            f"CASE WHEN _cut THEN _edges ELSE cast(array() AS array<{_EDGE}>) END AS _edges",
         )
-        .filter("_crossed OR size(_edges) > 0")
-    )
+    )
 
 
-def _corner(x: str, y: str, sign: str) -> str:
-    """Whether edge ``e``, prolonged to a line, lies east (<) or west (>) of the point (x, y)."""
-    return f"({x} - e.x1) * (e.y2 - e.y1) - (e.x2 - e.x1) * ({y} - e.y1) {sign} 0"
-
-
-def _beside(border: str, sign: str) -> str:
-    """`_corner` at both corners on a border of the cell."""
-    return f"{_corner(border, '_south', sign)} AND {_corner(border, '_north', sign)}"
+def _divided(cells: DataFrame) -> DataFrame:
+    """The same cells at four times the fineness: edges name the sub-cells that they can matter to."""
+    side = "pow(4D, _level - 1)"
+    low, high = f"cast(floor(e.y1 / {side}) AS bigint)", f"cast(floor(e.y2 / {side}) AS bigint)"
+    parts = cells.selectExpr("_polygon", "_level", "_cx", "_cy", "_crossed AS _odd", "_edges")
+    by_edge = (
+        parts.selectExpr("_polygon", "_level", "_cx", "_cy", "_odd", "explode(_edges) AS e")
+        .selectExpr(
+            "*",
+            f"least(_cx * 4 + 3, cast(floor(greatest(e.x1, e.x2) / {side}) AS bigint)) AS _last",
+            f"greatest(_cy * 4, {low}) AS _from",
+            f"least(_cy * 4 + 3, {high}) AS _to",
+        )
+        .filter("_last >= _cx * 4 AND _to >= _from")
+        .selectExpr("*", "explode(sequence(_from, _to)) AS _row")
+        .selectExpr("_polygon", "_level - 1 AS _level", "explode(sequence(_cx * 4, _last)) AS _cx", "_row AS _cy", "_odd", "e")
+    )
+    all_parts = (
+        parts.drop("_edges")
+        .selectExpr("*", "explode(sequence(_cy * 4, _cy * 4 + 3)) AS _row")
+        .selectExpr(
+            "_polygon", "_level - 1 AS _level", "explode(sequence(_cx * 4, _cx * 4 + 3)) AS _cx", "_row AS _cy", "_odd",
+            f"cast(NULL AS {_EDGE}) AS e",
+        )
+    )
+    return _judged(by_edge.union(all_parts))
 
 
-_east_of, _west_of = _beside("_east", "<"), _beside("_west", ">")
+def _cells_of(polygons: DataFrame, coordinates: str) -> DataFrame:
+    """Stored (polygon's columns, *CELL, _crossed, _edges) of all cells that are not wholly outside."""
+    keep = [quoted(c) for c in polygons.columns if c != coordinates]
+    boxed = _boxed(polygons, coordinates)
+    gridded = boxed.selectExpr(
+        "_polygon", "_x0", "_edges", "cast(floor(log2(greatest(_x1 - _x0, _y1 - _y0)) / 2) - 1 AS int) AS _level"
+    )
+    side = "pow(4D, _level)"
+    rows = (
+        gridded.selectExpr("_polygon", "_level", f"cast(floor(_x0 / {side}) AS bigint) AS _first", "explode(_edges) AS e")
+        .selectExpr(
+            "*",
+            f"cast(floor(greatest(e.x1, e.x2) / {side}) AS bigint) AS _last",
+            f"explode(sequence(cast(floor(e.y1 / {side}) AS bigint), cast(floor(e.y2 / {side}) AS bigint))) AS _cy",
+        )
+        .selectExpr("_polygon", "_level", "explode(sequence(_first, _last)) AS _cx", "_cy", "false AS _odd", "e")
+    )
+    cells, done = stored(_judged(rows)), []
+    for _ in range(MAX_DIVISIONS):
+        crowded = cells.filter(F.size("_edges") > MANY_EDGES)
+        if crowded.limit(1).count() == 0:
+            break
+        done.append(cells.filter(F.size("_edges") <= MANY_EDGES))
+        cells = stored(_divided(crowded))
+    for part in done:
+        cells = cells.union(part)
+    listed = cells.filter("_crossed OR size(_edges) > 0").join(boxed.select("_polygon", *keep), "_polygon")
+    return stored(listed.select(*keep, *CELL, "_crossed", "_edges"))
 
 
 def join_contains(
@@ -89,29 +161,29 @@ def join_contains(
 ) -> DataFrame:
     """Every point with every polygon that contains it: the columns of both, without the coordinates.
 
-    Points without coordinates and points in no polygon are left out. Polygons must not cross the
+    Points without finite coordinates in range and points in no polygon are left out. Polygons must not cross the
     antimeridian.
     """
-    cells = stored(_cells_of(polygons, coordinates))
-    grids = cells.select("_level", "_g").distinct().collect()  # one row per grid in use, a few
+    cells = _cells_of(polygons, coordinates)
+    grids = [row["_level"] for row in cells.select("_level").distinct().collect()]  # one row per grid in use, a few
     x, y = F.col(quoted(lon)), F.col(quoted(lat))
-    spots = points.filter(x.isNotNull() & y.isNotNull())
+    spots = points.filter(on_earth(x, y))
     kept = [quoted(c) for c in points.columns]
     if not grids:
-        return spots.join(cells.drop(*CELL, "_g", "_crossed", "_edges"), F.lit(False))
+        return spots.join(cells.drop(*CELL, "_crossed", "_edges"), F.lit(False))
     addresses = F.array(
         *[
             F.struct(
-                F.lit(grid["_level"]).cast("int").alias("_level"),
-                F.floor(x / F.lit(grid["_g"])).alias("_cx"),
-                F.floor(y / F.lit(grid["_g"])).alias("_cy"),
+                F.lit(level).cast("int").alias("_level"),
+                F.floor(x / F.lit(4.0**level)).alias("_cx"),
+                F.floor(y / F.lit(4.0**level)).alias("_cy"),
             )
-            for grid in grids
+            for level in grids
         ]
     )
     return (
         spots.select(*kept, F.inline(addresses))
-        .join(cells.drop("_g"), CELL)
+        .join(cells, CELL)
         .filter(inside(F.col("_edges"), x, y, boundary, F.col("_crossed")))
         .drop(*CELL, "_crossed", "_edges")
     )

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
-from casegrid.functions import EARTH_RADIUS_M, haversine, unit_vector
+from casegrid.functions import EARTH_RADIUS_M, haversine, on_earth, unit_vector
 from casegrid.operators.rows import quoted
 from casegrid.operators.storage import stored
 
@@ -213,7 +213,7 @@ def _located(df: DataFrame, lon: str, lat: str, **others: str) -> DataFrame:
         F.col(quoted(lon)).cast("double").alias("lon"),
         F.col(quoted(lat)).cast("double").alias("lat"),
     )
-    return out.filter("lon IS NOT NULL AND lat IS NOT NULL")
+    return out.filter(on_earth(F.col("lon"), F.col("lat")))
 
 
 def _with_candidates(
@@ -328,7 +328,7 @@ def nearest(
 ) -> DataFrame:
     """(id, site, distance_m): the nearest site of every point, one row per site where several tie.
 
-    Points and sites without coordinates are left out. ``method='window'`` ranks the candidates with a
+    Points and sites without finite coordinates in range are left out. ``method='window'`` ranks the candidates with a
     window over ``point_id`` (which must be unique) and gives the same rows.
     """
     if method not in ("array", "window"):

@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from casegrid.functions.geo import on_earth
+
 
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
@@ -18,23 +20,29 @@ def union_incidents(*tables: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, tables)
 
 
-def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the least by ``order_by``, then by the remaining columns.
+def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] = ()) -> DataFrame:
+    """One row per key: the least by ``order_by``, then by the remaining columns; a NULL is larger than any value.
 
     Spark keeps only the first row of every key per input partition before the shuffle
     (``WindowGroupLimit``), so a key with very many copies is no burden. Select the columns you need
     first: all of them are compared.
     """
-    ordered = [*order_by, *[c for c in df.columns if c not in keys and c not in order_by]]
+    named = [c for c in order_by if isinstance(c, str)]
+    ordered = [*order_by, *[c for c in df.columns if c not in keys and c not in named]]
     if not ordered:
         return df.distinct()
     place = F.row_number().over(
-        Window.partitionBy(*map(quoted, keys)).orderBy(*map(quoted, ordered))
+        Window.partitionBy(*map(quoted, keys)).orderBy(
+            *[(F.col(quoted(c)) if isinstance(c, str) else c).asc_nulls_last() for c in ordered]
+        )
     )
     return df.withColumn("_place", place).filter("_place = 1").drop("_place")
 
 
 def valid_points(df: DataFrame, lat: str = "LAT", lon: str = "LON") -> DataFrame:
-    """Rows with both coordinates present and neither of them zero."""
-    lat_col, lon_col = F.col(quoted(lat)), F.col(quoted(lon))
-    return df.filter((lat_col != 0) & (lon_col != 0))
+    """Rows with both coordinates present, finite and in range, and neither of them zero."""
+    return df.filter(valid_point(F.col(quoted(lat)), F.col(quoted(lon))))
+
+
+def valid_point(lat: Column, lon: Column) -> Column:
+    return on_earth(lon, lat) & F.coalesce((lat != 0) & (lon != 0), F.lit(False))

@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_LIMIT_BYTES = 64 << 20
 
+#: Tables written by `stored` that have not been dropped yet, with the session that wrote them.
+_written: list[tuple[SparkSession, str]] = []
+_local_folder: list[str] = []
+
 
 def _bytes_of(field: T.StructField):
     column = F.col(f"`{field.name}`")
@@ -27,19 +32,50 @@ def fits_broadcast(df: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES) -> b
 
 
 def shared_folder(df: DataFrame) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; a local one only where it names none."""
+    """The folder that the cluster names in ``spark.checkpoint.dir``; a local one only where it names none.
+
+    The session's settings are read, never changed.
+    """
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-        folder = tempfile.mkdtemp(prefix="casegrid-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder is not None:
+        return folder
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="casegrid-"))
+    return _local_folder[0]
+
+
+def scratch_path(df: DataFrame, folder: str | None = None) -> str:
+    """A new place in ``folder`` (`shared_folder` if None) that `drop_stored` will clear."""
+    path = f"{folder or shared_folder(df)}/casegrid-{uuid.uuid4()}"
+    _written.append((df.sparkSession, path))
+    return path
+
 
+def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """``df`` written once to the shared folder and read back: recomputed by nobody, lost with no executor.
 
-def stored(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared folder and read back: recomputed by nobody, lost with no executor."""
-    path = f"{shared_folder(df)}/casegrid-{uuid.uuid4()}"
+    The table stays until `drop_stored` is called or Python ends, since any result may still be read from it.
+    """
+    path = scratch_path(df, folder)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stored() -> int:
+    """Deletes all tables that `stored` has written so far; call it when the results have been used."""
+    dropped = 0
+    while _written:
+        spark, path = _written.pop()
+        try:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+            dropped += bool(files.delete(place, True))
+        except Exception:  # the session has been stopped: its tables stay behind
+            continue
+    return dropped
+
+
+atexit.register(drop_stored)

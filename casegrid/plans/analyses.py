@@ -1,12 +1,13 @@
 """The five incident analyses, from cleaned tables to the result table.
 
 Inputs come from `casegrid.sources` (or any DataFrame with the same columns). Incident numbers may
-repeat: every analysis keeps one row per number, after narrowing the table to the columns it needs.
+repeat: all analyses keep the same row of a number, the most complete one; among equally complete ones
+``order_by`` decides (columns of the incidents, such as the reported date), then the fields' values.
 """
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,30 +16,54 @@ from casegrid.functions import year_of
 from casegrid.operators.contains import contains_count
 from casegrid.operators.counts import banded_count, token_frequency
 from casegrid.operators.nearest import nearest_summary
-from casegrid.operators.rows import dedup, valid_points
+from casegrid.operators.rows import dedup, quoted, valid_point, valid_points
 from casegrid.operators.shares import top_share, top_share_sql
 from casegrid.operators.stats import corr_slices, rate_table, weighted_mean_by
 
 ID = "DR_NO"
 
 
-def _incidents(df: DataFrame, *columns: str) -> DataFrame:
-    return dedup(df.select(ID, *columns), [ID])
+# The fields of an incident that the analyses use.
+FIELDS = ("DATE OCC", "Crm Cd Desc", "Vict Age", "Vict Descent", "Mocodes", "LAT", "LON")
+
+
+def unique_incidents(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
+    """One row per incident number: the one that lacks the fewest of FIELDS, then the least by ``order_by``.
+
+    A NULL, a blank text and a place that is zero, not finite or out of range are lacking.
+    """
+    fields = [c for c in FIELDS if c in df.columns]
+    place = valid_point(F.col("LAT"), F.col("LON")) if {"LAT", "LON"} <= set(fields) else None
+    lacking = F.lit(0)
+    for field in fields:
+        if field in ("LAT", "LON") and place is not None:
+            there = place
+        elif dict(df.dtypes)[field] == "string":
+            there = F.coalesce(F.trim(F.col(quoted(field))) != "", F.lit(False))
+        else:
+            there = F.col(quoted(field)).isNotNull()
+        lacking = lacking + F.when(there, 0).otherwise(1)
+    extra = [c for c in order_by if c not in (ID, *fields)]
+    return dedup(df.select(ID, *map(quoted, extra), *map(quoted, fields)), [ID], [lacking, *order_by])
+
+
+def _incidents(df: DataFrame, order_by: Sequence[str], *columns: str) -> DataFrame:
+    return unique_incidents(df, order_by).select(ID, *map(quoted, columns))
 
 
 def victims_by_age(
-    incidents: DataFrame, offence: str = "aggravated assault", python_udf: bool = False
+    incidents: DataFrame, offence: str = "aggravated assault", python_udf: bool = False, order_by: Sequence[str] = ()
 ) -> DataFrame:
     """(Age Group, count): incidents of an offence per age band of the victim."""
-    rows = _incidents(incidents, "Crm Cd Desc", "Vict Age")
+    rows = _incidents(incidents, order_by, "Crm Cd Desc", "Vict Age")
     return banded_count(rows, "Crm Cd Desc", offence, "Vict Age", label="Age Group", python_udf=python_udf)
 
 
 def victims_by_descent(
-    incidents: DataFrame, descent_codes: DataFrame, k: int = 3, sql: bool = False
+    incidents: DataFrame, descent_codes: DataFrame, k: int = 3, sql: bool = False, order_by: Sequence[str] = ()
 ) -> DataFrame:
     """(year, Victim Descent, #, %): the k largest descent groups of each year."""
-    rows = _incidents(incidents, "DATE OCC", "Vict Descent")
+    rows = _incidents(incidents, order_by, "DATE OCC", "Vict Descent")
     build = top_share_sql if sql else top_share
     shares = build(
         rows, descent_codes, year_of(F.col("DATE OCC")), "Vict Descent", "Vict Descent", "Vict Descent Full", k
@@ -57,16 +82,17 @@ def method_frequency(
     join_hint: str | None = None,
     trim_tokens: bool = False,
     blank_as_unknown: bool = False,
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """(Code, Description, Frequency): how often each method code occurs."""
-    rows = _incidents(incidents, "Mocodes")
+    rows = _incidents(incidents, order_by, "Mocodes")
     return token_frequency(rows, "Mocodes", method_codes, join_hint, trim_tokens, blank_as_unknown)
 
 
-def nearest_station(incidents: DataFrame, stations: DataFrame) -> DataFrame:
+def nearest_station(incidents: DataFrame, stations: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """(division, average_distance, #): incidents nearest to each station, mean distance in km."""
     summary = nearest_summary(
-        valid_points(_incidents(incidents, "LAT", "LON")),
+        valid_points(_incidents(incidents, order_by, "LAT", "LON")),
         stations,
         lon="LON",
         lat="LAT",
@@ -88,10 +114,12 @@ def community_rates(
     years: Collection[int] | None = None,
     n_years: float = 2.0,
     boundary: str = "exclude",
+    order_by: Sequence[str] = (),
 ) -> DataFrame:
     """(COMM, Total_Population, Avg_Income, Total_Crimes, Crimes_Per_Person) per community.
 
-    ``blocks`` has COMM, ZCTA20, POP20 and coordinates; ``income`` has zip and income. ``years`` keeps
+    ``blocks`` has COMM, ZCTA20, POP20 and coordinates, which may be NULL: such a block counts for population and
+    income, but holds no incident; ``income`` has zip and income. ``years`` keeps
     only incidents of these years; None keeps all, of whatever year.
     """
     populated = blocks.filter(
@@ -99,12 +127,12 @@ def community_rates(
     )
     means = weighted_mean_by(populated, "COMM", "POP20", "ZCTA20", income, "zip", "income")
     if years is None:
-        rows = _incidents(incidents, "LAT", "LON")
+        rows = _incidents(incidents, order_by, "LAT", "LON")
     else:
-        rows = _incidents(incidents, "DATE OCC", "LAT", "LON")
+        rows = _incidents(incidents, order_by, "DATE OCC", "LAT", "LON")
         rows = rows.filter(year_of(F.col("DATE OCC")).isin(*years))
     counts = contains_count(
-        rows, populated.select("COMM", "coordinates"), lon="LON", lat="LAT", key="COMM", boundary=boundary
+        rows, populated.filter("coordinates IS NOT NULL").select("COMM", "coordinates"), lon="LON", lat="LAT", key="COMM", boundary=boundary
     )
     return rate_table(means, counts, "COMM", n_years).select(
         "COMM",

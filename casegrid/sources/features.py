@@ -15,8 +15,8 @@ _RING = "ARRAY<ARRAY<DOUBLE>>"
 def geojson_features(lines: DataFrame, properties: str = PROPERTIES, marker: str = FEATURE_MARKER) -> DataFrame:
     """The ``properties`` fields as columns, and ``coordinates`` in MultiPolygon form.
 
-    The raw-line filter runs before any JSON is parsed. Lines may end in a comma. Features whose
-    geometry is no polygon are dropped.
+    The raw-line filter runs before any JSON is parsed. Lines may end in a comma. A feature whose geometry is no
+    polygon keeps its properties, with NULL as coordinates.
     """
     line = F.col(lines.columns[0])
     schema = f"properties STRUCT<{properties}>, geometry STRUCT<type: STRING, coordinates: STRING>"
@@ -25,9 +25,8 @@ def geojson_features(lines: DataFrame, properties: str = PROPERTIES, marker: str
     coordinates = F.when(
         kind == "Polygon", F.array(F.from_json(text, f"ARRAY<{_RING}>"))
     ).when(kind == "MultiPolygon", F.from_json(text, f"ARRAY<ARRAY<{_RING}>>"))
-    return parsed.select("f.properties.*", coordinates.alias("coordinates")).filter(
-        F.col("coordinates").isNotNull() & ~F.exists("coordinates", lambda polygon: polygon.isNull())
-    )
+    whole = F.when(~F.exists(coordinates, lambda polygon: polygon.isNull()), coordinates)
+    return parsed.filter(F.col("f").isNotNull()).select("f.properties.*", whole.alias("coordinates"))
 
 
 def read_geojson_features(spark: SparkSession, path: str, properties: str = PROPERTIES) -> DataFrame:

@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from casegrid.functions import EARTH_RADIUS_M, band, band_udf, haversine, matches_text, parse_money, year_of
 from casegrid.operators.contains import contains_count, join_contains
 from casegrid.operators.counts import banded_count, token_frequency
+from casegrid.operators.nearest import nearest
 from casegrid.operators.rows import dedup, union_incidents, valid_points
 from casegrid.operators.shares import top_share, top_share_sql
 from casegrid.operators.stats import corr_safe, corr_slices, rate_table, weighted_mean_by
-from casegrid.operators.storage import fits_broadcast
+from casegrid.operators.storage import drop_stored, fits_broadcast, stored
+from casegrid.plans import community_rates, nearest_station
+from casegrid.plans.analyses import unique_incidents
 from casegrid.sources import geojson_features, parse_code_dictionary
 
 
@@ -298,7 +301,10 @@ def test_geojson_lines(spark):
     ]
     out = geojson_features(spark.createDataFrame([(line,) for line in lines], "value string"))
     got = rows(out.select("COMM", "ZCTA20", "POP20", F.size("coordinates")))
-    assert sorted(got, key=str) == [("C", "9", 5, 1), ("C", "9", 7, 2), ("C", "9", None, 1), ("C", "9", None, 1)]
+    without = [("C", "9", 8, None), ("C", "9", 9, None)]  # no polygon: the population still counts
+    assert sorted(got, key=str) == sorted(
+        [("C", "9", 5, 1), ("C", "9", 7, 2), ("C", "9", None, 1), ("C", "9", None, 1), *without], key=str
+    )
 
 
 # --- means, rates, correlations
@@ -351,3 +357,55 @@ def test_corr_slices_of_nothing(spark):
     assert Counter(rows(corr_slices(df, "x", "y", "k"))) == Counter(
         [("all", 0, None), ("top10", 0, None), ("bottom10", 0, None)]
     )
+
+
+NAN, INFINITE = float("nan"), float("inf")
+
+
+def test_a_bad_copy_never_beats_a_good_one(spark):
+    schema = "DR_NO string, `Vict Age` int, Mocodes string, LAT double, LON double"
+    copies = [
+        ("1", 30, "0100", 0.0, 0.0), ("1", 30, "0100", 34.0, -118.0),
+        ("2", None, None, None, None), ("2", 40, "0200", 34.1, -118.1),
+        ("3", 50, "0300", NAN, -118.0), ("3", 50, "0300", 34.2, -118.2),
+        ("4", 60, " ", 34.3, -118.3), ("4", None, "0400", 34.3, -118.3), ("4", 60, "0400", 34.3, -118.3),
+    ]
+    kept = unique_incidents(spark.createDataFrame(copies, schema))
+    assert sorted(rows(kept)) == [copies[1], copies[3], copies[5], copies[8]]
+    stations = spark.createDataFrame([("near", -118.0, 34.0)], "DIVISION string, x double, y double")
+    assert [r["#"] for r in nearest_station(spark.createDataFrame(copies, schema), stations).collect()] == [4]
+
+
+def test_the_caller_orders_equally_complete_copies(spark):
+    copies = spark.createDataFrame([("1", 2, 20), ("1", 1, 30)], "DR_NO string, reported int, `Vict Age` int")
+    assert rows(unique_incidents(copies)) == [("1", 20)]
+    assert rows(unique_incidents(copies, ["reported"]).select("DR_NO", "Vict Age")) == [("1", 30)]
+
+
+def test_places_off_the_earth_take_no_part(spark):
+    places = [(1, 34.0, -118.0), (2, NAN, 1.0), (3, INFINITE, 1.0), (4, 91.0, 1.0), (5, 1.0, NAN), (6, None, 1.0)]
+    points = spark.createDataFrame(places, "id int, lat double, lon double")
+    assert [r["id"] for r in valid_points(points, "lat", "lon").collect()] == [1]
+    sites = spark.createDataFrame([("s", 34.0, -118.0), ("t", NAN, 0.0), ("u", 0.0, INFINITE)], "site string, y double, x double")
+    found = nearest(points, sites, point_id="id", lon="lon", lat="lat", site_id="site", site_lon="x", site_lat="y")
+    assert [(r["id"], r["site"]) for r in found.collect()] == [(1, "s")]
+    area = spark.createDataFrame([("a", [[square(-1000.0, -1000.0, 2000.0)]])], POLYGONS)
+    assert [r["id"] for r in join_contains(points, area, lon="lon", lat="lat").collect()] == [1]
+
+
+def test_stored_tables_go_and_settings_stay(spark):
+    before = spark.conf.get("spark.checkpoint.dir", None)
+    table = stored(spark.range(3))
+    assert table.count() == 3 and spark.conf.get("spark.checkpoint.dir", None) == before
+    assert drop_stored() >= 1 and drop_stored() == 0
+
+
+def test_a_block_without_polygon_counts_for_its_community(spark):
+    blocks = spark.createDataFrame(
+        [("C", "9", 5, [[square(0.0, 0.0)]]), ("C", "9", 15, None)],
+        "COMM string, ZCTA20 string, POP20 bigint, coordinates array<array<array<array<double>>>>",
+    )
+    income = spark.createDataFrame([("9", 10.0)], "zip string, income double")
+    crimes = spark.createDataFrame([("1", 0.5, 0.5)], "DR_NO string, LAT double, LON double")
+    rates = community_rates(crimes, blocks, income)
+    assert [(r["Total_Population"], r["Total_Crimes"]) for r in rates.collect()] == [(20, 1)]
