@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +16,7 @@ from casegrid.llm.substring import remove_repeated
 from casegrid.llm.token_files import read_token_files, write_token_files
 from casegrid.llm.toxicity import fit_toxicity, score_toxicity
 from casegrid.llm.url_filter import KEPT_SHARE, PRIOR_PAGES, REJECT_AT, judge_urls
-from casegrid.operators.storage import shared_folder
+from casegrid.operators.storage import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,7 +161,7 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    path = f"{shared_folder(docs)}/casegrid-{uuid.uuid4()}"
+    path = scratch_path(docs)
     write_token_files(docs, path, word_tokenizer(), end_id=2)
     return read_token_files(spark, path, with_ids=False)
 
