@@ -439,6 +439,33 @@ def q_contains_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contains_count(order_points(spark, sf_dir), polygons, lon="lon", lat="lat", key="n_name")
 
 
+DIAMOND_POINTS = 4 * 300  # vertices of each of the diamonds below
+
+
+def many_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The diamonds again, every side divided by further vertices."""
+    x, y = spread("n_nationkey", 7919, LON), spread("n_nationkey", 104729, LAT)
+    r = F.lit(0.0123) * (F.col("n_regionkey") + 1) * (F.col("n_regionkey") + 1)
+    quarter = F.lit(DIAMOND_POINTS // 4)
+
+    def vertex(k: Column) -> Column:
+        side, along = F.floor(k / quarter) % 4, (k % quarter) / quarter
+        east = F.when(side == 0, along - 1).when(side == 1, along).when(side == 2, 1 - along).otherwise(-along)
+        north = F.when(side == 0, -along).when(side == 1, along - 1).when(side == 2, along).otherwise(1 - along)
+        return F.array(x + r * east, y + r * north)
+
+    ring = F.transform(F.sequence(F.lit(0), F.lit(DIAMOND_POINTS)), vertex)
+    return table(spark, sf_dir, "nation").select("n_name", F.array(F.array(ring)).alias("coordinates"))
+
+
+def q_contains_many_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    polygons = many_vertices(spark, sf_dir)
+    found = contains_count(
+        order_points(spark, sf_dir), polygons, lon="lon", lat="lat", key="n_name", boundary="half_open"
+    )
+    return found.select("n_name", "count")
+
+
 # --- means, rates, correlations -------------------------------------------------------------------------
 
 
@@ -566,8 +593,12 @@ incidents AS (
 )"""
 
 
-def q_victims_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plans.victims_by_age(incidents(spark, sf_dir)).withColumnRenamed("Age Group", "age_group")
+def victims_by_age(python_udf: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        counts = plans.victims_by_age(incidents(spark, sf_dir), python_udf=python_udf)
+        return counts.withColumnRenamed("Age Group", "age_group")
+
+    return run
 
 
 VICTIMS_BY_AGE_SQL = f"""{incidents_sql()}
@@ -577,17 +608,20 @@ FROM incidents WHERE lower(offence) LIKE '%aggravated assault%' AND age > 0 GROU
 """
 
 
-def q_victims_by_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
-    descents = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").cast("string").alias("Vict Descent"), F.col("s_name").alias("Vict Descent Full")
-    )
-    shares = plans.victims_by_descent(incidents(spark, sf_dir), descents)
-    return shares.select(
-        F.col("year").cast("long").alias("year"),
-        F.col("Victim Descent").alias("name"),
-        F.col("#").alias("count"),
-        F.col("%").alias("percent"),
-    )
+def victims_by_descent(sql: bool) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        descents = table(spark, sf_dir, "supplier").select(
+            F.col("s_suppkey").cast("string").alias("Vict Descent"), F.col("s_name").alias("Vict Descent Full")
+        )
+        shares = plans.victims_by_descent(incidents(spark, sf_dir), descents, sql=sql)
+        return shares.select(
+            F.col("year").cast("long").alias("year"),
+            F.col("Victim Descent").alias("name"),
+            F.col("#").alias("count"),
+            F.col("%").alias("percent"),
+        )
+
+    return run
 
 
 VICTIMS_BY_DESCENT_SQL = f"""{incidents_sql()},
@@ -609,6 +643,12 @@ def q_method_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(plans.method_frequency(incidents(spark, sf_dir), dictionary))
 
 
+def q_method_frequency_trimmed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dictionary = parse_code_dictionary(supplier_lines(spark, sf_dir), DIGITS)
+    ragged = incidents(spark, sf_dir).withColumn("Mocodes", F.regexp_replace("Mocodes", " +", " \t "))
+    return _plain(plans.method_frequency(ragged, dictionary, trim_tokens=True, blank_as_unknown=True))
+
+
 METHOD_FREQUENCY_SQL = f"""{incidents_sql()},
 counts AS (
     SELECT code, count(*) AS frequency FROM (SELECT unnest(string_split(codes, ' ')) AS code FROM incidents)
@@ -637,23 +677,29 @@ FROM ranked WHERE place = 1 GROUP BY 1
 """
 
 
-def community_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def community_rates(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     zips = table(spark, sf_dir, "region").select(
         F.col("r_regionkey").cast("string").alias("Zip Code"),
         F.concat(F.lit("$"), F.format_number(F.col("r_regionkey") * 1234 + 40000, 0)).alias("Estimated Median Income"),
     )
     blocks = geojson_features(nation_lines(spark, sf_dir))
-    return plans.community_rates(incidents(spark, sf_dir), blocks, parse_income(zips))
+    return plans.community_rates(incidents(spark, sf_dir), blocks, parse_income(zips), **options)
 
 
-def q_community_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return community_rates(spark, sf_dir).select(
-        F.col("COMM").alias("community"),
-        F.col("Total_Population").alias("population"),
-        rounded("Avg_Income", 4).alias("income"),
-        F.col("Total_Crimes").alias("count"),
-        rounded("Crimes_Per_Person", 9).alias("rate"),
-    )
+def community_query(**options) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return community_rates(spark, sf_dir, **options).select(
+            F.col("COMM").alias("community"),
+            F.col("Total_Population").alias("population"),
+            rounded("Avg_Income", 4).alias("income"),
+            F.col("Total_Crimes").alias("count"),
+            rounded("Crimes_Per_Person", 9).alias("rate"),
+        )
+
+    return run
+
+
+YEARS = (1996, 1998)
 
 
 def q_income_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -683,6 +729,10 @@ COMMUNITY_RATES_SQL = (
     + "SELECT community, population::BIGINT AS population, income::DOUBLE AS income, count, round(rate, 9) AS rate"
     " FROM rates"
 )
+COMMUNITY_RATES_YEARS_SQL = COMMUNITY_RATES_SQL.replace(
+    "FROM incidents JOIN areas ON",
+    f"FROM incidents JOIN areas ON year(strptime(occurred, '%Y %b %d %I:%M:%S %p')) IN {YEARS} AND",
+)
 INCOME_CORRELATIONS_SQL = (
     _COMMUNITIES_SQL
     + """
@@ -731,11 +781,23 @@ _QUERIES: dict[str, tuple[Query, str]] = {
     "weighted_mean": (q_weighted_mean, WEIGHTED_MEAN_SQL),
     "rate_table": (q_rate_table, RATE_TABLE_SQL),
     "corr_slices": (q_corr_slices, CORR_SLICES_SQL),
-    "victims_by_age": (q_victims_by_age, VICTIMS_BY_AGE_SQL),
-    "victims_by_descent": (q_victims_by_descent, VICTIMS_BY_DESCENT_SQL),
+    "contains_many_vertices": (
+        q_contains_many_vertices,
+        _DIAMONDS_SQL + "SELECT n_name, count(*) AS count FROM pairs GROUP BY 1",
+    ),
+    "victims_by_age": (victims_by_age(False), VICTIMS_BY_AGE_SQL),
+    "victims_by_age_udf": (victims_by_age(True), VICTIMS_BY_AGE_SQL),
+    "victims_by_descent": (victims_by_descent(False), VICTIMS_BY_DESCENT_SQL),
+    "victims_by_descent_sql": (victims_by_descent(True), VICTIMS_BY_DESCENT_SQL),
     "method_frequency": (q_method_frequency, METHOD_FREQUENCY_SQL),
+    "method_frequency_trimmed": (
+        q_method_frequency_trimmed,
+        METHOD_FREQUENCY_SQL.replace("THEN '' ELSE", "THEN 'Unknown' ELSE"),
+    ),
     "nearest_station": (q_nearest_station, NEAREST_STATION_SQL),
-    "community_rates": (q_community_rates, COMMUNITY_RATES_SQL),
+    "community_rates": (community_query(), COMMUNITY_RATES_SQL),
+    "community_rates_half_open": (community_query(boundary="half_open"), COMMUNITY_RATES_SQL),
+    "community_rates_years": (community_query(years=YEARS), COMMUNITY_RATES_YEARS_SQL),
     "income_correlations": (q_income_correlations, INCOME_CORRELATIONS_SQL),
 }
 

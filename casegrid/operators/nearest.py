@@ -1,18 +1,20 @@
 """Nearest site of every point, ties kept, without pairing every point with every site.
 
 Points and sites are placed in a cube grid around the unit sphere, where straight-line distance orders
-like great-circle distance and has no seam at the poles or the antimeridian. Only cells that hold
-points, paired with cells that hold sites, are refined step by step: a site cell is dropped once its
-least possible distance exceeds the greatest possible distance of another site cell. All of that
-works on cells, which are few. Each point then finds its cell by an equi-join and measures only the
-handful of sites that can be nearest from anywhere in the cell.
+like great-circle distance and has no seam at the poles or the antimeridian. Refinement starts at cells so
+coarse that a few hold all points and sites. Cells that hold points, paired with cells that hold sites, are
+refined step by step: a site cell is dropped once its least possible distance exceeds the greatest
+possible distance of another site cell. A point cell is settled, at whatever size, once few sites are left to
+it, or once it holds so few points that measuring them costs less than refining it. Each point then finds
+its cell by one equi-join and measures only the sites that can be nearest from anywhere in the cell.
+
+Points are written once, and everything else is derived from what has been written: a source that gives other
+points when it is read again can therefore lose none.
 """
 
 from __future__ import annotations
 
-import itertools
 import math
-from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,15 +30,16 @@ POINT_CELL = ("px", "py", "pz")
 SITE_CELL = ("sx", "sy", "sz")
 SITE = ("lon", "lat", "site", *AXES)
 MAX_BITS = 24  # cells of about 0.8 m; cell arithmetic is exact in doubles and longs up to here
-FINER_BITS = 4  # how much finer the next tier is
 MAX_CANDIDATES = 128
+STEP_BITS = 3  # how much finer each step of the refinement is
+FEW_SITES, FEW_POINTS = 8, 64  # a cell is settled with so few sites in reach, or with so few points in it
 MEASURED_IN_CODE = 8
 SMALL_CELLS = 50_000  # tables of at most so many cells (some 50 bytes each) are broadcast
 
 
 @dataclass(frozen=True)
 class Grid:
-    """Where refinement starts and first ends, and the span of site cells per axis at its start."""
+    """Where refinement starts and may end, and the span of site cells per axis at its start."""
 
     n_sites: int
     shared: bool  # some location has several sites
@@ -49,32 +52,41 @@ def _with_axes(df: DataFrame) -> DataFrame:
     return df.withColumns(dict(zip(AXES, unit_vector(F.col("lon"), F.col("lat")))))
 
 
-def _cell_exprs(names: tuple[str, ...], bits: int) -> list[str]:
+def _cell_values(bits: int) -> list[str]:
     """Index 0 .. 2**bits - 1 of every coordinate in [-1, 1]."""
     scale, top = 2.0 ** (bits - 1), 2**bits - 1
-    return [
-        f"cast(greatest(least(floor(({axis} + 1) * {scale!r}D), {top}L), 0L) AS int) AS {name}"
-        for name, axis in zip(names, AXES)
-    ]
+    return [f"cast(greatest(least(floor(({axis} + 1) * {scale!r}D), {top}L), 0L) AS int)" for axis in AXES]
+
+
+def _cell_exprs(names: tuple[str, ...], bits: int) -> list[str]:
+    return [f"{value} AS {name}" for name, value in zip(names, _cell_values(bits))]
 
 
 def _coarser(names: tuple[str, ...], by: int, prefix: str = "") -> list[str]:
     return [f"shiftright({n}, {by}) AS {prefix}{n}" for n in names]
 
 
-def _grid(sites: DataFrame) -> Grid | None:
-    """Start where the sites span eight cells per axis or fewer, end at some eight cells per site."""
-    bounds = sites.selectExpr(
-        "count(*) AS n", "max(here) AS most", *[f"{f}({a}) AS {f}_{a}" for f in ("min", "max") for a in AXES]
-    ).first()
+_BOUNDS = [f"{f}({a}) AS {f}_{a}" for f in ("min", "max") for a in AXES]
+
+
+def _extent(*bounds) -> float:
+    return max(max(b[f"max_{a}"] for b in bounds) - min(b[f"min_{a}"] for b in bounds) for a in AXES)
+
+
+def _grid(sites: DataFrame, points) -> Grid | None:
+    """Start where all points and sites span two cells per axis or fewer, aim at some eight cells per site.
+
+    ``points`` are the bounds of the points.
+    """
+    bounds = sites.selectExpr("count(*) AS n", "max(here) AS most", *_BOUNDS).first()
     n = bounds["n"]
     if not n:
         return None
-    extent = max(bounds[f"max_{a}"] - bounds[f"min_{a}"] for a in AXES)
-    first = leaf = 0
-    if n > 1:
-        first = MAX_BITS if extent <= 0 else max(0, min(MAX_BITS, math.floor(math.log2(2 / extent)) + 2))
-        leaf = min(MAX_BITS, max(first, first + math.ceil(math.log2(n) / 2)))
+    spread, extent = _extent(bounds, points), _extent(bounds)
+    first = MAX_BITS if spread <= 0 else max(0, min(MAX_BITS, math.floor(math.log2(2 / spread))))
+    leaf = first
+    if n > 1 and extent > 0:
+        leaf = min(MAX_BITS, max(first, math.floor(math.log2(2 / extent)) + 2 + math.ceil(math.log2(n) / 2)))
 
     def index(value: float) -> int:
         return max(0, min(2**first - 1, math.floor((value + 1) * 2.0 ** (first - 1))))
@@ -82,20 +94,12 @@ def _grid(sites: DataFrame) -> Grid | None:
     return Grid(n, bounds["most"] > 1, first, leaf, [(index(bounds[f"min_{a}"]), index(bounds[f"max_{a}"])) for a in AXES])
 
 
-def _steps(at: int, to: int) -> list[int]:
-    """Grid sizes after ``at`` on the way to ``to``: at most three bits per step, the smaller steps last."""
-    bits = to - at
-    count = math.ceil(bits / 3)
-    sizes = [bits // count + (i < bits % count) for i in range(count)] if count else []
-    return list(itertools.accumulate(sizes, initial=at))
-
-
 class _Cells:
-    """Occupied point cells (stored once) and site cells, at any coarser grid; small ones broadcast."""
+    """Occupied point cells with their points (stored once) and site cells, at any coarser grid; small ones broadcast."""
 
     def __init__(self, points: DataFrame, bits: int, sites: DataFrame, grid: Grid):
         counted = Observation()
-        occupied = points.selectExpr(*_cell_exprs(POINT_CELL, bits)).distinct()
+        occupied = points.selectExpr(*_cell_exprs(POINT_CELL, bits)).groupBy(*POINT_CELL).agg(F.count("*").alias("here"))
         self.occupied = stored(occupied.observe(counted, F.count("*").alias("n")))
         self.bits = bits
         self.sites = sites
@@ -103,8 +107,9 @@ class _Cells:
         self.few_sites = grid.n_sites <= SMALL_CELLS
 
     def point_cells(self, bits: int, parent: int = 0) -> DataFrame:
-        cells = self.occupied.selectExpr(*_coarser(POINT_CELL, self.bits - bits)).distinct()
-        cells = cells.selectExpr(*POINT_CELL, *_coarser(POINT_CELL, parent, "up_"))
+        cells = self.occupied.selectExpr("here", *_coarser(POINT_CELL, self.bits - bits))
+        cells = cells.groupBy(*POINT_CELL).agg(F.sum("here").alias("here"))
+        cells = cells.selectExpr(*POINT_CELL, "here", *_coarser(POINT_CELL, parent, "up_"))
         return F.broadcast(cells) if self.few_points else cells
 
     def site_cells(self, bits: int, parent: int = 0) -> DataFrame:
@@ -125,33 +130,31 @@ def _prune(pairs: DataFrame) -> DataFrame:
     far = " + ".join(f"({g} + 1) * ({g} + 1)" for g in gaps)
     cell = ", ".join(POINT_CELL)
     return (
-        pairs.selectExpr(*POINT_CELL, *SITE_CELL, "n", "within", f"{near} AS near", f"{far} AS far")
+        pairs.selectExpr(*POINT_CELL, "here", *SITE_CELL, "n", "within", f"{near} AS near", f"{far} AS far")
         .filter("near <= within")
         .selectExpr("*", f"min(far) OVER (PARTITION BY {cell}) AS bound")
         .filter("near <= bound")
-        .select(*POINT_CELL, *SITE_CELL, "n", "bound")
+        .selectExpr(*POINT_CELL, "here", *SITE_CELL, "bound", f"sum(n) OVER (PARTITION BY {cell}) AS reach")
     )
 
 
 def _start(cells: _Cells, grid: Grid) -> DataFrame:
-    pairs = cells.point_cells(grid.first_bits).selectExpr(*POINT_CELL, f"{2**62}L AS within")
+    pairs = cells.point_cells(grid.first_bits).selectExpr(*POINT_CELL, "here", f"{2**62}L AS within")
     for axis, (low, high) in zip(SITE_CELL, grid.spans):
         pairs = pairs.selectExpr("*", f"explode(sequence({low}, {high})) AS {axis}")
     return _prune(pairs.join(cells.site_cells(grid.first_bits), list(SITE_CELL)))
 
 
-def _descend(pairs: DataFrame, cells: _Cells, at: int, to: int) -> DataFrame:
+def _descend(pairs: DataFrame, cells: _Cells, low: int, high: int) -> DataFrame:
     """Replace every (point cell, site cell) by the pairs of their occupied sub-cells, then prune."""
-    for low, high in itertools.pairwise(_steps(at, to)):
-        parents = pairs.selectExpr(
-            *[f"{n} AS up_{n}" for n in (*POINT_CELL, *SITE_CELL)], f"bound * {4 ** (high - low)}L AS within"
-        )
-        pairs = _prune(
-            parents.join(cells.point_cells(high, high - low), ["up_" + n for n in POINT_CELL]).join(
-                cells.site_cells(high, high - low), ["up_" + n for n in SITE_CELL]
-            )
+    parents = pairs.selectExpr(
+        *[f"{n} AS up_{n}" for n in (*POINT_CELL, *SITE_CELL)], f"bound * {4 ** (high - low)}L AS within"
+    )
+    return _prune(
+        parents.join(cells.point_cells(high, high - low), ["up_" + n for n in POINT_CELL]).join(
+            cells.site_cells(high, high - low), ["up_" + n for n in SITE_CELL]
         )
-    return pairs
+    )
 
 
 def _candidates(pairs: DataFrame, sites: DataFrame, bits: int) -> DataFrame:
@@ -176,35 +179,36 @@ def _candidates(pairs: DataFrame, sites: DataFrame, bits: int) -> DataFrame:
     )
 
 
-def _leaves(
-    points: DataFrame, sites: DataFrame, grid: Grid, max_candidates: int
-) -> Iterator[tuple[int, DataFrame]]:
-    """(bits, candidates) by tier, each stored; every point's cell is in exactly one tier.
+def _leaves(points: DataFrame, sites: DataFrame, grid: Grid, max_candidates: int) -> tuple[DataFrame, list[int]]:
+    """Stored (bits, point cell, sites), and the grid sizes in use; every point's cell is there at exactly one size.
 
-    Cells that still have more than ``max_candidates`` sites in reach go on to the next, finer tier.
-    At the finest tier they keep all of them.
+    At the finest size cells keep all sites in reach.
     """
-    bits = grid.leaf_bits
-    cells = _Cells(points, bits, sites, grid)
-    pairs = _descend(_start(cells, grid), cells, grid.first_bits, bits)
-    cell = ", ".join(POINT_CELL)
+    bits = grid.first_bits
+    cells = _Cells(points, grid.leaf_bits, sites, grid)
+    pairs, settled = _start(cells, grid), []
     while True:
-        most = Observation()
-        reach = pairs.selectExpr("*", f"sum(n) OVER (PARTITION BY {cell}) AS reach")
-        done = reach.observe(most, F.max("reach").alias("most"))
-        if bits < MAX_BITS:
-            done = done.filter(F.col("reach") <= max_candidates)
-        yield bits, stored(_candidates(done, sites, bits))
-        if bits == MAX_BITS or (most.get["most"] or 0) <= max_candidates:
-            return
-        crowded = stored(reach.filter(F.col("reach") > max_candidates).select(*POINT_CELL, *SITE_CELL, "bound"))
-        finer = min(MAX_BITS, bits + FINER_BITS)
-        remaining = points.selectExpr(*AXES, *_cell_exprs(POINT_CELL, bits)).join(
-            crowded.select(*POINT_CELL).distinct(), list(POINT_CELL), "left_semi"
-        )
-        cells = _Cells(remaining, finer, sites, grid)
+        enough = F.col("reach") <= FEW_SITES
+        enough |= (F.col("reach") <= max_candidates) & ((F.col("here") <= FEW_POINTS) | F.lit(bits >= grid.leaf_bits))
+        enough |= F.lit(bits == MAX_BITS)
+        counts = Observation()
+        judged = pairs.select("*", enough.alias("enough"))
+        judged = stored(judged.observe(counts, F.count_if("enough").alias("done"), F.count_if(~F.col("enough")).alias("open")))
+        if counts.get["done"]:
+            settled.append((bits, judged.filter("enough")))
+        if not counts.get["open"]:
+            break
+        crowded = judged.filter("not enough")
+        finer = min(bits + STEP_BITS, grid.leaf_bits if bits < grid.leaf_bits else MAX_BITS)
+        if finer > cells.bits:
+            remaining = points.selectExpr(*AXES, *_cell_exprs(POINT_CELL, bits)).join(
+                crowded.select(*POINT_CELL).distinct(), list(POINT_CELL), "left_semi"
+            )
+            cells = _Cells(remaining, MAX_BITS, sites, grid)
         pairs = _descend(crowded, cells, bits, finer)
         bits = finer
+    lists = [_candidates(done, sites, size).select(F.lit(size).alias("bits"), *POINT_CELL, "sites") for size, done in settled]
+    return stored(reduce(DataFrame.unionByName, lists)), [size for size, _ in settled]
 
 
 def _located(df: DataFrame, lon: str, lat: str, **others: str) -> DataFrame:
@@ -223,19 +227,21 @@ def _with_candidates(
 
     The ``site`` of a location is one of its sites; the flag tells whether some location has more.
     """
-    located = _with_axes(points)
+    seen = Observation()
+    bounds = [F.expr(bound) for bound in _BOUNDS]
+    located = stored(_with_axes(points).observe(seen, F.count("*").alias("n"), *bounds))
     locations = _with_axes(sites.groupBy("lon", "lat").agg(F.count("*").alias("here"), F.min("site").alias("site")))
-    grid = _grid(locations)
+    grid = _grid(locations, seen.get) if seen.get["n"] else None
     if grid is None:
         nowhere = F.array(F.struct("lon", "lat", F.lit(None).cast(sites.schema["site"].dataType).alias("site"), *AXES))
         return located.select("*", nowhere.alias("sites")).filter(F.lit(False)), False
-    tiers = [
-        located.selectExpr("*", *_cell_exprs(POINT_CELL, bits))
-        .join(leaf, list(POINT_CELL))
-        .select(*located.columns, "sites")
-        for bits, leaf in _leaves(located.select(*AXES), locations, grid, max_candidates)
-    ]
-    return reduce(DataFrame.unionByName, tiers), grid.shared
+    leaves, sizes = _leaves(located.select(*AXES), locations, grid, max_candidates)
+    addresses = ", ".join(
+        f"named_struct('bits', {bits}, {', '.join(f'{e!r}, {x}' for e, x in zip(POINT_CELL, _cell_values(bits)))})"
+        for bits in sizes
+    )
+    addressed = located.selectExpr("*", f"inline(array({addresses}))")
+    return addressed.join(leaves, ["bits", *POINT_CELL]).select(*located.columns, "sites"), grid.shared
 
 
 def _closest(candidates: DataFrame, radius_m: float) -> DataFrame:

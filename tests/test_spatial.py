@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casegrid.functions import haversine, inside, polygon_edges
-from casegrid.operators.contains import join_contains
+from casegrid.operators.contains import _cells_of, join_contains
 from casegrid.operators.nearest import nearest, nearest_summary
 
 POINTS = "id int, lon double, lat double"
@@ -83,10 +83,55 @@ def test_crowded_cells_go_through_finer_tiers(spark, name):
     points, sites = case(name)
     points, sites = spark.createDataFrame(points, POINTS), spark.createDataFrame(sites, SITES)
     found = nearest(points, sites, point_id="id", max_candidates=6, **NAMES)
-    assert found._jdf.queryExecution().optimizedPlan().toString().count("Union") >= 1
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("bits") >= 2
     assert sorted((r["id"], r["site"]) for r in found.collect()) == brute_nearest(points, sites)
 
 
+def test_a_source_that_changes_loses_no_point(spark):
+    """The points are read once, so each keeps its place whatever a second reading would give."""
+    points = spark.range(0, 200, numPartitions=4).selectExpr("cast(id AS int) AS id", "rand() * 360 - 180 AS lon", "rand() * 180 - 90 AS lat")
+    sites = spark.createDataFrame(uniform(random.Random(1), 40), SITES)
+    found = nearest(points, sites, point_id="id", **NAMES)
+    assert found.select("id").distinct().count() == 200
+
+
+def test_no_point_and_one_hot_cell(spark):
+    sites = spark.createDataFrame(uniform(random.Random(2), 40), SITES)
+    assert nearest(spark.createDataFrame([], POINTS), sites, point_id="id", **NAMES).count() == 0
+    crowd = [(i, 10.0, 10.0) for i in range(3000)] + [(i + 5000, x, y) for i, x, y in uniform(random.Random(3), 100)]
+    points = spark.createDataFrame(crowd, POINTS)
+    found = sorted((r["id"], r["site"]) for r in nearest(points, sites, point_id="id", **NAMES).collect())
+    assert found == brute_nearest(points, sites)
+
+
+def test_compact_sites_and_spread_points_need_few_pairs(spark, monkeypatch):
+    """Far points are measured against all sites at once instead of being refined."""
+    from casegrid.operators import nearest as module
+
+    pairs = []
+    judged = module._prune
+    monkeypatch.setattr(module, "_prune", lambda table: pairs.append(judged(table)) or pairs[-1])
+    rng = random.Random(4)
+    points = spark.createDataFrame(uniform(rng, 4000), POINTS)
+    sites = spark.createDataFrame(uniform(rng, 50, lon=(-118.41, -118.4), lat=(34.0, 34.01)), SITES)
+    found = nearest(points, sites, point_id="id", **NAMES)
+    assert sum(table.count() for table in pairs) < 4000
+    assert found.select("id").distinct().count() == 4000
+
+
+def test_many_vertices_are_listed_in_small_cells(spark):
+    ring = [[math.cos(2 * math.pi * (i % 5000) / 5000), math.sin(2 * math.pi * (i % 5000) / 5000)] for i in range(5001)]
+    disc = spark.createDataFrame([("disc", [[ring]])], "key string, coordinates array<array<array<array<double>>>>")
+    rng = random.Random(5)
+    spots = [(i, rng.uniform(-1.2, 1.2), rng.uniform(-1.2, 1.2)) for i in range(500)]
+    found = join_contains(spark.createDataFrame(spots, POINTS), disc, lon="lon", lat="lat")
+    # between the two circles only the polygon itself could tell
+    clear = [(i, x * x + y * y < 1) for i, x, y in spots if abs(x * x + y * y - 1) > 1e-5]
+    inner = {r["id"] for r in found.collect()}
+    assert inner & {i for i, _ in clear} == {i for i, within in clear if within}
+    assert _cells_of(disc, "coordinates").selectExpr("max(size(_edges))").first()[0] <= 64
+
+
 def test_window_method_gives_the_same_rows(spark):
     points, sites = case("lattice")
     points, sites = spark.createDataFrame(points, POINTS), spark.createDataFrame(sites, SITES)
