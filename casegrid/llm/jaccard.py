@@ -9,7 +9,9 @@ Documents with equal sets are one node. Then:
 3. Bound: a node meets a group if a shingle of its own prefix is in the group's row, sizes fit, and what follows the
    shingle on both sides is enough for a link. For groups of several members the whole union must hold enough of
    the node's set as well.
-4. Only these groups are opened: their members are compared with the node, on whole sets.
+4. Only these groups are opened: their members are compared with the node, on whole sets. Before any set is
+   shuffled, parity bitmaps bound the difference of two sets from below, and a node that links to a member
+   cannot differ from the group's centre by more than two links allow.
 
 Prefix lengths follow from the threshold, so no link is lost; links within a group need no comparison to
 know that the group hangs together. Components follow from the links.
@@ -30,7 +32,7 @@ from casegrid.llm.components import components
 from casegrid.operators.storage import fits_broadcast, stored
 
 #: Places of the rarity counts (any order of shingles is right, a good one is fast), and min-hashes of a node.
-RARITY_BITS, SKETCH, KEYS = 18, 16, 3
+RARITY_BITS, SKETCH, KEYS, PARITY_BITS = 18, 16, 3, 1024
 #: Of the SKETCH min-hashes, so many must agree before a node is compared with a group's centre.
 ALIKE = 11
 _SEEDS = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))[:, None]
@@ -50,6 +52,12 @@ def _places(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - RARITY_BITS)).astype(np.int64)
 
 
+def _parity(shingles: np.ndarray) -> np.ndarray:
+    """Of each bit, whether an odd number of shingles falls on it: sets differ at least as often as these bits do."""
+    odd = np.bincount((shingles & np.uint64(PARITY_BITS - 1)).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _described(rows: DataFrame, size: int) -> DataFrame:
     """kind 0: (id, n, node) of each row; kind 1: (place, count) of shingles in a task."""
 
@@ -69,7 +77,7 @@ def _described(rows: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(found, "kind int, id long, n long, node long")
 
 
-_NODES = "node long, size int, keys array<long>, sketch binary, common long, prefix array<long>"
+_NODES = "node long, size int, keys array<long>, sketch binary, parity array<long>, common long, prefix array<long>"
 
 
 def _nodes(rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> DataFrame:
@@ -94,14 +102,15 @@ def _nodes(rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> Data
                         n,
                         minimal[:KEYS].view(np.int64),
                         (minimal >> np.uint64(56)).astype(np.uint8).tobytes(),
+                        _parity(shingles),
                         int(rarity[order[0]]),
                         shingles[order[:probe]].view(np.int64),
                     )
                 )
             if out:
-                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.int64(), pa.list_(pa.int64()))
+                kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.int64(), pa.list_(pa.int64()))
                 arrays = [pa.array(list(column), kind) for column, kind in zip(zip(*out), kinds)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "keys", "sketch", "common", "prefix"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "keys", "sketch", "parity", "common", "prefix"])
 
     return rows.mapInArrow(found, _NODES).dropDuplicates(["node"])
 
@@ -165,6 +174,15 @@ class JaccardJoin:
         joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
         return joined.mapInArrow(compared, "a long, b long")
 
+    def possible(self, pairs: DataFrame, percent: int) -> DataFrame:
+        """Those (a, b) that may have a Jaccard similarity of ``percent`` by their parity bitmaps; none that has it goes."""
+        bits = self.nodes.select("node", "size", "parity")
+        left = bits.toDF("a", "a_size", "a_parity")
+        right = bits.toDF("b", "b_size", "b_parity")
+        differ = " + ".join(f"bit_count(a_parity[{k}] ^ b_parity[{k}])" for k in range(PARITY_BITS // 64))
+        allowed = f"({differ}) * {100 + percent} <= (a_size + b_size) * {100 - percent}"
+        return pairs.join(left, "a").join(right, "b").filter(F.expr(allowed)).select(*pairs.columns)
+
     def centre_links(self) -> DataFrame:
         """Links (a, b) of nodes a with the centres b of nodes that share one of their min-hashes."""
         keyed = self.nodes.select("node", "size", "sketch", "common", F.posexplode("keys").alias("nth", "key"))
@@ -178,7 +196,8 @@ class JaccardJoin:
             & _sizes_fit(F.col("size"), F.col("centre.size"), self.percent)
             & (F.expr(agree) >= ALIKE)
         )
-        pairs = stored(pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct())
+        pairs = pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct()
+        pairs = stored(self.possible(pairs, self.percent))
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
         return stored(self.linked(pairs, self.sets(ends)))
 
@@ -212,16 +231,20 @@ class JaccardJoin:
         """(a, b): enough links between nodes that every link of two nodes lies within a component."""
         centred = self.centre_links()
         grouped = stored(self.groups(centred))
-        met = stored(self.candidates(grouped))
-        members = grouped.join(met.select("in_group").distinct(), "in_group", "left_semi")
-        several = stored(members.select("in_group", F.col("node").alias("b")))
-        single = met.select("a", F.col("in_group").alias("b"))  # the centre, or the only member
-        of_several = met.join(several.select("in_group").distinct(), "in_group", "left_semi")
-        asked = stored(of_several)
-        ends = single.select(F.col("a").alias("node")).union(single.select("b")).union(several.select("b"))
+        met = stored(self.candidates(grouped).withColumnRenamed("in_group", "b"))  # b is the centre, or the only member
+        several = grouped.select("in_group").distinct()
+        single = self.possible(met, self.percent)
+        # one link to a member and the member's to the centre: distances add up at most
+        asked = met.join(several, met["b"] == several["in_group"], "left_semi")
+        asked = stored(self.possible(asked, max(0, 2 * self.percent - 100)).withColumnRenamed("b", "in_group"))
+        members = grouped.join(asked.select("in_group").distinct(), "in_group", "left_semi")
+        members = stored(members.select("in_group", F.col("node").alias("b")))
+        single = stored(single)
+        ends = single.select(F.col("a").alias("node")).union(single.select("b"))
+        ends = ends.union(asked.select("a")).union(members.select("b")).union(members.select("in_group"))
         sets = self.sets(ends)
-        pairs = single.union(self.opened(asked, several, sets)).distinct()
-        return centred.union(self.linked(pairs, sets))
+        opened = self.possible(self.opened(asked, members, sets), self.percent)
+        return centred.union(self.linked(single.union(opened).distinct(), sets))
 
     def opened(self, asked: DataFrame, several: DataFrame, sets: DataFrame) -> DataFrame:
         """(a, b) for the members b of groups whose union holds enough of a."""
