@@ -256,7 +256,7 @@ def test_a_hot_cell_is_split(spark):
         ring = [[0.0, 0.0], [100.0, 0.0], [100.0, 100.0], [0.0, 100.0], [0.0, 0.0]]
         polygons = spark.createDataFrame([("all", [[ring]])], "key string, coordinates array<array<array<array<double>>>>")
         found = join_contains(spots, polygons, lon="lon", lat="lat", boundary="half_open")
-        assert found.count() == 30000 - spots.filter("lon >= 100 OR lat >= 100").count()
+        assert found.count() == 30000 - spots.filter("lon >= 100 OR lat > 90").count()  # no place is further north
         found.collect()
         assert "skew=true" in found._jdf.queryExecution().executedPlan().toString()
     finally:
