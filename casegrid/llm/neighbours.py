@@ -11,7 +11,7 @@ on the original vectors in double precision, until none is left to open. Each ro
 with the graph and of the neighbours found with blocks of vectors.
 
 The measure is the inner product. For building, vectors get one more component that makes them equally long,
-so that near means large inner product whatever their lengths; they are rounded to bytes there.
+so that near means large inner product whatever their lengths; they have single precision there.
 """
 
 from __future__ import annotations
@@ -57,7 +57,7 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def _codes(vectors: DataFrame, longest: float) -> DataFrame:
-    """(node, code, scale): vectors of equal length as bytes."""
+    """(node, code): vectors of equal length in single precision."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -65,16 +65,14 @@ def _codes(vectors: DataFrame, longest: float) -> DataFrame:
                 continue
             x = _matrix(batch.column(1)) / longest
             x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1, keepdims=True)))])
-            scale = np.abs(x).max(1) / 127
-            code = np.rint(x / scale[:, None]).astype(np.int8)
-            arrays = [batch.column(0), pa.array([c.tobytes() for c in code], pa.binary()), pa.array(scale.astype(np.float32))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["node", "code", "scale"])
+            arrays = [batch.column(0), pa.array([c.tobytes() for c in x.astype(np.float32)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "code"])
 
-    return vectors.select("node", "vec").mapInArrow(coded, "node long, code binary, scale float")
+    return vectors.select("node", "vec").mapInArrow(coded, "node long, code binary")
 
 
-def _decoded(codes: list[bytes], scales: np.ndarray) -> np.ndarray:
-    return np.frombuffer(b"".join(codes), np.int8).reshape(len(codes), -1).astype(np.float32) * scales[:, None]
+def _decoded(codes: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(codes), np.float32).reshape(len(codes), -1)
 
 
 def _start(codes: DataFrame, seed: int = 7) -> DataFrame:
@@ -84,12 +82,12 @@ def _start(codes: DataFrame, seed: int = 7) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _decoded(batch.column(1).to_pylist(), batch.column(2).to_numpy())
+            x = _decoded(batch.column(1).to_pylist())
             directions = np.random.default_rng(seed).standard_normal((x.shape[1], DIRECTIONS)).astype(np.float32)
             along = x @ directions
             for t in range(DIRECTIONS):
                 arrays = [pa.array(np.full(len(x), t, np.int32)), pa.array(along[:, t]), *batch.columns]
-                yield pa.RecordBatch.from_arrays(arrays, names=["t", "along", "node", "code", "scale"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["t", "along", "node", "code"])
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -103,14 +101,14 @@ def _start(codes: DataFrame, seed: int = 7) -> DataFrame:
             yield _block(held)
 
     parts = int(codes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = codes.mapInArrow(projected, "t int, along float, node long, code binary, scale float")
+    rows = codes.mapInArrow(projected, "t int, along float, node long, code binary")
     rows = rows.repartitionByRange(parts, "t", "along", "node").sortWithinPartitions("t", "along", "node")
     return rows.mapInArrow(compared, _LISTS)
 
 
 def _block(rows: list[tuple]) -> pa.RecordBatch:
     nodes = np.array([row[2] for row in rows], np.int64)
-    x = _decoded([row[3] for row in rows], np.array([row[4] for row in rows], np.float32))
+    x = _decoded([row[3] for row in rows])
     near = x @ x.T
     np.fill_diagonal(near, -np.inf)
     most = min(START, len(nodes) - 1)
@@ -151,7 +149,7 @@ def _acquainted(graph: DataFrame, codes: DataFrame, seed: int) -> DataFrame:
     worst = F.when(F.size("scores") >= NEIGHBOURS, F.array_min("scores")).otherwise(F.lit(-2.0)).cast("float")
     known = codes.join(graph.select("node", worst.alias("worst")), "node").withColumnRenamed("node", "to")
     met = ahead.union(back).join(known, "to").groupBy("at").agg(
-        F.collect_list(F.struct("to", "fresh", "code", "scale", "worst")).alias("met")
+        F.collect_list(F.struct("to", "fresh", "code", "worst")).alias("met")
     )
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,12 +158,10 @@ def _acquainted(graph: DataFrame, codes: DataFrame, seed: int) -> DataFrame:
             lists = batch.column(0)
             for k in range(len(lists)):
                 entry = lists[k].values
-                to, fresh, scale, worst = (
-                    entry.field(f).to_numpy(zero_copy_only=False) for f in ("to", "fresh", "scale", "worst")
-                )
+                to, fresh, worst = (entry.field(f).to_numpy(zero_copy_only=False) for f in ("to", "fresh", "worst"))
                 if len(to) < 2:
                     continue
-                x = _decoded(entry.field("code").to_pylist(), scale)
+                x = _decoded(entry.field("code").to_pylist())
                 near = x @ x.T
                 near[~(fresh[:, None] | fresh[None, :]) | (to[:, None] == to[None, :]) | (near <= worst[:, None])] = -np.inf
                 most = min(BEST, len(to) - 1)
