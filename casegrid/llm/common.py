@@ -7,17 +7,16 @@ every executor and in every run.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.operators.rows import quoted
 
-CACHED_WORDS, CHUNK_WORDS = 400_000, 1 << 20
+CACHED_WORDS, CHUNK_WORDS = 300_000, 1 << 18
 
 #: Bytes of words as they are compared: digits, small ASCII letters and all of non-ASCII; the rest parts words.
 _WORD_BYTES = bytes(
@@ -30,7 +29,7 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORD_BYTES).split()
 
 
-def word_chunks(texts: list[bytes | None], split=None) -> Iterator[tuple[int, list[list[bytes]]]]:
+def word_chunks(texts: Iterable[bytes | None], split=None) -> Iterator[tuple[int, list[list[bytes]]]]:
     """(first row, words of each row) in runs of rows with about CHUNK_WORDS words."""
     first, held, size = 0, [], 0
     for k, text in enumerate(texts):
@@ -50,21 +49,8 @@ def with_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
 
 
-def by_batch(df: DataFrame, rows: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
-    """``rows`` turns a batch into columns by name; Spark asks for one batch after the other."""
-    names = [field.split()[0] for field in schema.split(",")]
-
-    def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                columns = rows(batch)
-                yield pa.RecordBatch.from_arrays([as_arrow(columns[name]) for name in names], names=names)
-
-    return df.mapInArrow(mapped, schema)
-
-
-def as_arrow(values) -> pa.Array:
-    return values if isinstance(values, pa.Array) else pa.array(values)
+#: Caches of other kinds. Workers are reused from stage to stage, so whoever fills one cache empties the others.
+OTHER_CACHES: list[dict] = []
 
 
 class WordHashes(dict):
@@ -80,7 +66,13 @@ class WordHashes(dict):
 _WORD_HASHES = WordHashes()
 
 
+def forget_hashes() -> None:
+    _WORD_HASHES.clear()
+
+
 def hash_words(words: list[bytes]) -> np.ndarray:
+    for cache in OTHER_CACHES:
+        cache.clear()
     return np.fromiter(map(_WORD_HASHES.__getitem__, words), np.uint64, len(words))
 
 

@@ -113,7 +113,7 @@ def _count_shingles(docs: DataFrame, index: WindowIndex) -> dict[int, np.ndarray
         index = shared.value
         counts = {size: np.zeros(len(codes), np.int64) for size, codes in index.vocabulary.items()}
         for batch in batches:
-            for _, held in word_chunks(batch.column("text").to_pylist()):
+            for _, held in word_chunks(t.as_py() for t in batch.column("text")):
                 ids, _ = _flat(index, held)
                 for size, vocabulary in index.vocabulary.items():
                     codes = _places(ids, size)[1]
@@ -164,7 +164,7 @@ def _matched(docs: DataFrame, index: WindowIndex) -> DataFrame:
         index = shared.value
         for batch in batches:
             n_words, spans, items = [], [], []
-            for _, held in word_chunks(batch.column("text").to_pylist()):
+            for _, held in word_chunks(t.as_py() for t in batch.column("text")):
                 ids, starts = _flat(index, held)
                 edges = np.zeros(len(ids) + 1, np.int64)
                 own: list[set] = [set() for _ in held]

@@ -15,6 +15,8 @@ from array import array
 import numpy as np
 from tokenizers import Tokenizer
 
+from casegrid.llm.common import OTHER_CACHES, forget_hashes
+
 CACHED_WORDS, CACHED_PARTS = 400_000, 200_000
 
 #: Letters of ASCII and Latin-1 (composed, with simple lower case), then ASCII punctuation without ' and <.
@@ -40,6 +42,7 @@ class Subwords:
         self._symbols = _byte_symbols()
         self._parts: dict[str, bytes] = {}
         self._words = _Words(self)
+        OTHER_CACHES.extend((self._parts, self._words))
         with open(tokenizer_file, encoding="utf-8") as file:
             spec = json.load(file)
         self._splits = _drops_white_space(spec)
@@ -108,6 +111,7 @@ _LOADED: dict[str, Subwords] = {}
 
 def subwords(tokenizer_file: str) -> Subwords:
     """One encoder per file and Python worker."""
+    forget_hashes()
     if tokenizer_file not in _LOADED:
         _LOADED[tokenizer_file] = Subwords(tokenizer_file)
     return _LOADED[tokenizer_file]

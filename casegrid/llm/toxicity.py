@@ -40,7 +40,6 @@ class Places:
     before: np.ndarray
     pair: np.ndarray
     doc: np.ndarray
-    word_hash: np.ndarray
     before_hash: np.ndarray
 
 
@@ -56,7 +55,6 @@ def places(docs: list[list[bytes]]) -> Places:
         (before >> shift).astype(np.int64),
         (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64),
         np.repeat(np.arange(len(docs)), lengths),
-        hashes,
         before,
     )
 
@@ -72,49 +70,51 @@ def _types(masks: np.ndarray) -> np.ndarray:
     return -64.0 * np.log1p(-np.minimum(ones, 63.5) / 64.0)
 
 
-#: Rows of counters: kind 0 counts words by class, 1 pairs by class, 2 holds context bits, 3 kept counts by word before.
-_COUNTS = "kind int, place int, n0 double, n1 double, bits long"
+#: Counters of words come first, those of pairs after them.
+_COUNTS, _BITS = "place int, n0 float, n1 float", "place int, bits long"
+_PART = 1 << 18
 
 
-def _counters(kind: int, table: np.ndarray | None, bits: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    size = table.shape[1] if bits is None else len(bits)
-    for low in range(0, size, 1 << 18):
-        part = slice(low, low + (1 << 18))
-        seen = np.flatnonzero(table[:, part].any(0) if bits is None else bits[part])
+def _counters(table: np.ndarray, offset: int = 0) -> Iterator[pa.RecordBatch]:
+    """The places of a task's table that are not zero, by class."""
+    for low in range(0, table.shape[1], _PART):
+        part = table[:, low : low + _PART]
+        seen = np.flatnonzero(part.any(0))
         if len(seen):
-            none = np.zeros(len(seen))
-            n0, n1 = (none, none) if bits is not None else (table[0, part][seen], table[1, part][seen])
-            mask = np.zeros(len(seen), np.int64) if bits is None else bits[part][seen].view(np.int64)
-            arrays = [np.full(len(seen), kind, np.int32), (seen + low).astype(np.int32), n0.astype(float), n1.astype(float), mask]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["kind", "place", "n0", "n1", "bits"])
+            arrays = [(seen + low + offset).astype(np.int32), part[0, seen].astype(np.float32), part[1, seen].astype(np.float32)]
+            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["place", "n0", "n1"])
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Places, np.ndarray, np.ndarray]]:
     """Places of labelled texts, the label of each word and of each text."""
     for batch in batches:
         labels = np.array(batch.column("label").to_pylist(), np.int64)
-        for first, held in word_chunks(batch.column("text").to_pylist()):
+        for first, held in word_chunks(t.as_py() for t in batch.column("text")):
             at = places(held)
             yield at, labels[first + at.doc], labels[first : first + len(held)]
 
 
 def _count_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, pairs = np.zeros((2, 1 << WORD_BITS)), np.zeros((2, 1 << PAIR_BITS))
+    words, pairs = np.zeros((2, 1 << WORD_BITS), np.int32), np.zeros((2, 1 << PAIR_BITS), np.int32)
     for at, label, _ in _chunks(batches):
         for c in (0, 1):
-            words[c] += np.bincount(at.word[label == c], minlength=words.shape[1])
-            pairs[c] += np.bincount(at.pair[label == c], minlength=pairs.shape[1])
-    yield from _counters(0, words)
-    yield from _counters(1, pairs)
+            np.add.at(words[c], at.word[label == c], 1)
+            np.add.at(pairs[c], at.pair[label == c], 1)
+    yield from _counters(words)
+    yield from _counters(pairs, 1 << WORD_BITS)
 
 
 def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bits = np.zeros(1 << WORD_BITS, np.uint64)
     for batch in batches:
-        for _, held in word_chunks(batch.column("text").to_pylist()):
+        for _, held in word_chunks(t.as_py() for t in batch.column("text")):
             at = places(held)
             np.bitwise_or.at(bits, at.word, _bit(at.before_hash))
-    yield from _counters(2, None, bits)
+    for low in range(0, len(bits), _PART):
+        seen = np.flatnonzero(bits[low : low + _PART]) + low
+        if len(seen):
+            arrays = [pa.array(seen.astype(np.int32)), pa.array(bits[seen].view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["place", "bits"])
 
 
 @dataclass
@@ -131,7 +131,9 @@ class Model:
         self.totals = self.words.sum(1, dtype=np.float64)
         #: The same rate in both classes: DISCOUNT occurrences in the smaller one.
         self.discounts = DISCOUNT * np.maximum(1, self.totals) / max(1.0, self.totals.min())
-        self.backoff = [1 - np.maximum(self.words[c] - self.discounts[c], 0).sum() / max(1, self.totals[c]) for c in (0, 1)]
+        self.backoff = [
+            1 - np.maximum(self.words[c] - self.discounts[c], 0).sum(dtype=np.float64) / max(1, self.totals[c]) for c in (0, 1)
+        ]
 
     def features(self, docs: list[list[bytes]], leave_out: np.ndarray | None = None) -> np.ndarray:
         """What the score is made of, per document: the mean over its words of
@@ -174,7 +176,7 @@ class Model:
                 pair = np.maximum(self.pairs[c][at.pair[own]].astype(np.float64), 1)
                 share = np.maximum(pair - self.discounts[c], 0) / pair
                 kept[c] += np.bincount(at.before[own], share, minlength=kept.shape[1])
-        yield from _counters(3, kept)
+        yield from _counters(kept)
 
     def scores(self, docs: list[list[bytes]]) -> np.ndarray:
         features = self.features(docs)
@@ -199,33 +201,28 @@ def fit_toxicity(
     """The two models, from the labelled rows for which ``usable`` (over ``id``) holds and from all texts."""
     train = labelled(docs, labels, label, usable, id_col=id_col, text_col=text_col).select("text", "label")
     everything = with_text(docs, id_col, text_col).select("text")
-    counted = train.mapInArrow(_count_classes, _COUNTS).union(everything.mapInArrow(_count_contexts, _COUNTS))
-    words, pairs = np.zeros((2, 1 << WORD_BITS), np.float32), np.zeros((2, 1 << PAIR_BITS), np.float32)
+    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
+    words, pairs = np.split(_summed(train.mapInArrow(_count_classes, _COUNTS), size), [1 << WORD_BITS], axis=1)
+    seen = everything.mapInArrow(_count_contexts, _BITS).groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
     bits = np.zeros(1 << WORD_BITS, np.int64)
-    for kind, place, counts, mask in _summed(counted):
-        for c in (0, 1):
-            words[c][place[kind == 0]] = counts[c][kind == 0]
-            pairs[c][place[kind == 1]] = counts[c][kind == 1]
-        bits[place[kind == 2]] = mask[kind == 2]
+    bits[seen.column("place").to_numpy()] = seen.column("bits").to_numpy()
     contexts = _types(bits.view(np.uint64)) + 0.5
     model = Model(words, pairs, contexts / contexts.sum())
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept = np.zeros((2, 1 << WORD_BITS), np.float32)
-    for _, place, counts, _ in _summed(train.mapInArrow(lambda batches: shared.value.kept_pairs(batches), _COUNTS)):
-        for c in (0, 1):
-            kept[c][place] = counts[c]
-    model.kept = kept
+    kept_rows = train.mapInArrow(lambda batches: shared.value.kept_pairs(batches), _COUNTS)
+    model.kept = _summed(kept_rows, 1 << WORD_BITS)
     model.coefficients = _calibrated(model, labelled(docs, labels, label, usable, calibration_rows, id_col, text_col))
     return model
 
 
-def _summed(counted: DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray], np.ndarray]]:
-    """Counters of all tasks together: as many rows as the tables have places, whatever the corpus."""
-    found = counted.groupBy("kind", "place").agg(
-        F.sum("n0").alias("n0"), F.sum("n1").alias("n1"), F.bit_or("bits").alias("bits")
-    ).toArrow()
-    kind, place, n0, n1, bits = (found.column(name).to_numpy() for name in ("kind", "place", "n0", "n1", "bits"))
-    yield kind, place, (n0, n1), bits
+def _summed(counted: DataFrame, size: int) -> np.ndarray:
+    """Counters of all tasks together, by class: at most ``size`` rows reach the driver, whatever the corpus."""
+    sums = counted.groupBy("place").agg(*[F.sum(n).cast("float").alias(n) for n in ("n0", "n1")])
+    found = sums.toArrow()
+    table = np.zeros((2, size), np.float32)
+    for c, name in enumerate(("n0", "n1")):
+        table[c, found.column("place").to_numpy()] = found.column(name).to_numpy()
+    return table
 
 
 def _calibrated(model: Model, rows: DataFrame) -> np.ndarray:
@@ -235,7 +232,7 @@ def _calibrated(model: Model, rows: DataFrame) -> np.ndarray:
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = np.array(batch.column("label").to_pylist(), np.int64)
-            for first, held in word_chunks(batch.column("text").to_pylist()):
+            for first, held in word_chunks(t.as_py() for t in batch.column("text")):
                 own = labels[first : first + len(held)]
                 x = shared.value.features(held, own)
                 arrays = [pa.array(list(x), pa.list_(pa.float64())), pa.array(own)]
@@ -260,7 +257,7 @@ def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_c
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [shared.value.scores(held) for _, held in word_chunks(batch.column("text").to_pylist())]
+            parts = [shared.value.scores(held) for _, held in word_chunks(t.as_py() for t in batch.column("text"))]
             yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.concatenate(parts))], names=["doc_id", "score"])
 
     return with_text(docs, id_col, text_col).mapInArrow(scored, "doc_id long, score double")
