@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid import plans
-from casegrid.functions import DATE_PATTERN, EARTH_RADIUS_M, haversine, matches_text, parse_money, year_of
+from casegrid.functions import DATE_PATTERN, EARTH_RADIUS_M, haversine, matches_text, year_of
 from casegrid.operators.contains import contains_count, join_contains
 from casegrid.operators.counts import banded_count, token_frequency
 from casegrid.operators.nearest import nearest, nearest_summary
