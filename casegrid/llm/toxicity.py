@@ -6,9 +6,10 @@ or not. What falls below one and the same rate in both classes is discounted who
 judge a rare expression alike. The score is a logistic function of the difference of the two log-likelihoods
 per word and of the single words that differ most.
 
-Counts lie in tables of fixed width indexed by word hashes, so what is sent to the executors does not
-grow with the corpus; counters of expressions that share a place are added. The counts are gathered over
-every labelled row, the contexts over every row.
+Words and pairs are counted exactly, as rows of Spark tables keyed by 64-bit hashes. Of these tables the models
+need no more than what either class has beyond the discount: a pair below it adds nothing, and a word below it
+has its contexts in both likelihoods alike, so that they cancel. That part is sent out in shards of a bounded
+number of words and pairs; each word of a text is looked up in the one shard that has its cell.
 """
 
 from __future__ import annotations
@@ -22,170 +23,231 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.llm.common import hash_words, mixed, with_text, word_chunks
-from casegrid.llm.labelled import fit_logistic, labelled, sigmoid
+from casegrid.llm.labelled import fit_logistic, labelled
+from casegrid.operators.storage import stored
 
-WORD_BITS, PAIR_BITS, DISCOUNT = 19, 21, 6.0
+DISCOUNT = 6.0
 #: Logs of ratios beyond which a word counts as telling.
 TELLING = (1.0, 2.0, 3.0, 4.0)
 #: At most so many labelled rows set the two numbers that turn a likelihood ratio into a score.
 CALIBRATION_ROWS = 20_000
+#: A shard has about so many words and pairs at most; a task sums up so many rows before it hands them on.
+SHARD_WORDS, SHARD_PAIRS, HELD = 1 << 20, 1 << 22, 1 << 20
 _START = np.uint64(0x5851F42D4C957F2D)
+_START_KEY = int(_START)  # below 2**63, so the same as a long
 
 
 @dataclass(frozen=True)
 class Places:
-    """Word and pair places of a run of documents; ``doc`` numbers them."""
+    """Hashes of the words of a run of documents and of the words before them; ``doc`` numbers the documents."""
 
     word: np.ndarray
     before: np.ndarray
-    pair: np.ndarray
     doc: np.ndarray
-    before_hash: np.ndarray
 
 
 def places(docs: list[list[bytes]]) -> Places:
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
     hashes = hash_words([word for words in docs for word in words])
-    before = np.concatenate([[_START], hashes[:-1]]) if len(hashes) else hashes
+    before = np.concatenate([[_START], hashes[:-1]]) if len(hashes) else hashes.copy()
     before[(np.cumsum(lengths) - lengths)[lengths > 0]] = _START
-    pair = mixed(mixed(before) ^ hashes)
-    shift = np.uint64(64 - WORD_BITS)
-    return Places(
-        (hashes >> shift).astype(np.int64),
-        (before >> shift).astype(np.int64),
-        (pair >> np.uint64(64 - PAIR_BITS)).astype(np.int64),
-        np.repeat(np.arange(len(docs)), lengths),
-        before,
-    )
+    return Places(hashes, before, np.repeat(np.arange(len(docs)), lengths))
 
 
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    """One of 64 bits for each word as a context."""
-    return np.uint64(1) << (mixed(hashes) >> np.uint64(58))
+def _pair(before: np.ndarray, word: np.ndarray) -> np.ndarray:
+    return mixed(mixed(before) ^ word)
 
 
-def _types(masks: np.ndarray) -> np.ndarray:
-    """Linear counting: how many different contexts have set these bits."""
-    ones = np.unpackbits(masks.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1).sum(1)
-    return -64.0 * np.log1p(-np.minimum(ones, 63.5) / 64.0)
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of ``keys`` (at least one) and where in it the runs of equal keys begin."""
+    order = np.argsort(keys)
+    ordered = keys[order]
+    return order, np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
 
 
-#: Counters of words come first, those of pairs after them.
-_COUNTS, _BITS = "place int, n0 float, n1 float", "place int, bits long"
-_PART = 1 << 18
+def _batches(names: list[str], columns: list[np.ndarray], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    for low in range(0, len(columns[0]), rows):
+        yield pa.RecordBatch.from_arrays([pa.array(c[low : low + rows]) for c in columns], names=names)
 
 
-def _counters(table: np.ndarray, offset: int = 0) -> Iterator[pa.RecordBatch]:
-    """The places of a task's table that are not zero, by class."""
-    for low in range(0, table.shape[1], _PART):
-        part = table[:, low : low + _PART]
-        seen = np.flatnonzero(part.any(0))
-        if len(seen):
-            arrays = [(seen + low + offset).astype(np.int32), part[0, seen].astype(np.float32), part[1, seen].astype(np.float32)]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["place", "n0", "n1"])
+_WORDS, _PAIRS = "key long, n0 long, n1 long", "before long, word long, n0 long, n1 long"
+_PARTS = "before long, word long, n0 long, n1 long, contexts long"
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Places, np.ndarray, np.ndarray]]:
-    """Places of labelled texts, the label of each word and of each text."""
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(words, words before, labels or -1) of texts, in runs of some HELD words."""
+    held, size = [], 0
     for batch in batches:
-        labels = np.array(batch.column("label").to_pylist(), np.int64)
-        for first, held in word_chunks(t.as_py() for t in batch.column("text")):
-            at = places(held)
-            yield at, labels[first + at.doc], labels[first : first + len(held)]
+        labels = batch.column("label").fill_null(-1).to_numpy()
+        for first, docs in word_chunks(t.as_py() for t in batch.column("text")):
+            at = places(docs)
+            held.append((at.word, at.before, labels[first + at.doc].astype(np.int8)))
+            size += len(at.word)
+            if size >= HELD:
+                yield tuple(map(np.concatenate, zip(*held)))
+                held, size = [], 0
+    if size:
+        yield tuple(map(np.concatenate, zip(*held)))
+
+
+def _by_class(label: np.ndarray, order: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    return [np.add.reduceat((label == c)[order].astype(np.int64), first) for c in (0, 1)]
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How often each class has each word; the start of a text counts as a word before."""
+    for word, before, label in _tokens(batches):
+        starts = before == _START
+        keys, label = np.append(word, before[starts]), np.append(label, label[starts])
+        order, first = _runs(keys)
+        yield from _batches(["key", "n0", "n1"], [keys[order[first]].view(np.int64), *_by_class(label, order, first)])
+
+
+def _count_pairs(kept: np.ndarray | None):
+    """How often each class has each pair of words, 0 for those of unlabelled texts only. Of pairs whose word is not in
+    ``kept`` only the number matters: they have a hash of both instead of the word before, no word and no counts."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for word, before, label in _tokens(batches):
+            pair = _pair(before, word)
+            if kept is not None:
+                rest = _find(kept, word) == len(kept)
+                before, word, label = np.where(rest, pair, before), np.where(rest, np.uint64(0), word), np.where(rest, -1, label)
+            order, first = _runs(pair)
+            one = order[first]
+            yield from _batches(["before", "word", "n0", "n1"], [before[one].view(np.int64), word[one].view(np.int64), *_by_class(label, order, first)])
+
+    return counted
+
+
+def _parted(discounts: np.ndarray):
+    """From all pairs: those beyond the discount (their ``contexts`` are NULL), and contexts by word."""
+
+    def summed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        before, word, n0, n1 = map(np.concatenate, zip(*rows))
+        names = ["before", "word", "n0", "n1", "contexts"]
+        beyond = (n0 > discounts[0]) | (n1 > discounts[1])
+        if beyond.any():
+            arrays = [pa.array(c[beyond]) for c in (before, word, n0, n1)]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(int(beyond.sum()), pa.int64())], names=names)
+        order, first = _runs(word)
+        none, contexts = np.zeros(len(first), np.int64), np.diff(np.append(first, len(word)))
+        yield from _batches(names, [none, word[order[first]], none, none, contexts])
+
+    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(tuple(column.to_numpy() for column in batch.columns))
+                size += batch.num_rows
+            if size >= HELD:
+                yield from summed(held)
+                held, size = [], 0
+        if held:
+            yield from summed(held)
 
+    return parted
 
-def _count_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words, pairs = np.zeros((2, 1 << WORD_BITS), np.int32), np.zeros((2, 1 << PAIR_BITS), np.int32)
-    for at, label, _ in _chunks(batches):
-        for c in (0, 1):
-            np.add.at(words[c], at.word[label == c], 1)
-            np.add.at(pairs[c], at.pair[label == c], 1)
-    yield from _counters(words)
-    yield from _counters(pairs, 1 << WORD_BITS)
 
+@dataclass
+class Model:
+    """Class 0 is ordinary, class 1 toxic. ``words`` (key, contexts, n0, n1, kept0, kept1) has the words that either
+    class has beyond its discount, and the start of a text; ``pairs`` (before, word, n0, n1) likewise. Of the pairs
+    that begin with a word, kept is what the discount leaves."""
+
+    words: DataFrame
+    pairs: DataFrame
+    totals: np.ndarray
+    discounts: np.ndarray
+    backoff: np.ndarray
+    contexts: int  # of all words together
+    split: int  # words are in so many parts, pairs in its square
+    coefficients: np.ndarray | None = None
 
-def _count_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << WORD_BITS, np.uint64)
-    for batch in batches:
-        for _, held in word_chunks(t.as_py() for t in batch.column("text")):
-            at = places(held)
-            np.bitwise_or.at(bits, at.word, _bit(at.before_hash))
-    for low in range(0, len(bits), _PART):
-        seen = np.flatnonzero(bits[low : low + _PART]) + low
-        if len(seen):
-            arrays = [pa.array(seen.astype(np.int32)), pa.array(bits[seen].view(np.int64))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["place", "bits"])
+    def shards(self) -> Iterator[Shard]:
+        """One for each part of the words and each part of the words before them."""
+        for i in range(self.split):
+            for j in range(self.split):
+                part = lambda name: F.pmod(F.col(name), F.lit(self.split))
+                words = self.words.filter(part("key").isin(i, j)).toArrow()
+                pairs = self.pairs.filter((part("word") == i) & (part("before") == j)).toArrow()
+                keys, table = _sorted(_long(words, "key"), words, ("n0", "n1", "kept0", "kept1", "contexts"))
+                pair_keys, pair_table = _sorted(_pair(_long(pairs, "before"), _long(pairs, "word")), pairs, ("n0", "n1"))
+                table[4, -1] = 1  # any number will do: it cancels
+                yield Shard(keys, table, pair_keys, pair_table, self.totals, self.discounts, self.backoff, max(1, self.contexts), (self.split, i, j))
 
 
-@dataclass
-class Model:
-    """Class 0 is ordinary, class 1 toxic; arrays are indexed by class, then place."""
+def _long(rows: pa.Table, name: str) -> np.ndarray:
+    return rows.column(name).to_numpy().astype(np.int64).view(np.uint64)
+
+
+def _sorted(keys: np.ndarray, rows: pa.Table, names: tuple[str, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and their values, with a column of zeros for what is not among them."""
+    order = np.argsort(keys)
+    table = np.zeros((len(names), len(keys) + 1))
+    for row, name in zip(table, names):
+        row[:-1] = rows.column(name).to_numpy()[order]
+    return keys[order], table
 
-    words: np.ndarray
-    pairs: np.ndarray
-    shared: np.ndarray  # the backoff distribution of words
-    kept: np.ndarray | None = None  # of the pairs that begin with a word, what the discount leaves
-    coefficients: np.ndarray | None = None
 
-    def __post_init__(self):
-        self.totals = self.words.sum(1, dtype=np.float64)
-        #: The same rate in both classes: DISCOUNT occurrences in the smaller one.
-        self.discounts = DISCOUNT * np.maximum(1, self.totals) / max(1.0, self.totals.min())
-        self.backoff = [
-            1 - np.maximum(self.words[c] - self.discounts[c], 0).sum(dtype=np.float64) / max(1, self.totals[c]) for c in (0, 1)
-        ]
+def _find(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The place of each in ``keys``, or their number."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64)
+    place = np.searchsorted(keys, wanted)
+    return np.where(keys[np.minimum(place, len(keys) - 1)] == wanted, place, len(keys))
 
-    def features(self, docs: list[list[bytes]], leave_out: np.ndarray | None = None) -> np.ndarray:
-        """What the score is made of, per document: the mean over its words of
-        log P(word | toxic) - log P(word | ordinary); how far single words go beyond each of TELLING; the length.
 
-        All are 0 without words. ``leave_out`` has the documents' labels: their own counts are then taken
-        out of their class.
+@dataclass
+class Shard:
+    """What the words of one cell need of a `Model`; the last column of each table is for what it does not have."""
+
+    keys: np.ndarray
+    table: np.ndarray  # n0, n1, kept0, kept1, contexts
+    pair_keys: np.ndarray
+    pair_table: np.ndarray  # n0, n1
+    totals: np.ndarray
+    discounts: np.ndarray
+    backoff: np.ndarray
+    contexts: int
+    cell: tuple[int, int, int]
+
+    def sums(self, docs: list[list[bytes]], leave_out: np.ndarray | None = None) -> np.ndarray:
+        """Sums over the words of each document that are in this cell: log P(word | toxic) - log P(word | ordinary);
+        1; how far that goes beyond each of TELLING. ``leave_out`` has the documents' labels: their own counts
+        are then taken out of their class.
         """
         at = places(docs)
+        pair = _pair(at.before, at.word)
+        own = None if leave_out is None else [_own_counts(at.doc, k) for k in (at.word, at.before, pair)]
+        word, before, doc = at.word, at.before, at.doc
+        split, i, j = self.cell
+        if split > 1:
+            here = (word.view(np.int64) % split == i) & (before.view(np.int64) % split == j)
+            word, before, pair, doc = word[here], before[here], pair[here], doc[here]
+            own = None if own is None else [n[here] for n in own]
+        w, b, p = _find(self.keys, word), _find(self.keys, before), _find(self.pair_keys, pair)
+        shared = self.table[4][w] / self.contexts
         logs = []
         for c in (0, 1):
-            word, before, pair = (
-                table[c][place].astype(np.float64)
-                for table, place in ((self.words, at.word), (self.words, at.before), (self.pairs, at.pair))
-            )
-            if leave_out is not None:
-                own = leave_out[at.doc] == c
-                word -= own * _own_counts(at.doc, at.word)
-                pair -= own * _own_counts(at.doc, at.pair)
-                before -= own * _own_counts(at.doc, at.before)
-            single = np.maximum(word - self.discounts[c], 0) / max(1, self.totals[c])
-            single += self.backoff[c] * self.shared[at.word]
-            before = np.maximum(before, 1)
-            direct = np.clip(np.maximum(pair - self.discounts[c], 0) / before, 0, 1)
-            back = np.clip(1 - self.kept[c][at.before] / before, 0.01, 1)
+            n_word, n_before, n_pair = self.table[c][w], self.table[c][b], self.pair_table[c][p]
+            if own is not None:
+                mine = leave_out[doc] == c
+                n_word, n_before, n_pair = (n - mine * m for n, m in zip((n_word, n_before, n_pair), own))
+            single = np.maximum(n_word - self.discounts[c], 0) / max(1, self.totals[c]) + self.backoff[c] * shared
+            n_before = np.maximum(n_before, 1)
+            direct = np.clip(np.maximum(n_pair - self.discounts[c], 0) / n_before, 0, 1)
+            back = np.clip(1 - self.table[2 + c][b] / n_before, 0.01, 1)
             logs.append(np.log(direct + back * single))
         ratio = logs[1] - logs[0]
-        length = np.fromiter(map(len, docs), np.float64, len(docs))
-        columns = [10 * np.bincount(at.doc, ratio, minlength=len(docs)) / np.maximum(1, length), np.log1p(length)]
-        for least in TELLING:
-            columns.append(np.log1p(np.bincount(at.doc, np.maximum(ratio - least, 0), minlength=len(docs))))
-        return np.stack(columns, axis=1)
-
-    def kept_pairs(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Every labelled word gives its pair's undiscounted share to the word before it."""
-        kept = np.zeros((2, 1 << WORD_BITS))
-        for at, label, _ in _chunks(batches):
-            for c in (0, 1):
-                own = label == c
-                pair = np.maximum(self.pairs[c][at.pair[own]].astype(np.float64), 1)
-                share = np.maximum(pair - self.discounts[c], 0) / pair
-                kept[c] += np.bincount(at.before[own], share, minlength=kept.shape[1])
-        yield from _counters(kept)
-
-    def scores(self, docs: list[list[bytes]]) -> np.ndarray:
-        features = self.features(docs)
-        return sigmoid(features @ self.coefficients[:-1] + self.coefficients[-1])
-
-
-def _own_counts(doc: np.ndarray, place: np.ndarray) -> np.ndarray:
+        columns = [ratio, np.ones(len(ratio)), *(np.maximum(ratio - least, 0) for least in TELLING)]
+        return np.stack([np.bincount(doc, column, minlength=len(docs)) for column in columns], axis=1)
+
+
+def _own_counts(doc: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """For each word, how often its document has it."""
-    _, inverse, n = np.unique(doc << 32 | place, return_inverse=True, return_counts=True)
+    _, number = np.unique(keys, return_inverse=True)
+    _, inverse, n = np.unique(doc << 32 | number, return_inverse=True, return_counts=True)
     return n[inverse]
 
 
@@ -200,64 +262,81 @@ def fit_toxicity(
 ) -> Model:
     """The two models, from the labelled rows for which ``usable`` (over ``id``) holds and from all texts."""
     train = labelled(docs, labels, label, usable, id_col=id_col, text_col=text_col).select("text", "label")
-    everything = with_text(docs, id_col, text_col).select("text")
-    size = (1 << WORD_BITS) + (1 << PAIR_BITS)
-    words, pairs = np.split(_summed(train.mapInArrow(_count_classes, _COUNTS), size), [1 << WORD_BITS], axis=1)
-    seen = everything.mapInArrow(_count_contexts, _BITS).groupBy("place").agg(F.bit_or("bits").alias("bits")).toArrow()
-    bits = np.zeros(1 << WORD_BITS, np.int64)
-    bits[seen.column("place").to_numpy()] = seen.column("bits").to_numpy()
-    contexts = _types(bits.view(np.uint64)) + 0.5
-    model = Model(words, pairs, contexts / contexts.sum())
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    kept_rows = train.mapInArrow(lambda batches: shared.value.kept_pairs(batches), _COUNTS)
-    model.kept = _summed(kept_rows, 1 << WORD_BITS)
+    counts = [F.sum(n).alias(n) for n in ("n0", "n1")]
+    words = stored(train.mapInArrow(_count_words, _WORDS).groupBy("key").agg(*counts))
+    no_start = F.col("key") != _START_KEY
+    totals = np.array([n or 0 for n in words.filter(no_start).agg(*counts).first()], float)
+    #: The same rate in both classes: DISCOUNT occurrences in the smaller one.
+    discounts = DISCOUNT * np.maximum(1, totals) / max(1.0, totals.min())
+    words = words.filter((F.col("n0") > float(discounts[0])) | (F.col("n1") > float(discounts[1])) | ~no_start)
+    size, known = words.count(), None
+    if size <= SHARD_WORDS:  # else all pairs are counted alike
+        known = np.sort(_long(words.select("key").toArrow(), "key"))
+    everything = labelled(docs, labels, label, usable, id_col=id_col, text_col=text_col, others=True).select("text", "label")
+    pairs = everything.mapInArrow(_count_pairs(known), _PAIRS).groupBy("before", "word").agg(*counts)
+    parts = stored(pairs.mapInArrow(_parted(discounts), _PARTS))
+    pairs = parts.filter(F.col("contexts").isNull()).drop("contexts")
+    contexts = parts.groupBy(F.col("word").alias("key")).agg(F.sum("contexts").alias("contexts"))
+    left = [F.greatest(F.col(f"n{c}") - float(discounts[c]), F.lit(0.0)) for c in (0, 1)]
+    kept = pairs.groupBy(F.col("before").alias("key")).agg(*[F.sum(left[c]).alias(f"kept{c}") for c in (0, 1)])
+    words = stored(words.join(contexts, "key", "left").join(kept, "key", "left").fillna(0))
+    beyond = words.filter(no_start).agg(*map(F.sum, left)).first()
+    contexts = parts.agg(F.sum("contexts")).first()[0] or 0
+    split = max(1, -(-size // SHARD_WORDS), int(np.ceil(np.sqrt(pairs.count() / SHARD_PAIRS))))
+    backoff = 1 - np.array([n or 0.0 for n in beyond]) / np.maximum(1, totals)
+    model = Model(words, pairs, totals, discounts, backoff, contexts, split)
     model.coefficients = _calibrated(model, labelled(docs, labels, label, usable, calibration_rows, id_col, text_col))
     return model
 
 
-def _summed(counted: DataFrame, size: int) -> np.ndarray:
-    """Counters of all tasks together, by class: at most ``size`` rows reach the driver, whatever the corpus."""
-    sums = counted.groupBy("place").agg(*[F.sum(n).cast("float").alias(n) for n in ("n0", "n1")])
-    found = sums.toArrow()
-    table = np.zeros((2, size), np.float32)
-    for c, name in enumerate(("n0", "n1")):
-        table[c, found.column("place").to_numpy()] = found.column(name).to_numpy()
-    return table
+def _summed(rows: DataFrame, model: Model, leave_out: bool = False) -> DataFrame:
+    """(id, row, label, sums) of each of ``rows`` (id, text, label); ``row`` is the hash of its text."""
+    rows = rows.select("id", F.xxhash64("text").alias("row"), "label", "text")
+
+    def by(shared):
+        def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                labels = np.array(batch.column("label").to_pylist(), np.int64) if leave_out else None
+                for first, held in word_chunks(t.as_py() for t in batch.column("text")):
+                    x = shared.value.sums(held, labels[first : first + len(held)] if leave_out else None)
+                    same = [batch.column(c).slice(first, len(held)) for c in range(3)]
+                    yield pa.RecordBatch.from_arrays([*same, pa.array(list(x), pa.list_(pa.float64()))], names=["id", "row", "label", "sums"])
+
+        return rows.mapInArrow(summed, "id long, row long, label int, sums array<double>")
+
+    found = [by(rows.sparkSession.sparkContext.broadcast(shard)) for shard in model.shards()]
+    if len(found) == 1:
+        return found[0]
+    every = found[0].withColumn("one", F.lit(1))
+    for more in found[1:]:
+        every = every.unionByName(more.withColumn("one", F.lit(0)))
+    columns = [F.sum(F.col("sums")[k]) / F.sum("one") for k in range(2 + len(TELLING))]  # equal rows have equal sums
+    one = every.groupBy("id", "row", "label").agg(F.array(*columns).alias("sums"), F.sum("one").alias("n"))
+    return one.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("id", "row", "label", "sums")
 
 
 def _calibrated(model: Model, rows: DataFrame) -> np.ndarray:
     """Logistic coefficients from likelihoods in which each row's own counts are left out."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
-
-    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            labels = np.array(batch.column("label").to_pylist(), np.int64)
-            for first, held in word_chunks(t.as_py() for t in batch.column("text")):
-                own = labels[first : first + len(held)]
-                x = shared.value.features(held, own)
-                arrays = [pa.array(list(x), pa.list_(pa.float64())), pa.array(own)]
-                yield pa.RecordBatch.from_arrays(arrays, names=["x", "y"])
-
-    found = rows.select("text", "label").mapInArrow(features, "x array<double>, y long").toArrow()
-    y = found.column("y").to_numpy()
+    found = _summed(rows, model, leave_out=True).select("label", "sums").toArrow()
+    y = found.column("label").to_numpy().astype(np.int64)
     if not len(y) or y.min() == y.max():  # nothing to compare: the rate of the class there is
         rate = (y.sum() + 0.5) / (len(y) + 1) if len(y) else 0.02
         return np.array([0.0] * (2 + len(TELLING)) + [np.log(rate / (1 - rate))])
-    x = np.array(found.column("x").to_pylist())
+    x = np.array(found.column("sums").to_pylist())
+    x = np.hstack([10 * x[:, :1] / np.maximum(1, x[:, 1:2]), np.log1p(x[:, 1:])])
     order = np.lexsort((y, *x.T))  # the same sums in every run
     return fit_logistic(x[order], y[order], ridge=1e-5)
 
 
 def score_toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, score) of every row, 0 to 1; a NULL or empty text has the score of a ratio of 0.
+    """(doc_id, row, score) of every row, 0 to 1; a NULL or empty text has the score of a ratio of 0.
 
-    Repeated rows have the same score. Without labels of both classes all rows get the classes' rate.
+    ``row`` is the hash of the text. Repeated rows have the same score. Without labels of both classes all rows
+    get the classes' rate.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = [shared.value.scores(held) for _, held in word_chunks(t.as_py() for t in batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(np.concatenate(parts))], names=["doc_id", "score"])
-
-    return with_text(docs, id_col, text_col).mapInArrow(scored, "doc_id long, score double")
+    rows = with_text(docs, id_col, text_col).withColumn("label", F.lit(None).cast("int"))
+    of = lambda k: F.col("sums")[k]
+    features = [10 * of(0) / F.greatest(F.lit(1.0), of(1)), *(F.log1p(of(k)) for k in range(1, 2 + len(TELLING)))]
+    logit = sum((f * float(c) for f, c in zip(features, model.coefficients)), F.lit(float(model.coefficients[-1])))
+    score = 1 / (1 + F.exp(-F.greatest(F.lit(-40.0), F.least(F.lit(40.0), logit))))
+    return _summed(rows, model).select(F.col("id").alias("doc_id"), "row", score.alias("score"))

@@ -2,11 +2,14 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from casegrid.llm import toxicity
+from casegrid.llm.common import hash_words
 from casegrid.llm.labelled import fit_logistic, sigmoid
 from casegrid.llm.quality import N_FEATURES, describe, fit_quality, preference_pairs, score_quality
 from casegrid.llm.queries import op9_quality, remainder
@@ -94,3 +97,64 @@ def test_logistic_regression_finds_its_own_coefficients():
     x = rng.normal(size=(20_000, 2))
     y = rng.random(20_000) < sigmoid(x @ np.array([2.0, -1.0]) + 0.5)
     assert np.allclose(fit_logistic(x, y.astype(float), ridge=0), [2, -1, 0.5], atol=0.1)
+
+
+def exact_counts(docs, labels):
+    """Words, pairs (by class) and contexts of each word, counted plainly."""
+    words, pairs, contexts = Counter(), Counter(), {}
+    for i, text in docs:
+        before = None
+        for word in (text or "").split():
+            if i in labels:
+                words[word, labels[i]] += 1
+                pairs[before, word, labels[i]] += 1
+            contexts.setdefault(word, set()).add(before)
+            before = word
+    return words, pairs, {word: len(of) for word, of in contexts.items()}
+
+
+def key(word):
+    return int(hash_words([word.encode()]).view(np.int64)[0]) if word else toxicity._START_KEY
+
+
+@pytest.fixture(scope="module")
+def many_contexts():
+    """"often" follows 3,000 different words; its pairs and words beyond the discount are few."""
+    docs = [(k, f"a{k} often b{k % 40} c{k % 40}") for k in range(3000)] + [(None, "a0 often z often"), (-1, None)]
+    return docs, {k: int(k % 5 == 0) for k in range(0, 3000, 2)}
+
+
+def test_model_counts_are_exact_whatever_the_number_of_words(spark, documents, many_contexts):
+    docs, labels = many_contexts
+    table = spark.createDataFrame([(i, t, None, "x") for i, t in labels.items()], LABELS)
+    model = fit_toxicity(documents(docs), table, usable=F.lit(True))
+    words, pairs, contexts = exact_counts(docs, labels)
+    over = {w for w, c in words if words[w, c] > model.discounts[c]}
+    found = {r["key"]: r for r in model.words.collect() if r["key"] != toxicity._START_KEY}
+    assert found.keys() == {key(w) for w in over} and len(over) > 40
+    for w in over:
+        assert [found[key(w)][n] for n in ("n0", "n1")] == [words[w, 0], words[w, 1]]
+    over = {(b, w) for b, w, c in pairs if pairs[b, w, c] > model.discounts[c]}
+    found = {(r["before"], r["word"]): (r["n0"], r["n1"]) for r in model.pairs.collect()}
+    assert found == {(key(b), key(w)): (pairs[b, w, 0], pairs[b, w, 1]) for b, w in over} and len(over) > 20
+
+
+def test_shards_of_the_model_score_like_the_whole(spark, documents, monkeypatch):
+    docs, labels = labelled_corpus(n=200)
+    docs, table = documents([*docs, (3, docs[3][1]), (None, "vile nasty"), (None, "vile nasty"), (-1, None)]), spark.createDataFrame(labels, LABELS)
+    whole = fit_toxicity(docs, table, usable=remainder(4) != 2)
+    monkeypatch.setattr(toxicity, "SHARD_WORDS", whole.words.count() // 2)
+    parts = fit_toxicity(docs, table, usable=remainder(4) != 2)
+    assert whole.split == 1 and parts.split > 1
+    one, many = (sorted((str(r["doc_id"]), r["score"]) for r in score_toxicity(docs, m).collect()) for m in (whole, parts))
+    assert [i for i, _ in one] == [i for i, _ in many] and np.allclose([s for _, s in one], [s for _, s in many], atol=1e-6)
+
+
+def test_contexts_of_a_word_are_counted_without_a_limit(spark, documents, many_contexts):
+    docs, labels = many_contexts
+    table = spark.createDataFrame([(i, t, None, "x") for i, t in labels.items()], LABELS)
+    model = fit_toxicity(documents(docs), table, usable=F.lit(True))
+    contexts = exact_counts(docs, labels)[2]
+    found = {r["key"]: r["contexts"] for r in model.words.collect()}
+    assert found[key("often")] == contexts["often"] == 3001 and found[key("b2")] == 1
+    assert model.contexts == sum(contexts.values())
