@@ -6,7 +6,8 @@ these neighbours with each other, and gives every one of them its best new acqua
 that are new since the last round start comparisons. Blocks and lists have fixed sizes, so a round's work
 grows with the number of vectors.
 
-Searching: every query keeps its best nodes so far, opens the best unopened ones, and scores their neighbours
+Searching: every query begins at itself, a node of the graph, and at the best of some sampled rows, so that a group
+without links from outside is reached by its own queries. It keeps its best nodes so far, opens the best unopened ones, and scores their neighbours
 on the original vectors in double precision, until none is left to open. Each round is a join of opened nodes
 with the graph and of the neighbours found with blocks of vectors.
 
@@ -30,8 +31,8 @@ from casegrid.operators.storage import stored
 NEIGHBOURS, DIRECTIONS, BLOCK, START, ROUNDS, BEST = 32, 8, 1024, 16, 3, 5
 #: Nodes that have a node as neighbour: so many take part in its comparisons, so many are its neighbours in a search.
 BACK, BACK_IN_SEARCH = 16, 32
-#: Of the search: nodes kept, nodes opened in a round, starting points (and of how many sampled rows), rounds, vectors in a block.
-KEPT, OPENED, STARTS, SAMPLE, SEARCH_ROUNDS, SEARCH_BLOCK = 400, 100, 32, 1024, 12, 4096
+#: Of the search: nodes kept, nodes opened in a round, starting points besides the query itself (and of how many sampled rows), vectors in a block.
+KEPT, OPENED, STARTS, SAMPLE, SEARCH_BLOCK = 400, 100, 32, 1024, 4096
 
 _LISTS = "node long, ids array<long>, scores array<float>"
 
@@ -196,14 +197,14 @@ def build_graph(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 _STATE = "q long, vec array<double>, ids array<long>, scores array<double>, opened array<boolean>, next array<long>"
 
 
-def _next_state(q: list, vec: pa.Array, states: list[tuple[np.ndarray, np.ndarray, np.ndarray]], kept: int) -> pa.RecordBatch:
+def _next_state(q: list, vec: pa.Array, states: list[tuple[np.ndarray, np.ndarray, np.ndarray]], kept: int, begins: bool = False) -> pa.RecordBatch:
     ids, scores, opened, following = [], [], [], []
-    for i, s, o in states:
+    for key, (i, s, o) in zip(q, states):
         order = np.lexsort((i, -s))[:kept]
         i, s, o = i[order], s[order], o[order]
         new = np.flatnonzero(~o)[:OPENED]
         o[new] = True
-        for column, values in zip((ids, scores, opened, following), (i, s, o, i[new])):
+        for column, values in zip((ids, scores, opened, following), (i, s, o, np.append(i[new], key) if begins else i[new])):
             column.append(values)
     arrays = [pa.array(q, pa.int64()), vec, _lists(ids, pa.int64()), _lists(scores, pa.float64()), _lists(opened, pa.bool_()), _lists(following, pa.int64())]
     return pa.RecordBatch.from_arrays(arrays, names=["q", "vec", "ids", "scores", "opened", "next"])
@@ -226,7 +227,7 @@ def _begun(queries: DataFrame, vectors: DataFrame, kept: int) -> DataFrame:
                 best = np.argsort(-row, kind="stable")[: STARTS + 1]
                 best = best[nodes[best] != key]
                 states.append((nodes[best], row[best], np.zeros(len(best), bool)))
-            yield _next_state(q, batch.column(1), states, kept)
+            yield _next_state(q, batch.column(1), states, kept, begins=True)
 
     return queries.select("node", "vec").mapInArrow(begun, _STATE)
 
@@ -313,7 +314,7 @@ def _merged(state: DataFrame, scored: DataFrame, kept: int) -> DataFrame:
     return rows.select("q", "vec", "ids", "scores", "opened", "more", "of_more").mapInArrow(merged, _STATE)
 
 
-def search_graph(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = 20, rounds: int = SEARCH_ROUNDS) -> DataFrame:
+def search_graph(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: int = 20) -> DataFrame:
     """(query_id, rank, vec_id, score): for each (node, vec) of ``queries`` the ``k`` best found, not itself."""
     blocks = max(1, -(-vectors.count() // SEARCH_BLOCK))
     place = F.pmod(F.col("node"), F.lit(blocks))
@@ -324,9 +325,7 @@ def search_graph(queries: DataFrame, vectors: DataFrame, graph: DataFrame, k: in
         )
     )
     state = stored(_begun(queries, vectors, KEPT))
-    for _ in range(rounds):
-        if state.filter(F.size("next") > 0).limit(1).count() == 0:
-            break
+    while state.filter(F.size("next") > 0).limit(1).count():  # what a query opens has not been open before
         state = stored(_merged(state, _scored(_asked(state, graph, blocks), placed), KEPT))
     best = state.select("q", F.slice(F.arrays_zip("ids", "scores"), 1, k).alias("best"))
     return best.select(F.col("q").alias("query_id"), F.posexplode("best").alias("place", "e")).select(

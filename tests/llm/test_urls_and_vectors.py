@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from casegrid.llm import neighbours
 from casegrid.llm.neighbours import nearest_neighbours
 from casegrid.llm.queries import RULES
 from casegrid.llm.url_filter import judge_urls
@@ -122,3 +123,17 @@ def test_recall_against_brute_force(spark, unequal):
     hits = sum(len({i for i, _ in found[q]} & {i for i, _ in near}) for q, near in expected.items())
     assert all(len(near) == 20 for near in found.values())
     assert hits >= 0.9 * 20 * len(expected)
+
+
+def test_queries_of_closed_groups_need_no_sampled_row(spark, monkeypatch):
+    """Each group fills its own lists, so no link leads into it."""
+    monkeypatch.setattr(neighbours, "SAMPLE", 4)
+    rng = np.random.default_rng(3)
+    sizes = [33, 40, 60, 120, 200] * 3
+    vectors = np.repeat(rng.normal(size=(len(sizes), 24)), sizes, axis=0)
+    vectors += 0.01 * rng.normal(size=vectors.shape)
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    rows = list(zip(rng.permutation(len(vectors)).tolist(), vectors.astype(np.float32).astype(float).tolist()))
+    found, expected = found_near(spark, rows), brute(rows, 20)
+    hits = sum(len({i for i, _ in found.get(q, [])} & {i for i, _ in near}) for q, near in expected.items())
+    assert hits >= 0.95 * 20 * len(expected)
