@@ -219,8 +219,9 @@ def find_contamination(
     item_col: str = "item_id",
     item_text_col: str = "text",
     shard_windows: int = SHARD_WINDOWS,
+    with_row: bool = False,
 ) -> DataFrame:
-    """(doc_id, n_words, spans, items) of every row of ``docs``.
+    """(doc_id, n_words, spans, items) of every row of ``docs``, ``with_row`` also the 64-bit hash of its text, row.
 
     ``spans`` are the maximal stretches [start, end) of words that lie in an occurrence of some window,
     ``items`` the ids of the items with such windows. Words are runs of digits, ASCII letters (case
@@ -228,7 +229,8 @@ def find_contamination(
     words match nothing; a window of an item with a NULL id gives spans but no item. Repeated rows are
     judged each; an empty benchmark leaves all documents clean.
     """
-    rows = with_text(docs, id_col, text_col).withColumn("digest", F.md5("text").cast("binary"))
+    digest = F.xxhash64("text").cast("string").cast("binary") if with_row else F.md5("text").cast("binary")
+    rows = with_text(docs, id_col, text_col).withColumn("digest", digest)
     parts = []
     for index in _shards(item_windows(benchmark, window, item_col, item_text_col), shard_windows):
         index.choose_prefixes(_count_shingles(rows, index))
@@ -238,7 +240,8 @@ def find_contamination(
     found = parts[0]
     if len(parts) > 1:
         found = _merged(parts)
-    return found.select(F.col("id").alias("doc_id"), "n_words", "spans", "items")
+    row = [F.col("digest").cast("string").cast("long").alias("row")] if with_row else []
+    return found.select(F.col("id").alias("doc_id"), *row, "n_words", "spans", "items")
 
 
 def _merged(parts: list[DataFrame]) -> DataFrame:

@@ -21,6 +21,14 @@ from casegrid.operators.storage import fits_broadcast, stored
 TOXIC = 0.3
 
 
+def without_rows(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id and hash of the text, also with a NULL id, are not in ``gone`` (doc_id, row)."""
+    gone = stored(gone.select(F.col("doc_id").alias("_gone"), F.col("row").alias("_row")).distinct())
+    gone_rows = F.broadcast(gone) if fits_broadcast(gone) else gone
+    row = F.xxhash64(docs["text"].cast("binary"))
+    return docs.join(gone_rows, docs["doc_id"].eqNullSafe(gone["_gone"]) & (row == gone["_row"]), "left_anti")
+
+
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not in the one column of ``ids``; rows with a NULL id stay."""
     ids = stored(ids.toDF("_gone").filter(F.col("_gone").isNotNull()).distinct())
@@ -31,12 +39,12 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below TOXIC; the model learns from the labelled ones among ``docs``."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"), usable=remainder(4) != 2)
-    return without(docs, score_toxicity(docs, model).filter(F.col("score") >= TOXIC).select("doc_id"))
+    return without_rows(docs, score_toxicity(docs, model).filter(F.col("score") >= TOXIC))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every group of documents linked by a Jaccard similarity of 0.8 or more on five-word shingles, the one with
-    the least id. Rows with one id count as one document and stay together."""
+    the least id. Rows with one id count as one document and stay together; rows with a NULL id stay."""
     found = jaccard_components(docs, size=5, percent=80)
     return without(docs, found.filter(F.col("component_id") != F.col("doc_id")).select("doc_id"))
 
@@ -59,8 +67,8 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of ten words of a benchmark item occurs."""
-    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10)
-    return without(docs, found.filter(F.size("spans") > 0).select("doc_id"))
+    found = find_contamination(docs, table(spark, sf_dir, "benchmark"), window=10, with_row=True)
+    return without_rows(docs, found.filter(F.size("spans") > 0))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -95,3 +95,14 @@ def test_every_stage_takes_an_empty_table(spark, folder):
     for name, _ in corpus_pipeline.STAGES:
         docs = spark.createDataFrame([], DOCUMENTS)
         assert dict(corpus_pipeline.STAGES)[name](spark, docs, path).count() == 0
+
+
+def test_rows_are_judged_by_their_text_too(spark, folder):
+    """Toxic and contaminated rows with a NULL id go; a clean row stays that shares its id with one that goes."""
+    path, docs, toxic, items = folder
+    bad = "vile nasty rotten vile nasty " + docs[0][1]
+    clean, leaked = docs[2][1], f"x {items[1][1]} y"
+    left = stage("toxicity", spark, [*docs, (None, bad), (0, clean), (900, bad)], path)
+    assert (None, bad) not in left and (900, bad) not in left and (0, clean) in left
+    left = stage("decontamination", spark, [(None, leaked), (7, leaked), (7, clean), (None, clean), (None, None)], path)
+    assert left == sorted([(7, clean), (None, clean), (None, None)], key=str)
