@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casegrid.llm.chat import formatted_and_read
+from casegrid.llm.codebooks import compress_vectors
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.jaccard import jaccard_components
 from casegrid.llm.neighbours import nearest_neighbours
@@ -16,6 +17,8 @@ from casegrid.llm.substring import remove_repeated
 from casegrid.llm.token_files import read_token_files, write_token_files
 from casegrid.llm.toxicity import fit_toxicity, score_toxicity
 from casegrid.llm.url_filter import KEPT_SHARE, PRIOR_PAGES, REJECT_AT, judge_urls
+from casegrid.llm.warc import read_archive, write_archive
+from casegrid.llm.whitening import whiten
 from casegrid.operators.storage import scratch_path
 
 
@@ -241,6 +244,80 @@ FROM d LEFT JOIN sizes USING (doc_id) JOIN (SELECT a AS doc_id, min(c) AS c FROM
 """
 
 
+PARTS, ENTRIES, ROUNDS = 16, 64, 2
+
+
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress_vectors(table(spark, sf_dir, "embeddings"), PARTS, ENTRIES, ROUNDS, scale=256)
+    return coded.select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("code")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
+
+
+def _op11_sql() -> str:
+    near = lambda k: f"""
+near{k} AS MATERIALIZED (
+    SELECT row, part, arg_min(entry, far * 256 + entry) AS entry, min(far) AS far
+    FROM (SELECT row, p.part, entry, list_sum(list_transform(list_zip(p.v, b.v), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS far
+          FROM p JOIN b{k} b USING (part))
+    GROUP BY row, part)"""
+    moved = lambda k: f"""
+m{k} AS (SELECT part, entry, i, sum(x)::BIGINT AS s, count(*) AS n
+         FROM (SELECT part, entry, unnest(v) AS x, unnest(range(1, len(v) + 1)) AS i FROM p JOIN near{k} USING (row, part))
+         GROUP BY ALL),
+f{k} AS (SELECT part, entry, list((s - ((s % n + n) % n)) // n ORDER BY i) AS v FROM m{k} GROUP BY ALL),
+b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(f{k}.v, b{k}.v) AS v FROM b{k} LEFT JOIN f{k} USING (part, entry))"""
+    rounds = ",".join(near(k) + "," + moved(k) for k in range(ROUNDS))
+    return f"""
+WITH kept AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS row, vec_id, label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS x
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (
+    SELECT row, part, x[part * (len(x) // {PARTS}) + 1:(part + 1) * (len(x) // {PARTS})] AS v
+    FROM (SELECT row, x, unnest(range({PARTS})) AS part FROM kept)),
+b0 AS MATERIALIZED (SELECT part, row AS entry, v FROM p WHERE row < {ENTRIES}),{rounds},{near(ROUNDS)},
+coded AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(far)::BIGINT AS error
+          FROM near{ROUNDS} GROUP BY row),
+books AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS sha FROM b{ROUNDS})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, sha AS codebooks_sha256
+FROM coded JOIN kept USING (row), books
+"""
+
+
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    path = scratch_path(pages)
+    write_archive(pages, path, least=0)
+    return read_archive(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP12_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT b, max(page_id) AS response FROM p GROUP BY b),
+r AS (SELECT page_id, h, octet_length(p.b) AS n, CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS kind, response
+      FROM p JOIN g ON p.b = g.b),
+fives AS (SELECT DISTINCT h, i, ('0x' || substr(h, i * 5 + 1, 5))::INTEGER AS v FROM (SELECT h, unnest(range(8)) AS i FROM r)),
+digests AS (
+    SELECT h, string_agg(substr(a, (v >> 15) + 1, 1) || substr(a, ((v >> 10) & 31) + 1, 1) || substr(a, ((v >> 5) & 31) + 1, 1)
+                         || substr(a, (v & 31) + 1, 1), '' ORDER BY i) AS d
+    FROM fives, (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' AS a) GROUP BY h)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest, kind AS record_type,
+       CASE WHEN kind = 'revisit' THEN response END AS refers_to
+FROM r JOIN digests USING (h)
+"""
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64, offset=1_000_000)
+    return found.withColumnRenamed("id", "vec_id")
+
+
 QUERIES = {
     "op1_url_filter": op1_url_filter,
     "op2_decontamination": op2_decontamination,
@@ -252,6 +329,9 @@ QUERIES = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_quality": op9_quality,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_warc": op12_warc,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLES = {
@@ -260,4 +340,6 @@ ORACLES = {
     "op7_chat_format": OP7_SQL,
     "op8_substring_dedup": OP8_SQL,
     "op10_jaccard_join": OP10_SQL,
+    "op11_vector_codes": _op11_sql(),
+    "op12_warc": OP12_SQL,
 }
