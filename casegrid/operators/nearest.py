@@ -8,6 +8,9 @@ possible distance of another site cell. A point cell is settled, at whatever siz
 it, or once it holds so few points that measuring them costs less than refining it. Each point then finds
 its cell by one equi-join and measures only the sites that can be nearest from anywhere in the cell.
 
+Where sites are few and the points' cells are not too many, both counted, there is no refinement: one pass over the
+cells lists each cell's sites by comparing its centre with all of them, block by block. Only cells that keep too many are divided.
+
 Points are written once, and everything else is derived from what has been written: a source that gives other
 points when it is read again can therefore lose none.
 """
@@ -15,11 +18,15 @@ points when it is read again can therefore lose none.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casegrid.functions import EARTH_RADIUS_M, haversine, on_earth, unit_vector
 from casegrid.operators.rows import quoted
@@ -35,6 +42,8 @@ STEP_BITS = 3  # how much finer each step of the refinement is
 FEW_SITES, FEW_POINTS = 8, 64  # a cell is settled with so few sites in reach, or with so few points in it
 MEASURED_IN_CODE = 8
 SMALL_CELLS = 50_000  # tables of at most so many cells (some 50 bytes each) are broadcast
+FEW_LOCATIONS, FEW_CELLS = 4096, 1 << 20  # site locations (some 100 bytes each) and point cells that are compared at once
+BLOCK = 1 << 20  # distances in memory at a time
 
 
 @dataclass(frozen=True)
@@ -103,7 +112,8 @@ class _Cells:
         self.occupied = stored(occupied.observe(counted, F.count("*").alias("n")))
         self.bits = bits
         self.sites = sites
-        self.few_points = (counted.get["n"] or 0) <= SMALL_CELLS
+        self.n = counted.get["n"] or 0
+        self.few_points = self.n <= SMALL_CELLS
         self.few_sites = grid.n_sites <= SMALL_CELLS
 
     def point_cells(self, bits: int, parent: int = 0) -> DataFrame:
@@ -179,13 +189,69 @@ def _candidates(pairs: DataFrame, sites: DataFrame, bits: int) -> DataFrame:
     )
 
 
+def _listed(cells: DataFrame, sites: DataFrame, located: pa.Table, bits: int) -> DataFrame:
+    """(bits, point cell, here, sites) like `_candidates`, by comparing every cell's centre with all ``located`` sites."""
+    side = 2.0 ** (1 - bits)
+    slack = side * math.sqrt(3) * (1 + 1e-9) + 1e-15
+    kind = T.ArrayType(T.StructType([sites.schema[name] for name in SITE]))
+    cell = [T.StructField(name, T.IntegerType()) for name in POINT_CELL]
+    schema = T.StructType([T.StructField("bits", T.IntegerType()), *cell, T.StructField("here", T.LongType()), T.StructField("sites", kind)])
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        axes = [located.column(a).to_numpy() for a in AXES]
+        members = pa.StructArray.from_arrays([located.column(name).combine_chunks() for name in SITE], names=list(SITE))
+        step = max(1, BLOCK // max(1, len(members)))
+        for batch in batches:
+            for low in range(0, batch.num_rows, step):
+                part = batch.slice(low, step)
+                square = np.zeros((part.num_rows, len(members)))
+                for k, axis in enumerate(axes):
+                    centre = (part.column(k).to_numpy() + 0.5) * side - 1
+                    square += (centre[:, None] - axis[None, :]) ** 2
+                to_centre = np.sqrt(square)
+                row, near = np.nonzero(to_centre <= to_centre.min(axis=1, keepdims=True) + slack)
+                offsets = np.searchsorted(row, np.arange(part.num_rows + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(offsets), members.take(pa.array(near)))
+                size = pa.array(np.full(part.num_rows, bits, np.int32))
+                yield pa.RecordBatch.from_arrays([size, *part.columns, lists], names=schema.names)
+
+    return cells.select(*POINT_CELL, "here").mapInArrow(listed, schema)
+
+
+def _leaves_at_once(points: DataFrame, cells: _Cells, sites: DataFrame, max_candidates: int) -> tuple[DataFrame, list[int]]:
+    """`_leaves` for few sites and cells: cells that keep more than ``max_candidates`` sites and FEW_POINTS points are divided."""
+    located = sites.select(*SITE).toArrow()  # at most FEW_LOCATIONS rows
+    crowded = (F.size("sites") > max_candidates) & (F.col("here") > FEW_POINTS) & (F.col("bits") < MAX_BITS)
+    settled, sizes, bits, occupied = [], [], cells.bits, cells.occupied
+    while True:
+        counts = Observation()
+        judged = _listed(occupied, sites, located, bits).withColumn("crowded", crowded)
+        judged = stored(judged.observe(counts, F.count_if("crowded").alias("open")))
+        settled.append(judged.filter("not crowded").drop("crowded", "here"))
+        sizes.append(bits)
+        if not counts.get["open"]:
+            return reduce(DataFrame.unionByName, settled), sizes
+        rest = judged.filter("crowded").select(*POINT_CELL)
+        remaining = points.selectExpr(*AXES, *_cell_exprs(POINT_CELL, bits)).join(rest, list(POINT_CELL), "left_semi")
+        bits = min(bits + STEP_BITS, MAX_BITS)
+        occupied = remaining.selectExpr(*_cell_exprs(POINT_CELL, bits)).groupBy(*POINT_CELL).agg(F.count("*").alias("here"))
+
+
 def _leaves(points: DataFrame, sites: DataFrame, grid: Grid, max_candidates: int) -> tuple[DataFrame, list[int]]:
     """Stored (bits, point cell, sites), and the grid sizes in use; every point's cell is there at exactly one size.
 
     At the finest size cells keep all sites in reach.
     """
-    bits = grid.first_bits
     cells = _Cells(points, grid.leaf_bits, sites, grid)
+    if grid.n_sites <= FEW_LOCATIONS and cells.n <= FEW_CELLS:
+        return _leaves_at_once(points, cells, sites, max_candidates)
+    return _leaves_by_steps(points, cells, sites, grid, max_candidates)
+
+
+def _leaves_by_steps(
+    points: DataFrame, cells: _Cells, sites: DataFrame, grid: Grid, max_candidates: int
+) -> tuple[DataFrame, list[int]]:
+    bits = grid.first_bits
     pairs, settled = _start(cells, grid), []
     while True:
         enough = F.col("reach") <= FEW_SITES

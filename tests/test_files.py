@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from casegrid.functions import EARTH_RADIUS_M
+from casegrid.operators import storage
 from casegrid.plans import (
     community_rates,
     income_correlations,
@@ -216,3 +217,24 @@ def pearson(xs, ys):
     mx, my = sum(xs) / len(xs), sum(ys) / len(ys)
     cov = sum((x - mx) * (y - my) for x, y in zip(xs, ys))
     return cov / math.sqrt(sum((x - mx) ** 2 for x in xs) * sum((y - my) ** 2 for y in ys))
+
+
+def test_settled_results_outlive_their_intermediate_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "_written", [])
+    monkeypatch.setattr(storage, "shared_folder", lambda df: str(tmp_path))
+
+    def made():
+        first = storage.stored(spark.range(10))
+        return storage.stored(first.filter("id > 2")).selectExpr("id * 2 AS id")
+
+    one = storage.settled(made)
+    two = storage.settled(lambda: one.filter("id > 10"))
+    assert len(list(tmp_path.iterdir())) == 2
+    assert sorted(r["id"] for r in one.collect()) == list(range(6, 20, 2)) and two.count() == 4
+    assert storage.drop_stored() == 2 and not list(tmp_path.iterdir())
+
+
+def test_arrays_count_with_all_their_elements(spark):
+    rows = spark.range(100).selectExpr("id", "array_repeat(id, 1000) AS a", "array_repeat('abcdefgh', 100) AS b", "named_struct('x', 'yy') AS c")
+    assert storage.fits_broadcast(rows, 2_000_000) and not storage.fits_broadcast(rows, 1_000_000)
+    assert not storage.fits_broadcast(spark.range(10).selectExpr("map(id, repeat('x', 10000)) AS m"), 90_000)

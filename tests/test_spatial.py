@@ -263,3 +263,30 @@ def test_a_hot_cell_is_split(spark):
         for key in settings:
             spark.conf.unset(key)
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@pytest.mark.parametrize("few", [0, 4096])
+def test_nearest_by_steps_and_at_once(spark, monkeypatch, few):
+    """Both ways of listing candidates, with cells that must be divided."""
+    monkeypatch.setattr("casegrid.operators.nearest.FEW_LOCATIONS", few)
+    monkeypatch.setattr("casegrid.operators.nearest.FEW_POINTS", 2)
+    rng = random.Random(8)
+    spots = [(k, rng.gauss(-118, 0.001), rng.gauss(34, 0.001)) for k in range(120)] + [(500, 20.0, 50.0), (501, 20.0, 50.0)]
+    places = [(k, rng.gauss(-118, 0.002), rng.gauss(34, 0.002)) for k in range(300)] + [(k, rng.uniform(-180, 180), rng.uniform(-90, 90)) for k in range(300, 400)]
+    points, sites = spark.createDataFrame(places, POINTS), spark.createDataFrame(spots, SITES)
+    found = nearest(points, sites, point_id="id", max_candidates=5, **NAMES)
+    assert sorted((r["id"], r["site"]) for r in found.collect()) == brute_nearest(points, sites)
+
+
+def test_nearest_runs_few_jobs_while_it_is_built(spark):
+    rng = random.Random(9)
+    points = spark.createDataFrame([(k, rng.uniform(-119, -118), rng.uniform(33, 34)) for k in range(3000)], POINTS)
+    sites = spark.createDataFrame([(k, rng.uniform(-119, -118), rng.uniform(33, 34)) for k in range(200)], SITES)
+    spark.sparkContext.setJobGroup("nearest-jobs", "")
+    try:
+        found = nearest(points, sites, point_id="id", **NAMES)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("nearest-jobs")
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+    assert len(jobs) <= 10
+    assert sorted((r["id"], r["site"]) for r in found.collect()) == brute_nearest(points, sites)
