@@ -15,7 +15,8 @@ from casegrid.operators.nearest import nearest, nearest_summary
 from casegrid.operators.rows import dedup, union_incidents, valid_points
 from casegrid.operators.shares import top_share, top_share_sql
 from casegrid.operators.stats import corr_slices, rate_table, weighted_mean_by
-from casegrid.sources import geojson_features, parse_code_dictionary, parse_income
+from casegrid.functions.geometry import register_geometry
+from casegrid.sources import geojson_features, geojson_geometries, parse_code_dictionary, parse_income
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -466,6 +467,112 @@ def q_contains_many_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("n_name", "count")
 
 
+# --- the functions in SQL -------------------------------------------------------------------------------
+
+CELLS_PER_DEGREE = 20
+
+
+def q_sql_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`point_distance` as a statement."""
+    register_geometry(spark)
+    home = (spread("o_custkey", 7919, LON), spread("o_custkey", 6151, LAT))
+    orders = table(spark, sf_dir, "orders").withColumn("home_lon", home[0]).withColumn("home_lat", home[1])
+    points = orders.withColumns({"lon": spread("o_orderkey", 6151, LON), "lat": spread("o_orderkey", 7919, LAT)})
+    statement = """
+        SELECT o_orderkey, round(geo_distance(geo_point(lon, lat), geo_point(home_lon, home_lat)), 3) AS distance_m
+        FROM {points}"""
+    return spark.sql(statement, points=points)
+
+
+def q_sql_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`contains_join` as a statement: an equi-join on grid cells, then the test."""
+    areas = geojson_geometries(nation_lines(spark, sf_dir)).select(F.col("COMM").alias("n_name"), "geometry")
+    statement = f"""
+        SELECT a.n_name, p.o_orderkey
+        FROM (SELECT n_name, geometry, c.cell FROM {{areas}}, LATERAL geo_cells(geometry, {CELLS_PER_DEGREE}) AS c) AS a
+        JOIN (SELECT o_orderkey, geo_point(lon, lat) AS place FROM {{points}}) AS p
+          ON geo_cell(p.place, {CELLS_PER_DEGREE}) = a.cell
+        WHERE geo_contains(a.geometry, p.place)"""
+    return spark.sql(statement, areas=areas, points=order_points(spark, sf_dir))
+
+
+def kinds_of_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every nation as a GeoJSON feature of one of the seven kinds, around its centre; size depends on the region."""
+    x, y = spread("n_nationkey", 7919, LON), spread("n_nationkey", 104729, LAT)
+    r = F.lit(0.0123) * (F.col("n_regionkey") + 1) * (F.col("n_regionkey") + 1)
+
+    def listed(*parts: Column) -> Column:
+        return F.concat(F.lit("["), F.concat_ws(",", *parts), F.lit("]"))
+
+    def at(lon: Column, lat: Column) -> Column:
+        return listed(lon.cast("string"), lat.cast("string"))
+
+    def diamond(x: Column) -> Column:
+        return listed(listed(at(x - r, y), at(x, y - r), at(x + r, y), at(x, y + r), at(x - r, y)))
+
+    def geometry(kind: str, coordinates: Column) -> Column:
+        return F.concat(F.lit(f'{{"type": "{kind}", "coordinates": '), coordinates, F.lit("}"))
+
+    across, upright = listed(at(x - r, y), at(x + r, y)), listed(at(x, y - r), at(x, y + r))
+    kinds = [
+        geometry("Point", at(x, y)),
+        geometry("MultiPoint", listed(at(x, y), at(x + r, y))),
+        geometry("LineString", listed(at(x - r, y), at(x, y), at(x + r, y))),
+        geometry("MultiLineString", listed(across, upright)),
+        geometry("Polygon", diamond(x)),
+        geometry("MultiPolygon", listed(diamond(x), diamond(x + 4 * r))),
+        F.concat(
+            F.lit('{"type": "GeometryCollection", "geometries": ['),
+            F.concat_ws(",", geometry("Point", at(x, y)), geometry("Polygon", diamond(x))),
+            F.lit("]}"),
+        ),
+    ]
+    chosen = F.get(F.array(*kinds), (F.col("n_nationkey") % len(kinds)).cast("int"))
+    head = F.concat(F.lit('{ "type": "Feature", "properties": { "COMM": "'), F.col("n_name"), F.lit('" }, "geometry": '))
+    return table(spark, sf_dir, "nation").select(F.concat(head, chosen, F.lit(" }")).alias("value"))
+
+
+def q_geometry_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features of every kind: their vertices, edges and boxes, and how many orders' places they hold."""
+    features = geojson_geometries(kinds_of_features(spark, sf_dir), "COMM STRING").withColumnRenamed("COMM", "n_name")
+    statement = f"""
+        WITH held AS (
+            SELECT a.n_name, count(*) AS held
+            FROM (SELECT n_name, geometry, c.cell FROM {{features}}, LATERAL geo_cells(geometry, {CELLS_PER_DEGREE}) AS c) AS a
+            JOIN (SELECT geo_point(lon, lat) AS place FROM {{points}}) AS p
+              ON geo_cell(p.place, {CELLS_PER_DEGREE}) = a.cell
+            WHERE geo_contains(a.geometry, p.place) GROUP BY a.n_name),
+        described AS (
+            SELECT n_name, geometry.kind AS kind, cast(size(geo_vertices(geometry)) AS BIGINT) AS vertices,
+                   cast(size(geo_edges(geometry)) AS BIGINT) AS edges, geo_box(geometry) AS box FROM {{features}})
+        SELECT n_name, kind, vertices, edges, round(box.west, 6) AS west, round(box.north, 6) AS north, coalesce(held, 0) AS held
+        FROM described LEFT JOIN held USING (n_name)"""
+    return spark.sql(statement, features=features, points=order_points(spark, sf_dir))
+
+
+GEOMETRY_KINDS_SQL = f"""
+WITH places AS ({ORDER_POINTS_SQL}),
+shapes AS (
+    SELECT n_name, n_nationkey % 7 AS k, {spread_sql('n_nationkey', 7919, LON)} AS cx, {spread_sql('n_nationkey', 104729, LAT)} AS cy,
+           0.0123::DOUBLE * (n_regionkey + 1) * (n_regionkey + 1) AS r
+    FROM nation),
+held AS (
+    SELECT n_name, count(*) AS held FROM shapes JOIN places ON CASE k
+        WHEN 0 THEN lon = cx AND lat = cy
+        WHEN 1 THEN lat = cy AND (lon = cx OR lon = cx + r)
+        WHEN 2 THEN lat = cy AND lon BETWEEN cx - r AND cx + r
+        WHEN 3 THEN (lat = cy AND lon BETWEEN cx - r AND cx + r) OR (lon = cx AND lat BETWEEN cy - r AND cy + r)
+        WHEN 5 THEN abs(lon - cx) + abs(lat - cy) < r OR abs(lon - (cx + 4 * r)) + abs(lat - cy) < r
+        ELSE abs(lon - cx) + abs(lat - cy) < r END
+    GROUP BY 1)
+SELECT n_name,
+       ['Point', 'MultiPoint', 'LineString', 'MultiLineString', 'Polygon', 'MultiPolygon', 'GeometryCollection'][k + 1] AS kind,
+       [1, 2, 3, 4, 5, 10, 6][k + 1]::BIGINT AS vertices, [0, 0, 2, 2, 4, 8, 4][k + 1]::BIGINT AS edges,
+       round(CASE WHEN k < 2 THEN cx ELSE cx - r END, 6) AS west, round(CASE WHEN k < 3 THEN cy ELSE cy + r END, 6) AS north,
+       coalesce(held, 0) AS held
+FROM shapes LEFT JOIN held USING (n_name)
+"""
+
 # --- means, rates, correlations -------------------------------------------------------------------------
 
 
@@ -781,6 +888,9 @@ _QUERIES: dict[str, tuple[Query, str]] = {
     "weighted_mean": (q_weighted_mean, WEIGHTED_MEAN_SQL),
     "rate_table": (q_rate_table, RATE_TABLE_SQL),
     "corr_slices": (q_corr_slices, CORR_SLICES_SQL),
+    "sql_distance": (q_sql_distance, POINT_DISTANCE_SQL),
+    "sql_contains": (q_sql_contains, _DIAMONDS_SQL + "SELECT n_name, o_orderkey FROM pairs"),
+    "geometry_kinds": (q_geometry_kinds, GEOMETRY_KINDS_SQL),
     "contains_many_vertices": (
         q_contains_many_vertices,
         _DIAMONDS_SQL + "SELECT n_name, count(*) AS count FROM pairs GROUP BY 1",

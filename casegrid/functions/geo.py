@@ -14,11 +14,12 @@ _TESTED_IN_CODE = 2  # edges per polygon and point that `inside` tests without a
 def haversine(
     lon1: Column, lat1: Column, lon2: Column, lat2: Column, radius_m: float = EARTH_RADIUS_M
 ) -> Column:
-    """Great-circle distance in metres."""
+    """Great-circle distance in metres; NULL where a coordinate is NULL, NaN where one is not finite."""
     half_dlat = F.sin(F.radians(lat2 - lat1) / 2)
     half_dlon = F.sin(F.radians(lon2 - lon1) / 2)
     h = half_dlat * half_dlat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_dlon * half_dlon
-    return F.lit(2 * radius_m) * F.asin(F.sqrt(F.least(F.lit(1.0), h)))
+    # `least` alone would take NULL and NaN for 1
+    return F.lit(2 * radius_m) * F.asin(F.sqrt(F.when((h > 1) & ~F.isnan(h), 1.0).otherwise(h)))
 
 
 def on_earth(lon: Column, lat: Column) -> Column:

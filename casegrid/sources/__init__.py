@@ -1,4 +1,4 @@
-from casegrid.sources.features import geojson_features, read_geojson_features
+from casegrid.sources.features import geojson_features, geojson_geometries, read_geojson_features
 from casegrid.sources.tables import (
     INCIDENT_TYPES,
     parse_code_dictionary,
@@ -12,6 +12,7 @@ from casegrid.sources.tables import (
 __all__ = [
     "INCIDENT_TYPES",
     "geojson_features",
+    "geojson_geometries",
     "parse_code_dictionary",
     "parse_income",
     "read_code_dictionary",
