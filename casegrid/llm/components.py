@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casegrid.llm.groups import SplitJoin
 from casegrid.operators.storage import stored
 
 
@@ -13,13 +14,15 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each round takes the least label among a node's neighbours and then the label of that label, so that
     labels travel twice as far in every round. Rounds are written to the shared folder; only whether
-    anything has changed comes to the driver.
+    anything has changed comes to the driver. A node with very many edges is dealt to several tasks.
     """
     both = edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct()
     both = stored(both)
+    split = SplitJoin(stored(both.groupBy("b").agg(F.count("*").alias("n"))), "b")
     labels = stored(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"))
+    dealt = both if split.large is None else stored(split.dealt(both))
     while True:
-        beside = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
+        beside = split.join(dealt, labels.withColumnRenamed("node", "b")).groupBy("a").agg(F.min("label").alias("near"))
         nearer = labels.join(beside, labels["node"] == beside["a"]).select(
             "node", "label", F.least("label", "near").alias("next")
         )

@@ -2,31 +2,58 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casegrid.operators.storage import fits_broadcast
 
-#: A group with more than this part of all rows is split; fewer groups than this can be so large.
-SPLIT = 1000
+#: A group is split that holds more than this part of all rows, and more than FEW; fewer groups than this can be so large.
+SPLIT, FEW = 1000, 512
 
 
 def beside_groups(rows: DataFrame, groups: DataFrame, key: str, count: str) -> DataFrame:
     """Each of ``rows`` with the columns of its group; NULL is a key like others, rows without a group go.
 
     ``groups`` is a stored table with one row per ``key``; its column ``count`` tells how many of ``rows`` have it. A small
-    one is broadcast. Else both sides are shuffled by the key, and groups that hold more than a SPLIT-th of all rows are
-    dealt to several tasks, each with a copy of the group's row: all copies together number at most the groups plus SPLIT.
+    one is broadcast; else see `SplitJoin`.
     """
-    named = groups.withColumnRenamed(key, "_key")
-    same = F.col(key).eqNullSafe(F.col("_key"))
     if fits_broadcast(groups):
-        return rows.join(F.broadcast(named), same).drop("_key")
-    total = groups.agg(F.sum(count)).first()[0] or 0
-    most = max(1, -(-total // SPLIT))
-    copies = F.ceil(F.col(count) / most).cast("int")
-    large = named.filter(F.col(count) > most).select("_key", copies.alias("_copies"))  # fewer than SPLIT rows
-    dealt = rows.join(F.broadcast(large), same, "left").drop("_key")
-    dealt = dealt.withColumn("_part", F.pmod(F.monotonically_increasing_id(), F.coalesce("_copies", F.lit(1))).cast("int"))
-    copied = named.withColumn("_of", F.explode(F.sequence(F.lit(0), F.greatest(copies, F.lit(1)) - 1)))
-    return dealt.join(copied, same & (F.col("_part") == F.col("_of"))).drop("_key", "_copies", "_part", "_of")
+        named = groups.withColumnRenamed(key, "_key")
+        return rows.join(F.broadcast(named), F.col(key).eqNullSafe(F.col("_key"))).drop("_key")
+    split = SplitJoin(groups.select(key, F.col(count).alias("n")), key, null_safe=True)
+    return split.join(split.dealt(rows), groups)
+
+
+class SplitJoin:
+    """`beside_groups` by a shuffle of both sides; ``counts`` (key, n) is a stored table.
+
+    If some groups are large, they are dealt to several tasks, each with a copy of the group's row: all copies together
+    number at most the groups plus SPLIT. Otherwise it is a plain join.
+    """
+
+    def __init__(self, counts: DataFrame, key: str, null_safe: bool = False):
+        self.key, self.null_safe = key, null_safe
+        found = counts.agg(F.sum("n").alias("total"), F.max("n").alias("most")).first()
+        most = max(FEW, -(-(found["total"] or 0) // SPLIT))
+        copies = F.ceil(F.col("n") / most).cast("int").alias("_copies")
+        self.large = None
+        if (found["most"] or 0) > most:
+            self.large = F.broadcast(counts.filter(F.col("n") > most).select(F.col(key).alias("_key"), copies))  # fewer than SPLIT rows
+
+    def _same(self) -> Column:
+        return F.col(self.key).eqNullSafe(F.col("_key")) if self.null_safe else F.col(self.key) == F.col("_key")
+
+    def dealt(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the number ``_part`` of the copy that each will meet, if there are copies."""
+        if self.large is None:
+            return rows
+        any_of = F.pmod(F.monotonically_increasing_id(), F.coalesce("_copies", F.lit(1))).cast("int")
+        return rows.join(self.large, self._same(), "left").withColumn("_part", any_of).drop("_key", "_copies")
+
+    def join(self, dealt: DataFrame, groups: DataFrame) -> DataFrame:
+        if self.large is None:
+            return dealt.join(groups.withColumnRenamed(self.key, "_key"), self._same()).drop("_key")
+        each = F.explode(F.sequence(F.lit(0), F.coalesce("_copies", F.lit(1)) - 1))
+        copied = groups.join(self.large, self._same(), "left").withColumn("_of", each).drop("_key", "_copies")
+        copied = copied.withColumnRenamed(self.key, "_key")
+        return dealt.join(copied, self._same() & (F.col("_part") == F.col("_of"))).drop("_key", "_part", "_of")

@@ -7,11 +7,12 @@ Documents with equal sets are one node. Then:
 2. Matrix: shingles are ordered by rarity over all documents. For each group the matrix has the union
    of its members' prefixes in this order, with the members' sizes and the most that can follow.
 3. Bound: a node meets a group if a shingle of its own prefix is in the group's row, sizes fit, and what follows the
-   shingle on both sides is enough for a link. For groups of several members the whole union must hold enough of
-   the node's set as well.
-4. Only these groups are opened: their members are compared with the node, on whole sets. Before any set is
-   shuffled, parity bitmaps bound the difference of two sets from below, and a node that links to a member
-   cannot differ from the group's centre by more than two links allow.
+   shingle on both sides is enough for a link. Before any set is shuffled, parity bitmaps bound the difference of two sets from
+   below, and a node that links to a member cannot differ from the group's centre by more than two links allow.
+   Links to centres and to nodes that are a group of their own make components; a node that is in one with the group
+   asks it no more. For the others the union of the group's whole sets, a bitmap, must hold enough of the node's set.
+4. Only these groups are opened: blocks of their members are compared with blocks of nodes by parity bitmaps, and the
+   pairs that may be linked on whole sets.
 
 Prefix lengths follow from the threshold, so no link is lost; links within a group need no comparison to
 know that the group hangs together. Components follow from the links.
@@ -29,10 +30,13 @@ from pyspark.sql import functions as F
 
 from casegrid.llm.common import hash_words, mixed, ngrams, with_text
 from casegrid.llm.components import components
+from casegrid.llm.groups import SplitJoin
 from casegrid.operators.storage import fits_broadcast, stored
 
 #: Places of the rarity counts (any order of shingles is right, a good one is fast), and min-hashes of a node.
 RARITY_BITS, SKETCH, KEYS, PARITY_BITS = 18, 16, 3, 1024
+#: Bits of a group's union of shingles, and nodes of a block that are compared at once.
+UNION_BITS, BLOCK = 16, 256
 #: Of the SKETCH min-hashes, so many must agree before a node is compared with a group's centre.
 ALIKE = 11
 _SEEDS = (np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95))[:, None]
@@ -124,6 +128,10 @@ def _needed(a: Column, b: Column, percent: int) -> Column:
     return F.ceil((a + b) * percent / F.lit(100.0 + percent) - F.lit(1e-9))
 
 
+def _counts(pairs: DataFrame, key: str) -> DataFrame:
+    return stored(pairs.groupBy(key).agg(F.count("*").alias("n")))
+
+
 class JaccardJoin:
     """The steps over one table of (id, text) rows; ``percent`` is the least Jaccard similarity of a link."""
 
@@ -155,7 +163,7 @@ class JaccardJoin:
         return stored(made.join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The (a, b) of ``pairs`` whose whole sets are linked."""
+        """The (a, b) of ``pairs``, a stored table, whose whole sets are linked. Many may have the same b."""
         left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
         right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
         percent = self.percent
@@ -171,17 +179,21 @@ class JaccardJoin:
                         keep.append(k)
                 yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-        joined = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return joined.mapInArrow(compared, "a long, b long")
+        split = SplitJoin(_counts(pairs, "b"), "b")
+        joined = split.join(split.dealt(pairs).join(left, "a"), right)
+        return joined.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long")
 
     def possible(self, pairs: DataFrame, percent: int) -> DataFrame:
-        """Those (a, b) that may have a Jaccard similarity of ``percent`` by their parity bitmaps; none that has it goes."""
-        bits = self.nodes.select("node", "size", "parity")
+        """Those (a, b) of ``pairs``, a stored table, that may have a Jaccard similarity of ``percent`` by their parity bitmaps;
+        none that has it goes. Many may have the same b."""
+        ends = stored(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
+        bits = stored(self.nodes.select("node", "size", "parity").join(ends, "node", "left_semi"))
         left = bits.toDF("a", "a_size", "a_parity")
         right = bits.toDF("b", "b_size", "b_parity")
         differ = " + ".join(f"bit_count(a_parity[{k}] ^ b_parity[{k}])" for k in range(PARITY_BITS // 64))
         allowed = f"({differ}) * {100 + percent} <= (a_size + b_size) * {100 - percent}"
-        return pairs.join(left, "a").join(right, "b").filter(F.expr(allowed)).select(*pairs.columns)
+        split = SplitJoin(_counts(pairs, "b"), "b")
+        return split.join(split.dealt(pairs).join(left, "a"), right).filter(F.expr(allowed)).select(*pairs.columns)
 
     def centre_links(self) -> DataFrame:
         """Links (a, b) of nodes a with the centres b of nodes that share one of their min-hashes."""
@@ -196,7 +208,7 @@ class JaccardJoin:
             & _sizes_fit(F.col("size"), F.col("centre.size"), self.percent)
             & (F.expr(agree) >= ALIKE)
         )
-        pairs = pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct()
+        pairs = stored(pairs.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct())
         pairs = stored(self.possible(pairs, self.percent))
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
         return stored(self.linked(pairs, self.sets(ends)))
@@ -232,31 +244,89 @@ class JaccardJoin:
         centred = self.centre_links()
         grouped = stored(self.groups(centred))
         met = stored(self.candidates(grouped).withColumnRenamed("in_group", "b"))  # b is the centre, or the only member
+        single = stored(self.possible(met, self.percent))
+        ends = single.select(F.col("a").alias("node")).union(single.select("b"))
+        near = stored(centred.union(self.linked(single, self.sets(ends))))
         several = grouped.select("in_group").distinct()
-        single = self.possible(met, self.percent)
         # one link to a member and the member's to the centre: distances add up at most
-        asked = met.join(several, met["b"] == several["in_group"], "left_semi")
+        asked = stored(met.join(several, met["b"] == several["in_group"], "left_semi"))
         asked = stored(self.possible(asked, max(0, 2 * self.percent - 100)).withColumnRenamed("b", "in_group"))
-        members = grouped.join(asked.select("in_group").distinct(), "in_group", "left_semi")
-        members = stored(members.select("in_group", F.col("node").alias("b")))
-        single = stored(single)
-        ends = single.select(F.col("a").alias("node")).union(single.select("b"))
-        ends = ends.union(asked.select("a")).union(members.select("b")).union(members.select("in_group"))
+        return near.union(self.opened(self.apart(asked, near), grouped))
+
+    def apart(self, asked: DataFrame, near: DataFrame) -> DataFrame:
+        """Those (a, in_group) of ``asked`` that the links ``near`` do not yet join; stored."""
+        found = components(near)
+        counts = _counts(asked, "in_group")
+        groups = counts.select("in_group").join(found.toDF("in_group", "of_group"), "in_group", "left")
+        split = SplitJoin(counts, "in_group")
+        rows = split.join(split.dealt(asked).join(found.toDF("a", "of_a"), "a", "left"), groups)
+        return stored(rows.filter(~F.coalesce(F.col("of_a") == F.col("of_group"), F.lit(False))).select("a", "in_group"))
+
+    def opened(self, asked: DataFrame, grouped: DataFrame) -> DataFrame:
+        """(a, b): links of the asking nodes with members b of groups whose union holds enough of a."""
+        members = grouped.select("in_group", F.col("node").alias("b")).join(asked.select("in_group").distinct(), "in_group", "left_semi")
+        members = stored(members)
+        ends = asked.select(F.col("a").alias("node")).union(members.select("b")).union(members.select("in_group"))
         sets = self.sets(ends)
-        opened = self.possible(self.opened(asked, members, sets), self.percent)
-        return centred.union(self.linked(single.union(opened).distinct(), sets))
-
-    def opened(self, asked: DataFrame, several: DataFrame, sets: DataFrame) -> DataFrame:
-        """(a, b) for the members b of groups whose union holds enough of a."""
-        everyone = several.union(several.select("in_group", F.col("in_group").alias("b")).distinct())
-        tokens = sets.select(F.col("node").alias("b"), F.explode("shingles").alias("token"))
-        union = everyone.join(tokens, "b").select("in_group", "token").distinct()
-        own = sets.select(F.col("node").alias("a"), F.size("shingles").alias("size"), F.explode("shingles").alias("token"))
-        held = asked.join(own, "a").join(union, ["in_group", "token"]).groupBy("a", "in_group").agg(
-            F.count("*").alias("held"), F.first("size").alias("size")
-        )
-        enough = held.filter(F.col("held") * 100 >= F.col("size") * self.percent).select("a", "in_group")
-        return enough.join(several, "in_group").select("a", "b")
+        pairs = stored(self.pairs_of_blocks(self.held(asked, members, sets), members))
+        return self.linked(pairs, sets)
+
+    def held(self, asked: DataFrame, members: DataFrame, sets: DataFrame) -> DataFrame:
+        """Those (a, in_group) whose group's union has enough of a's shingles, by a bitmap of the union; stored."""
+        everyone = members.union(members.select("in_group", F.col("in_group").alias("b")).distinct())
+        bit = F.col("token").bitwiseAND((1 << UNION_BITS) - 1)
+        tokens = everyone.join(sets.withColumnRenamed("node", "b"), "b").select("in_group", F.explode("shingles").alias("token"))
+        words = tokens.groupBy("in_group", F.shiftright(bit, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, int(token & 63))")).alias("bits"))
+        unions = words.groupBy("in_group").agg(F.collect_list(F.struct("word", "bits")).alias("held"))  # at most 2**UNION_BITS bits
+        split = SplitJoin(_counts(asked, "in_group"), "in_group")
+        rows = split.join(split.dealt(asked).join(sets.withColumnRenamed("node", "a"), "a"), unions)
+        percent = self.percent
+
+        def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                keep = []
+                for k, (shingles, union) in enumerate(zip(batch.column(2), batch.column(3))):
+                    bitmap = np.zeros(1 << (UNION_BITS - 6), np.int64)
+                    bitmap[union.values.field("word").to_numpy()] = union.values.field("bits").to_numpy()
+                    token = shingles.values.to_numpy() & ((1 << UNION_BITS) - 1)
+                    found = int((bitmap[token >> 6] >> (token & 63) & 1).sum())
+                    if 100 * found >= percent * len(token):
+                        keep.append(k)
+                yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
+
+        return stored(rows.select("a", "in_group", "shingles", "held").mapInArrow(enough, "a long, in_group long"))
+
+    def pairs_of_blocks(self, asked: DataFrame, members: DataFrame) -> DataFrame:
+        """(a, b) that may be linked by their parity bitmaps, of all askers and all members of a group, block by block."""
+        described = self.nodes.select("node", "size", "parity")
+
+        def blocks(rows: DataFrame, node: str, prefix: str) -> tuple[DataFrame, DataFrame]:
+            number = rows.groupBy("in_group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(f"{prefix}blocks"))
+            block = F.pmod(F.xxhash64(node), F.col(f"{prefix}blocks")).cast("int").alias(f"{prefix}block")
+            one = rows.join(described.withColumnRenamed("node", node), node).join(number, "in_group")
+            held = F.collect_list(F.struct(F.col(node).alias("node"), "size", "parity")).alias(f"{prefix}held")  # some BLOCK nodes
+            return one.groupBy("in_group", block).agg(held), number
+
+        (asking, _), (asked_of, number) = blocks(asked, "a", "a_"), blocks(members, "b", "b_")
+        each = F.explode(F.sequence(F.lit(0), F.col("b_blocks") - 1)).alias("b_block")
+        met = asking.join(number, "in_group").select("in_group", each, "a_held").join(asked_of, ["in_group", "b_block"])
+        percent = self.percent
+
+        def decoded(held: pa.Scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            rows = held.values
+            node, size = rows.field("node").to_numpy(), rows.field("size").to_numpy().astype(np.int64)
+            return node, size, rows.field("parity").flatten().to_numpy().reshape(len(node), -1)
+
+        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for of_a, of_b in zip(batch.column(0), batch.column(1)):
+                    a, a_size, a_parity = decoded(of_a)
+                    b, b_size, b_parity = decoded(of_b)
+                    differ = np.bitwise_count(a_parity[:, None, :] ^ b_parity[None, :, :]).sum(axis=2, dtype=np.int64)
+                    i, k = np.nonzero(differ * (100 + percent) <= (a_size[:, None] + b_size[None, :]) * (100 - percent))
+                    yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[k])], names=["a", "b"])
+
+        return met.select("a_held", "b_held").mapInArrow(compared, "a long, b long")
 
 
 def jaccard_components(

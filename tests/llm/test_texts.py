@@ -8,6 +8,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from casegrid.llm import groups, jaccard
 from casegrid.llm.components import components
 from casegrid.llm.decontaminate import find_contamination
 from casegrid.llm.jaccard import jaccard_components
@@ -155,8 +156,11 @@ def near_copies(rng, base, edits, vocabulary):
     return " ".join(words)
 
 
-@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80), (2, 60)])
-def test_components_equal_brute_force(documents, awkward, size, percent):
+@pytest.mark.parametrize("size, percent, few", [(3, 90, 512), (5, 80, 2), (2, 60, 512)])
+def test_components_equal_brute_force(documents, awkward, monkeypatch, size, percent, few):
+    monkeypatch.setattr(groups, "FEW", few)  # large groups are split, blocks are small
+    monkeypatch.setattr(groups, "SPLIT", 1000 if few > 2 else 10)
+    monkeypatch.setattr(jaccard, "BLOCK", 256 if few > 2 else 3)
     rng = random.Random(4)
     vocabulary = [f"v{k}" for k in range(3000)]
     docs = list(awkward)

@@ -118,6 +118,7 @@ def test_decoded_vectors_have_the_error_that_is_told(spark):
 def test_rows_meet_their_group(spark, monkeypatch, fits):
     monkeypatch.setattr(groups, "fits_broadcast", lambda df: fits)
     monkeypatch.setattr(groups, "SPLIT", 10)
+    monkeypatch.setattr(groups, "FEW", 10)
     rows = spark.range(1000).select("id", F.when(F.col("id") < 400, None).when(F.col("id") < 700, 0).otherwise(F.col("id") % 30).alias("k"))
     counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.sum("id").alias("total"))
     found = beside_groups(rows, counted, "k", "n")

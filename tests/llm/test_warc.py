@@ -44,6 +44,7 @@ def digests(found):
 def test_records_of_awkward_pages(spark, tmp_path, monkeypatch, least, fits):
     monkeypatch.setattr(groups, "fits_broadcast", lambda df: fits)
     monkeypatch.setattr(groups, "SPLIT", 4)
+    monkeypatch.setattr(groups, "FEW", 1)
     path = str(tmp_path / "archive")
     write_archive(pages_of(spark, ROWS).repartition(3), path, least=least)
     assert digests(read_archive(spark, path)) == expected(ROWS, least)
