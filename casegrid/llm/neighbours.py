@@ -11,8 +11,10 @@ without links from outside is reached by its own queries. It keeps its best node
 on the original vectors in double precision, until none is left to open. Each round is a join of opened nodes
 with the graph and of the neighbours found with blocks of vectors.
 
-The measure is the inner product. For building, vectors get one more component that makes them equally long,
-so that near means large inner product whatever their lengths; they have single precision there.
+The measure is the inner product. For building, vectors are taken to have one more component that makes them equally long,
+so that near means large inner product whatever their lengths. That component is never added: nearness is computed from
+differences (half the squared distance, negated), so vectors that are short beside the longest keep their precision.
+Vectors have single precision there. Searches begin at the longest vectors too.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from casegrid.llm.vectors import usual_length
 from casegrid.operators.rows import quoted
 from casegrid.operators.storage import stored
 
@@ -31,18 +34,21 @@ from casegrid.operators.storage import stored
 NEIGHBOURS, DIRECTIONS, BLOCK, START, ROUNDS, BEST = 32, 8, 1024, 16, 3, 5
 #: Nodes that have a node as neighbour: so many take part in its comparisons, so many are its neighbours in a search.
 BACK, BACK_IN_SEARCH = 16, 32
-#: Of the search: nodes kept, nodes opened in a round, starting points besides the query itself (and of how many sampled rows), vectors in a block.
+#: Of the search: nodes kept, nodes opened in a round, starting points besides the query itself (and of how many sampled and how many of the longest rows), vectors in a block.
 KEPT, OPENED, STARTS, SAMPLE, SEARCH_BLOCK = 400, 100, 32, 1024, 4096
 
 _LISTS = "node long, ids array<long>, scores array<float>"
 
 
 def usable_vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(node, vec array<double>): one row per id, without NULL, zero and non-finite vectors and NULL ids."""
+    """(node, vec array<double>): one row per id, without NULL ids and without vectors that are NULL, zero, non-finite or of
+    another length than most."""
     vec = F.col(quoted(vector_col)).cast("array<double>")
     rows = table.select(F.col(quoted(id_col)).cast("long").alias("node"), vec.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("node").isNotNull() & F.col("vec").isNotNull() & F.coalesce(finite, F.lit(False)))
+    length = usual_length(table, vector_col)
+    rows = rows.filter(F.size("vec") == F.lit(length if length is not None else -1))
     return rows.filter(F.exists("vec", lambda x: x != 0)).groupBy("node").agg(F.min("vec").alias("vec"))
 
 
@@ -58,15 +64,14 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 
 
 def _codes(vectors: DataFrame, longest: float) -> DataFrame:
-    """(node, code): vectors of equal length in single precision."""
+    """(node, code): vectors in single precision, the longest of length 1."""
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x = _matrix(batch.column(1)) / longest
-            x = np.hstack([x, np.sqrt(np.maximum(0, 1 - (x * x).sum(1, keepdims=True)))])
-            arrays = [batch.column(0), pa.array([c.tobytes() for c in x.astype(np.float32)], pa.binary())]
+            x = (_matrix(batch.column(1)) / longest).astype(np.float32)
+            arrays = [batch.column(0), pa.array([c.tobytes() for c in x], pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=["node", "code"])
 
     return vectors.select("node", "vec").mapInArrow(coded, "node long, code binary")
@@ -76,6 +81,16 @@ def _decoded(codes: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(codes), np.float32).reshape(len(codes), -1)
 
 
+def _nearness(x: np.ndarray) -> np.ndarray:
+    """Minus half the squared distance of all pairs, with the component that makes all equally long: the inner product less 1."""
+    x = x.astype(np.float64)
+    square = (x * x).sum(axis=1)
+    added = np.sqrt(np.maximum(0, 1 - square))
+    apart = square[:, None] - square[None, :]
+    beside = apart / np.maximum(added[:, None] + added[None, :], np.sqrt(np.abs(apart)) + 1e-300)
+    return np.minimum(0, x @ x.T - (square[:, None] + square[None, :] + beside * beside) / 2).astype(np.float32)
+
+
 def _start(codes: DataFrame, seed: int = 7) -> DataFrame:
     """Lists from exact comparison within blocks along random directions."""
 
@@ -110,7 +125,7 @@ def _start(codes: DataFrame, seed: int = 7) -> DataFrame:
 def _block(rows: list[tuple]) -> pa.RecordBatch:
     nodes = np.array([row[2] for row in rows], np.int64)
     x = _decoded([row[3] for row in rows])
-    near = x @ x.T
+    near = _nearness(x)
     np.fill_diagonal(near, -np.inf)
     most = min(START, len(nodes) - 1)
     best = np.argpartition(-near, most - 1, axis=1)[:, :most] if most else np.empty((len(nodes), 0), np.int64)
@@ -163,7 +178,7 @@ def _acquainted(graph: DataFrame, codes: DataFrame, seed: int) -> DataFrame:
                 if len(to) < 2:
                     continue
                 x = _decoded(entry.field("code").to_pylist())
-                near = x @ x.T
+                near = _nearness(x)
                 near[~(fresh[:, None] | fresh[None, :]) | (to[:, None] == to[None, :]) | (near <= worst[:, None])] = -np.inf
                 most = min(BEST, len(to) - 1)
                 best = np.argpartition(-near, most - 1, axis=1)[:, :most]
@@ -211,7 +226,10 @@ def _next_state(q: list, vec: pa.Array, states: list[tuple[np.ndarray, np.ndarra
 
 
 def _begun(queries: DataFrame, vectors: DataFrame, kept: int) -> DataFrame:
-    sample = vectors.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).toArrow()  # SAMPLE vectors, whatever the table
+    square = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x * x)
+    any_of = vectors.orderBy(F.xxhash64("node"), "node").limit(SAMPLE).select("node", "vec")
+    longest = vectors.orderBy(square.desc(), "node").limit(SAMPLE).select("node", "vec")
+    sample = any_of.union(longest).dropDuplicates(["node"]).orderBy("node").toArrow()  # so many vectors, whatever the table
     nodes = sample.column("node").to_numpy()
     points = _matrix(sample.column("vec").combine_chunks()) if len(nodes) else np.empty((0, 0))
     shared = queries.sparkSession.sparkContext.broadcast((nodes, points))
@@ -345,7 +363,7 @@ def nearest_neighbours(
 
     Nearness is the inner product, ties go to the smaller id. NULL vectors, vectors with NULL or non-finite components,
     zero vectors and rows with a NULL id take no part; of rows with one id the one with the least vector
-    does. All vectors must have one length. An empty table gives no rows.
+    does. Vectors of another length than most take no part. An empty table gives no rows.
     """
     vectors = stored(usable_vectors(table, id_col, vector_col))
     graph = build_graph(vectors)

@@ -137,3 +137,25 @@ def test_queries_of_closed_groups_need_no_sampled_row(spark, monkeypatch):
     found, expected = found_near(spark, rows), brute(rows, 20)
     hits = sum(len({i for i, _ in found.get(q, [])} & {i for i, _ in near}) for q, near in expected.items())
     assert hits >= 0.95 * 20 * len(expected)
+
+
+@pytest.mark.parametrize("lengths", ["one", "six orders"])
+def test_recall_with_very_unequal_lengths(spark, lengths):
+    """One vector 20,000 times as long as the others, or lengths over six orders of magnitude."""
+    rng = np.random.default_rng(11)
+    vectors = rng.normal(size=(40, 24))[rng.integers(0, 40, 2400)] + 0.5 * rng.normal(size=(2400, 24))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if lengths == "one":
+        vectors[7] *= 20_000
+    else:
+        vectors *= 10 ** rng.uniform(-3, 3, (2400, 1))
+    rows = list(zip(range(2400), vectors.astype(np.float32).astype(float).tolist()))
+    found, expected = found_near(spark, rows), brute(rows, 20)
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in near}) for q, near in expected.items())
+    assert hits >= 0.9 * 20 * len(expected)
+
+
+def test_vectors_of_another_length_take_no_part(spark):
+    rows = [(k, [float(k), 1.0]) for k in range(30)]
+    odd = [(100, [1.0]), (120, [1.0, 2.0, 3.0]), (140, []), (41, [9.0] * 5)]
+    close(found_near(spark, rows + odd), brute(rows, 20))
