@@ -31,8 +31,10 @@ DISCOUNT = 6.0
 TELLING = (1.0, 2.0, 3.0, 4.0)
 #: At most so many labelled rows set the two numbers that turn a likelihood ratio into a score.
 CALIBRATION_ROWS = 20_000
-#: A shard has about so many words and pairs at most; a task sums up so many rows before it hands them on.
-SHARD_WORDS, SHARD_PAIRS, HELD = 1 << 20, 1 << 22, 1 << 20
+#: A shard has about so many words and pairs at most; a task sums up so many words, or pairs, before it hands them on.
+SHARD_WORDS, SHARD_PAIRS, HELD, PARTED = 1 << 20, 1 << 22, 1 << 19, 1 << 18
+#: The pairs of a word are dealt to at most so many tasks.
+WORD_TASKS = 8
 _START = np.uint64(0x5851F42D4C957F2D)
 _START_KEY = int(_START)  # below 2**63, so the same as a long
 
@@ -121,18 +123,18 @@ def _count_pairs(kept: np.ndarray | None):
 
 
 def _parted(discounts: np.ndarray):
-    """From all pairs: those beyond the discount (their ``contexts`` are NULL), and contexts by word."""
+    """From all pairs, equal ones one after the other: those beyond the discount (their ``contexts`` are NULL), and
+    contexts by word, a few rows for each."""
+    names = ["before", "word", "n0", "n1", "contexts"]
 
-    def summed(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        before, word, n0, n1 = map(np.concatenate, zip(*rows))
-        names = ["before", "word", "n0", "n1", "contexts"]
+    def summed(before: np.ndarray, word: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> Iterator[pa.RecordBatch]:
         beyond = (n0 > discounts[0]) | (n1 > discounts[1])
         if beyond.any():
             arrays = [pa.array(c[beyond]) for c in (before, word, n0, n1)]
             yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(int(beyond.sum()), pa.int64())], names=names)
-        order, first = _runs(word)
+        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
         none, contexts = np.zeros(len(first), np.int64), np.diff(np.append(first, len(word)))
-        yield from _batches(names, [none, word[order[first]], none, none, contexts])
+        yield from _batches(names, [none, word[first], none, none, contexts])
 
     def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -140,15 +142,27 @@ def _parted(discounts: np.ndarray):
             if batch.num_rows:
                 held.append(tuple(column.to_numpy() for column in batch.columns))
                 size += batch.num_rows
-            if size >= HELD:
-                yield from summed(held)
-                held, size = [], 0
+            if size >= PARTED:
+                *done, last = _pairs_of(held)
+                yield from summed(*done)
+                held, size = [last], 1  # the last pair may go on
         if held:
-            yield from summed(held)
+            *done, last = _pairs_of(held)
+            if len(done[0]):
+                yield from summed(*done)
+            yield from summed(*last)
 
     return parted
 
 
+def _pairs_of(held: list[tuple]) -> tuple:
+    """before, word, n0 and n1 of each pair but the last, and those of the last."""
+    before, word, n0, n1 = map(np.concatenate, zip(*held))
+    first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (word[1:] != word[:-1])]))
+    pairs = [before[first], word[first], np.add.reduceat(n0, first), np.add.reduceat(n1, first)]
+    return *(c[:-1] for c in pairs), tuple(c[-1:] for c in pairs)
+
+
 @dataclass
 class Model:
     """Class 0 is ordinary, class 1 toxic. ``words`` (key, contexts, n0, n1, kept0, kept1) has the words that either
@@ -273,8 +287,10 @@ def fit_toxicity(
     if size <= SHARD_WORDS:  # else all pairs are counted alike
         known = np.sort(_long(words.select("key").toArrow(), "key"))
     everything = labelled(docs, labels, label, usable, id_col=id_col, text_col=text_col, others=True).select("text", "label")
-    pairs = everything.mapInArrow(_count_pairs(known), _PAIRS).groupBy("before", "word").agg(*counts)
-    parts = stored(pairs.mapInArrow(_parted(discounts), _PARTS))
+    # a word's pairs meet in few tasks, so that its contexts are few rows; the other words, as one word, in all tasks
+    salt = F.pmod("before", F.when(F.col("word") == 0, F.lit(1 << 16)).otherwise(F.lit(WORD_TASKS)))
+    dealt = everything.mapInArrow(_count_pairs(known), _PAIRS).repartition("word", salt).sortWithinPartitions("word", "before")
+    parts = stored(dealt.mapInArrow(_parted(discounts), _PARTS))
     pairs = parts.filter(F.col("contexts").isNull()).drop("contexts")
     contexts = parts.groupBy(F.col("word").alias("key")).agg(F.sum("contexts").alias("contexts"))
     left = [F.greatest(F.col(f"n{c}") - float(discounts[c]), F.lit(0.0)) for c in (0, 1)]

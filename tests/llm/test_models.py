@@ -150,7 +150,9 @@ def test_shards_of_the_model_score_like_the_whole(spark, documents, monkeypatch)
     assert [i for i, _ in one] == [i for i, _ in many] and np.allclose([s for _, s in one], [s for _, s in many], atol=1e-6)
 
 
-def test_contexts_of_a_word_are_counted_without_a_limit(spark, documents, many_contexts):
+@pytest.mark.parametrize("parted", [1 << 18, 50])
+def test_contexts_of_a_word_are_counted_without_a_limit(spark, documents, many_contexts, monkeypatch, parted):
+    monkeypatch.setattr(toxicity, "PARTED", parted)
     docs, labels = many_contexts
     table = spark.createDataFrame([(i, t, None, "x") for i, t in labels.items()], LABELS)
     model = fit_toxicity(documents(docs), table, usable=F.lit(True))

@@ -106,3 +106,26 @@ def test_rows_are_judged_by_their_text_too(spark, folder):
     assert (None, bad) not in left and (900, bad) not in left and (0, clean) in left
     left = stage("decontamination", spark, [(None, leaked), (7, leaked), (7, clean), (None, clean), (None, None)], path)
     assert left == sorted([(7, clean), (None, clean), (None, None)], key=str)
+
+
+def test_near_copies_are_told_by_id_and_text(spark, folder):
+    """A clean row stays that shares its id with a copy; copies with a NULL id go, and rows that repeat one."""
+    path, docs, _, _ = folder
+    t, u, v = docs[2][1], docs[3][1], docs[5][1]
+    rows = [(1, t), (2, t), (2, u), (None, t), (None, v), (None, v), (1, t), (9, None), (9, None), (8, ""), (None, None)]
+    left = [(1, t), (2, u), (None, v), (9, None), (9, None), (8, ""), (None, None)]
+    assert stage("near_copies", spark, rows, path) == sorted(left, key=str)
+
+
+@pytest.mark.parametrize("name", ["toxicity", "near_copies", "repeated_passages", "decontamination"])
+def test_extra_columns_of_any_name_stay(spark, folder, name):
+    path, docs, _, _ = folder
+    plain = stage(name, spark, docs, path)
+    extra = ["_text", "_gone", "_row", "_id", "_key", "key", "a.b", "row", "group", "stays"]
+    schema = DOCUMENTS + "".join(f", `{c}` long" for c in extra)
+    rows = [(i, t, "en", "s", None if t is None else len(t), *range(len(extra))) for i, t in docs]
+    found = dict(corpus_pipeline.STAGES)[name](spark, spark.createDataFrame(rows, schema), path)
+    assert found.columns == ["doc_id", "text", "lang", "source", "n_chars", *extra]
+    out = found.collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in out), key=str) == plain
+    assert all(tuple(r)[5:] == tuple(range(len(extra))) for r in out)
