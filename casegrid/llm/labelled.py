@@ -19,10 +19,8 @@ def labelled(
     sample: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
-    others: bool = False,
 ) -> DataFrame:
-    """(id, text, label) of the rows that ``usable`` (over ``id``) lets the learner see; with ``others`` also all other
-    rows of ``docs``, without a label.
+    """(id, text, label) of the rows that ``usable`` (over ``id``) lets the learner see.
 
     A document with several label rows has the largest label; NULL labels, labels but 0 and 1 and NULL ids
     take no part. ``sample`` keeps so many ids, those with the smallest hash. Labels are broadcast only
@@ -35,12 +33,7 @@ def labelled(
     if sample is not None:
         known = known.orderBy(F.xxhash64("id"), "id").limit(sample)
     rows = with_text(docs, id_col, text_col)
-    if fits_broadcast(known):
-        return (rows if others else rows.filter(usable)).join(F.broadcast(known), "id", "left" if others else "inner")
-    if not others:
-        return rows.filter(usable).join(known, "id")
-    without_id = rows.filter(F.col("id").isNull()).withColumn("label", F.lit(None).cast("int"))  # would be one hot key
-    return rows.filter(F.col("id").isNotNull()).join(known, "id", "left").unionByName(without_id)
+    return rows.filter(usable).join(F.broadcast(known) if fits_broadcast(known) else known, "id")
 
 
 def fit_logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, ridge: float = 1e-3, intercept: bool = True, steps: int = 60) -> np.ndarray:

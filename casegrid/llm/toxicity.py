@@ -6,7 +6,8 @@ or not. What falls below one and the same rate in both classes is discounted who
 judge a rare expression alike. The score is a logistic function of the difference of the two log-likelihoods
 per word and of the single words that differ most.
 
-Words and pairs are counted exactly, as rows of Spark tables keyed by 64-bit hashes. Of these tables the models
+Words and pairs are counted exactly, as rows of Spark tables keyed by 64-bit hashes; contexts are counted from sorted
+blocks of the distinct pairs' hashes, each of which holds the word's place where the word is in the model. Of these tables the models
 need no more than what either class has beyond the discount: a pair below it adds nothing, and a word below it
 has its contexts in both likelihoods alike, so that they cancel. That part is sent out in shards of a bounded
 number of words and pairs; each word of a text is looked up in the one shard that has its cell.
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +34,11 @@ TELLING = (1.0, 2.0, 3.0, 4.0)
 #: At most so many labelled rows set the two numbers that turn a likelihood ratio into a score.
 CALIBRATION_ROWS = 20_000
 #: A shard has about so many words and pairs at most; a task sums up so many words, or pairs, before it hands them on.
-SHARD_WORDS, SHARD_PAIRS, HELD, PARTED = 1 << 20, 1 << 22, 1 << 19, 1 << 18
-#: The pairs of a word are dealt to at most so many tasks.
-WORD_TASKS = 8
+SHARD_WORDS, SHARD_PAIRS, HELD, PARTED = 1 << 20, 1 << 22, 1 << 19, 1 << 22
+#: Distinct pairs are dealt by ranges of their hashes: at least so many, one more for each so many bytes of text.
+BUCKETS, BUCKET_BYTES = 1 << 10, 1 << 26
+#: Words whose contexts travel as one row.
+COUNTED = 1 << 12
 _START = np.uint64(0x5851F42D4C957F2D)
 _START_KEY = int(_START)  # below 2**63, so the same as a long
 
@@ -73,7 +77,6 @@ def _batches(names: list[str], columns: list[np.ndarray], rows: int = 1 << 16) -
 
 
 _WORDS, _PAIRS = "key long, n0 long, n1 long", "before long, word long, n0 long, n1 long"
-_PARTS = "before long, word long, n0 long, n1 long, contexts long"
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -105,62 +108,137 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _batches(["key", "n0", "n1"], [keys[order[first]].view(np.int64), *_by_class(label, order, first)])
 
 
-def _count_pairs(kept: np.ndarray | None):
-    """How often each class has each pair of words, 0 for those of unlabelled texts only. Of pairs whose word is not in
-    ``kept`` only the number matters: they have a hash of both instead of the word before, no word and no counts."""
+def _bits(keys: Iterator[np.ndarray]) -> np.ndarray:
+    """A bitmap of 2**24 places: a word whose place is empty is not among ``keys``."""
+    flags = np.zeros(1 << 24, bool)
+    for some in keys:
+        flags[some >> np.uint64(40)] = True
+    return np.packbits(flags)
+
+
+def _marked(bits: np.ndarray, words: np.ndarray) -> np.ndarray:
+    place = words >> np.uint64(40)
+    return (bits[place >> np.uint64(3)] << (place & np.uint64(7)).astype(np.uint8)) & 128 != 0
+
+
+def _count_pairs(kept: np.ndarray):
+    """How often each class has each pair of words. A pair is never more frequent than its words, so those of other words
+    than the ones in the bitmap ``kept`` are left out."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for word, before, label in _tokens(batches):
-            pair = _pair(before, word)
-            if kept is not None:
-                rest = _find(kept, word) == len(kept)
-                before, word, label = np.where(rest, pair, before), np.where(rest, np.uint64(0), word), np.where(rest, -1, label)
-            order, first = _runs(pair)
-            one = order[first]
-            yield from _batches(["before", "word", "n0", "n1"], [before[one].view(np.int64), word[one].view(np.int64), *_by_class(label, order, first)])
+            both = _marked(kept, word) & _marked(kept, before)
+            word, before, label = word[both], before[both], label[both]
+            if len(word):
+                order, first = _runs(_pair(before, word))
+                one = order[first]
+                yield from _batches(["before", "word", "n0", "n1"], [before[one].view(np.int64), word[one].view(np.int64), *_by_class(label, order, first)])
 
     return counted
 
 
-def _parted(discounts: np.ndarray):
-    """From all pairs, equal ones one after the other: those beyond the discount (their ``contexts`` are NULL), and
-    contexts by word, a few rows for each."""
-    names = ["before", "word", "n0", "n1", "contexts"]
+#: The low bits of the key of a pair whose word is in the model: the word's place. The others are the pair's hash.
+_PLACE = np.uint64((1 << 21) - 1)
 
-    def summed(before: np.ndarray, word: np.ndarray, n0: np.ndarray, n1: np.ndarray) -> Iterator[pa.RecordBatch]:
-        beyond = (n0 > discounts[0]) | (n1 > discounts[1])
-        if beyond.any():
-            arrays = [pa.array(c[beyond]) for c in (before, word, n0, n1)]
-            yield pa.RecordBatch.from_arrays([*arrays, pa.nulls(int(beyond.sum()), pa.int64())], names=names)
-        first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-        none, contexts = np.zeros(len(first), np.int64), np.diff(np.append(first, len(word)))
-        yield from _batches(names, [none, word[first], none, none, contexts])
 
-    def parted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            if batch.num_rows:
-                held.append(tuple(column.to_numpy() for column in batch.columns))
-                size += batch.num_rows
+def _distinct_pairs(kept: np.ndarray, cell: tuple[int, int], buckets: int):
+    """Keys of the distinct pairs whose word is in the cell (parts, part), in sorted blocks. Pairs with a word in ``kept``
+    (sorted) have its place in their key; of the others only the number will matter."""
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = ([], []), 0
+        for word, before, _ in _tokens(batches):
+            if cell[0] > 1:
+                here = word.view(np.int64) % cell[0] == cell[1]
+                word, before = word[here], before[here]
+            pair, place = _pair(before, word), _find(kept, word).astype(np.uint64)
+            known = place < len(kept)
+            for keys, new in zip(held, (pair[known] & ~_PLACE | place[known], pair[~known])):
+                keys.append(np.unique(new))
+                size += len(keys[-1])
             if size >= PARTED:
-                *done, last = _pairs_of(held)
-                yield from summed(*done)
-                held, size = [last], 1  # the last pair may go on
-        if held:
-            *done, last = _pairs_of(held)
-            if len(done[0]):
-                yield from summed(*done)
-            yield from summed(*last)
+                held = tuple([np.unique(np.concatenate(keys))] for keys in held)
+                size = len(held[0][0]) + len(held[1][0])
+                if size >= PARTED / 2:
+                    yield from _blocks(held, buckets)
+                    held, size = ([], []), 0
+        if size:
+            yield from _blocks([[np.unique(np.concatenate(keys))] for keys in held], buckets)
+
+    return told
+
+
+def _blocks(held, buckets: int) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket, a range of hashes: the first key, and the steps to the others in as few bytes as the
+    longest needs."""
+    shift = np.uint64(65 - buckets.bit_length())
+    rows = []
+    for kind, (keys,) in enumerate(held):
+        bucket = keys >> shift
+        bounds = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])) if len(keys) else []
+        for low, high in zip(bounds[:-1], bounds[1:]):
+            steps = np.diff(keys[low:high])
+            width = max(1, -(-int(steps.max()).bit_length() // 8)) if len(steps) else 1
+            packed = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+            rows.append((int(bucket[low]), kind, int(keys[low].view(np.int64)), width, packed))
+    for low in range(0, len(rows), 1024):
+        columns = [pa.array(c, t) for c, t in zip(zip(*rows[low : low + 1024]), (pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "kind", "first", "width", "steps"])
+
+
+def _unpacked(first: int, width: int, packed: bytes) -> np.ndarray:
+    steps = np.zeros((len(packed) // width + 1, 8), np.uint8)
+    steps[1:, :width] = np.frombuffer(packed, np.uint8).reshape(-1, width)
+    steps = steps.view("<u8").ravel()
+    steps[0] = np.int64(first).view(np.uint64)
+    return np.add.accumulate(steps)
+
+
+def _count_contexts(n_kept: int):
+    """From blocks in the order of their buckets: contexts of the words by place, some COUNTED places in a row; the
+    pairs of all other words in a row with part -1. A task holds the keys of one bucket."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        contexts, others, held, at = np.zeros(n_kept, np.int64), 0, ([], []), None
+
+        def done() -> int:
+            if held[0]:
+                contexts[:] += np.bincount((np.unique(np.concatenate(held[0])) & _PLACE).astype(np.int64), minlength=n_kept)
+            return len(np.unique(np.concatenate(held[1]))) if held[1] else 0
+
+        for batch in batches:
+            for bucket, kind, *block in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != at:
+                    others, held, at = others + done(), ([], []), bucket
+                held[kind].append(_unpacked(*block))
+        others += done()
+        parts = [(-1, np.array([others]).tobytes())]
+        parts += [(low // COUNTED, contexts[low : low + COUNTED].tobytes()) for low in range(0, n_kept, COUNTED)]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*parts)], names=["part", "contexts"])
+
+    return counted
+
+
+def _sum_contexts(kept: np.ndarray):
+    """(key, contexts) of the words; the pairs of other words have a NULL key."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for batch in batches:
+            for part, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[part] = sums.get(part, 0) + np.frombuffer(packed, np.int64)
+        for part, contexts in sums.items():
+            keys = pa.nulls(1, pa.int64()) if part < 0 else pa.array(kept[part * COUNTED :][: len(contexts)].view(np.int64))
+            yield pa.RecordBatch.from_arrays([keys, pa.array(contexts)], names=["key", "contexts"])
 
-    return parted
+    return summed
 
 
-def _pairs_of(held: list[tuple]) -> tuple:
-    """before, word, n0 and n1 of each pair but the last, and those of the last."""
-    before, word, n0, n1 = map(np.concatenate, zip(*held))
-    first = np.flatnonzero(np.concatenate([[True], (before[1:] != before[:-1]) | (word[1:] != word[:-1])]))
-    pairs = [before[first], word[first], np.add.reduceat(n0, first), np.add.reduceat(n1, first)]
-    return *(c[:-1] for c in pairs), tuple(c[-1:] for c in pairs)
+def _contexts(texts: DataFrame, kept: np.ndarray, cell: tuple[int, int], buckets: int) -> DataFrame:
+    blocks = texts.mapInArrow(_distinct_pairs(kept, cell, buckets), "bucket long, kind int, first long, width int, steps binary")
+    dealt = blocks.repartition("bucket").sortWithinPartitions("bucket")
+    counts = dealt.mapInArrow(_count_contexts(len(kept)), "part long, contexts binary").repartition("part")
+    return stored(counts.mapInArrow(_sum_contexts(kept), "key long, contexts long"))
 
 
 @dataclass
@@ -283,24 +361,24 @@ def fit_toxicity(
     #: The same rate in both classes: DISCOUNT occurrences in the smaller one.
     discounts = DISCOUNT * np.maximum(1, totals) / max(1.0, totals.min())
     words = words.filter((F.col("n0") > float(discounts[0])) | (F.col("n1") > float(discounts[1])) | ~no_start)
-    size, known = words.count(), None
-    if size <= SHARD_WORDS:  # else all pairs are counted alike
-        known = np.sort(_long(words.select("key").toArrow(), "key"))
-    everything = labelled(docs, labels, label, usable, id_col=id_col, text_col=text_col, others=True).select("text", "label")
-    # a word's pairs meet in few tasks, so that its contexts are few rows; the other words, as one word, in all tasks
-    salt = F.pmod("before", F.when(F.col("word") == 0, F.lit(1 << 16)).otherwise(F.lit(WORD_TASKS)))
-    dealt = everything.mapInArrow(_count_pairs(known), _PAIRS).repartition("word", salt).sortWithinPartitions("word", "before")
-    parts = stored(dealt.mapInArrow(_parted(discounts), _PARTS))
-    pairs = parts.filter(F.col("contexts").isNull()).drop("contexts")
-    contexts = parts.groupBy(F.col("word").alias("key")).agg(F.sum("contexts").alias("contexts"))
+    words = stored(words)
+    size = words.count()
+    parts = max(1, -(-size // SHARD_WORDS))
+    part = lambda i: np.sort(_long(words.filter(F.pmod("key", F.lit(parts)) == i).select("key").toArrow(), "key"))
+    counted = train.mapInArrow(_count_pairs(_bits(map(part, range(parts)))), _PAIRS).groupBy("before", "word").agg(*counts)
+    pairs = stored(counted.filter((F.col("n0") > float(discounts[0])) | (F.col("n1") > float(discounts[1]))))
+    texts = with_text(docs, id_col, text_col).select("text", F.lit(None).cast("int").alias("label"))
+    measured = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(BUCKETS, 1 << (measured // BUCKET_BYTES).bit_length())
+    contexts = reduce(DataFrame.union, [_contexts(texts, part(i), (parts, i), buckets) for i in range(parts)])
+    n_contexts = contexts.agg(F.sum("contexts")).first()[0] or 0
     left = [F.greatest(F.col(f"n{c}") - float(discounts[c]), F.lit(0.0)) for c in (0, 1)]
     kept = pairs.groupBy(F.col("before").alias("key")).agg(*[F.sum(left[c]).alias(f"kept{c}") for c in (0, 1)])
     words = stored(words.join(contexts, "key", "left").join(kept, "key", "left").fillna(0))
     beyond = words.filter(no_start).agg(*map(F.sum, left)).first()
-    contexts = parts.agg(F.sum("contexts")).first()[0] or 0
-    split = max(1, -(-size // SHARD_WORDS), int(np.ceil(np.sqrt(pairs.count() / SHARD_PAIRS))))
+    split = max(parts, int(np.ceil(np.sqrt(pairs.count() / SHARD_PAIRS))))
     backoff = 1 - np.array([n or 0.0 for n in beyond]) / np.maximum(1, totals)
-    model = Model(words, pairs, totals, discounts, backoff, contexts, split)
+    model = Model(words, pairs, totals, discounts, backoff, n_contexts, split)
     model.coefficients = _calibrated(model, labelled(docs, labels, label, usable, calibration_rows, id_col, text_col))
     return model
 

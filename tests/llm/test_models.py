@@ -160,3 +160,23 @@ def test_contexts_of_a_word_are_counted_without_a_limit(spark, documents, many_c
     found = {r["key"]: r["contexts"] for r in model.words.collect()}
     assert found[key("often")] == contexts["often"] == 3001 and found[key("b2")] == 1
     assert model.contexts == sum(contexts.values())
+
+
+@pytest.mark.parametrize("buckets", [2, 1024])
+def test_blocks_of_hashes_come_back(buckets):
+    rng = np.random.default_rng(3)
+    keys = np.unique(np.append(rng.integers(0, 2**64, 5000, np.uint64), np.array([0, 1, 2**64 - 1], np.uint64)))
+    held, found = [[keys], [keys[:0]]], []
+    for batch in toxicity._blocks(held, buckets):
+        for bucket, kind, *block in zip(*(c.to_pylist() for c in batch.columns)):
+            part = toxicity._unpacked(*block)
+            assert kind == 0 and set((part >> np.uint64(65 - buckets.bit_length())).tolist()) == {bucket}
+            found.append(part)
+    assert np.concatenate(found).tolist() == keys.tolist()
+
+
+def test_bitmap_has_all_keys_and_few_others():
+    rng = np.random.default_rng(4)
+    keys, others = rng.integers(0, 2**64, (2, 5000), np.uint64)
+    bits = toxicity._bits([keys[:10], keys[10:]])
+    assert toxicity._marked(bits, keys).all() and toxicity._marked(bits, others).mean() < 0.01
