@@ -16,7 +16,15 @@ from casegrid.operators.rows import dedup, union_incidents, valid_points
 from casegrid.operators.shares import top_share, top_share_sql
 from casegrid.operators.stats import corr_slices, rate_table, weighted_mean_by
 from casegrid.functions.geometry import register_geometry
-from casegrid.sources import geojson_features, geojson_geometries, parse_code_dictionary, parse_income
+from casegrid.sources import (
+    Catalogue,
+    Dataset,
+    geojson_features,
+    geojson_geometries,
+    parse_code_dictionary,
+    parse_income,
+    profile_columns,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +111,64 @@ def q_text_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.filter(matches_text(F.col("text"), WORD)).select("doc_id", "lang", "source")
 
 
+# --- sources: types of text, data sets by name -----------------------------------------------------------
+
+ORDER_COLUMNS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+PROFILED = {c: f"CAST({c} AS {{text}})" for c in ORDER_COLUMNS} | {
+    "padded": "lpad(CAST(o_custkey AS {text}), 12, '0')",
+    "day": "substr(CAST(o_orderdate AS {text}), 1, 10)",
+    "sparse": "CASE WHEN o_orderkey % 3 = 0 THEN ' ' WHEN o_orderkey % 3 = 1 THEN CAST(o_orderkey * 10000000000 AS {text}) END",
+    "flag": "CASE WHEN o_orderkey % 2 = 0 THEN 'True' ELSE 'false' END",
+    "nothing": "''",
+}
+
+
+def q_inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = [text.format(text="STRING") + f" AS {name}" for name, text in PROFILED.items()]
+    return profile_columns(table(spark, sf_dir, "orders").selectExpr(*texts), keep_zeros=True)
+
+
+def _profile_sql(name: str, text: str) -> str:
+    fits = {
+        "boolean": "lower(v) IN ('true', 'false')",
+        "int": "regexp_full_match(v, '[+-]?[0-9]+') AND NOT regexp_matches(v, '^[+-]?0[0-9]') AND try_cast(v AS INTEGER) IS NOT NULL",
+        "bigint": "regexp_full_match(v, '[+-]?[0-9]+') AND NOT regexp_matches(v, '^[+-]?0[0-9]') AND try_cast(v AS BIGINT) IS NOT NULL",
+        "double": "regexp_full_match(v, '[+-]?[0-9.]+([eE][+-]?[0-9]+)?') AND NOT regexp_matches(v, '^[+-]?0[0-9]') AND try_cast(v AS DOUBLE) IS NOT NULL",
+        "date": "regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_cast(v AS DATE) IS NOT NULL",
+        "timestamp": "regexp_matches(v, '^[0-9]{4}-[0-9]{2}-[0-9]{2}') AND try_cast(v AS TIMESTAMP) IS NOT NULL",
+    }
+    kinds = " ".join(f"WHEN bool_and({test}) FILTER (WHERE v IS NOT NULL) THEN '{kind}'" for kind, test in fits.items())
+    return (
+        f"SELECT '{name}' AS \"column\", CASE WHEN count(v) = 0 THEN 'string' {kinds} ELSE 'string' END AS kind, count(v) AS n_values,"
+        f" count(*) - count(v) AS n_blank, CAST(0 AS BIGINT) AS n_misfits FROM (SELECT nullif(trim({text.format(text='VARCHAR')}), '') AS v FROM orders)"
+    )
+
+
+INFERRED_TYPES_SQL = " UNION ALL ".join(_profile_sql(name, text) for name, text in PROFILED.items())
+
+
+def q_catalogue_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A statement over data sets that are known by name only."""
+    orders = {"o_custkey": "bigint", "o_totalprice": "double"}
+    catalogue = Catalogue(
+        spark,
+        [
+            Dataset("named_orders", f"{sf_dir}/orders.parquet", "parquet", orders),
+            Dataset("named_customers", f"{sf_dir}/customer.parquet", "parquet", {"c_custkey": "bigint", "c_mktsegment": "string"}),
+        ],
+    )
+    result = spark.sql(CATALOGUE_SQL.format(orders="named_orders", customers="named_customers"))
+    for name in list(catalogue.datasets):
+        catalogue.unbind(name)
+    return result
+
+
+CATALOGUE_SQL = """
+SELECT c_mktsegment, count(*) AS n, round(avg(o_totalprice), 4) AS mean_price
+FROM {orders} JOIN {customers} ON o_custkey = c_custkey GROUP BY c_mktsegment
+"""
+
+
 # --- cleaning -----------------------------------------------------------------------------------------
 
 LINE_KEYS = ("l_orderkey", "l_linenumber")
@@ -860,6 +926,8 @@ _QUERIES: dict[str, tuple[Query, str]] = {
         q_text_filter,
         f"SELECT doc_id, lang, source FROM documents WHERE contains(lower(text), '{WORD}')",
     ),
+    "inferred_types": (q_inferred_types, INFERRED_TYPES_SQL),
+    "catalogue_join": (q_catalogue_join, CATALOGUE_SQL.format(orders="orders", customers="customer")),
     "dedup": (q_dedup, DEDUP_SQL),
     "union_dedup": (q_union_dedup, "SELECT * FROM orders"),
     "year_of": (q_year_of, YEAR_OF_SQL),
