@@ -7,6 +7,7 @@ rows stream by in order.
 
 The language: text, ``{{ expression }}``, ``{% for name in expression %} {% endfor %}``,
 ``{% if e %} {% elif e %} {% else %} {% endif %}``, ``{% generation %} {% endgeneration %}``, ``{# comment #}``.
+A ``-`` inside any of these brackets (``{%- -%}``, ``{{- -}}``, ``{#- -#}``) removes the white space of the text on that side.
 Expressions: strings, whole numbers, true/false/none, names, ``a.key`` (mapping keys only), ``loop.first``,
 ``loop.last``, ``loop.index0``, ``+``, ``== !=``, ``in``, ``not and or``, parentheses and the filters
 given to `compile_template`. There are no calls, no Python attributes, no imports.
@@ -86,7 +87,8 @@ class Generation:
 
 # --- parsing --------------------------------------------------------------------------------------------
 
-_PARTS = re.compile(r"\{\{(.*?)\}\}|\{%-?(.*?)-?%\}|\{#.*?#\}", re.S)
+#: Of each kind a trim mark, what is inside, a trim mark. A mark takes away the white space on its side.
+_PARTS = re.compile(r"\{\{(-?)(.*?)(-?)\}\}|\{%(-?)(.*?)(-?)%\}|\{#(-?).*?(-?)#\}", re.S)
 _TOKENS = re.compile(r"""\s*(?:('(?:[^'\\]|\\.)*'|"(?:[^"\\]|\\.)*")|(\d+)|([A-Za-z_]\w*)|(==|!=|[+.|()]))""")
 _ESCAPES = {"n": "\n", "t": "\t", "r": "\r"}
 _NAMED = {"true": True, "false": False, "none": None}
@@ -188,15 +190,20 @@ class _Expression:
 
 def parse(template: str, filters: Mapping[str, Callable]) -> tuple:
     """The template's syntax tree."""
-    pieces, at = [], 0
+    pieces, at, trim = [], 0, False
+
+    def text(end: int, cut: bool) -> tuple[str, str]:
+        piece = template[at:end].lstrip() if trim else template[at:end]
+        return "text", piece.rstrip() if cut else piece
+
     for found in _PARTS.finditer(template):
-        pieces.append(("text", template[at : found.start()]))
-        if found[1] is not None:
-            pieces.append(("show", found[1]))
-        elif found[2] is not None:
-            pieces.append(("tag", found[2].strip()))
-        at = found.end()
-    pieces = [p for p in [*pieces, ("text", template[at:])] if p != ("text", "")]
+        pieces.append(text(found.start(), bool(found[1] or found[4] or found[7])))
+        if found[2] is not None:
+            pieces.append(("show", found[2]))
+        elif found[5] is not None:
+            pieces.append(("tag", found[5].strip()))
+        at, trim = found.end(), bool(found[3] or found[6] or found[8])
+    pieces = [p for p in [*pieces, text(len(template), False)] if p != ("text", "")]
     place = 0
 
     def expression(text: str):

@@ -35,6 +35,11 @@ def rendered(template, **variables):
         ("{% for m in ms %}{{ loop.index0 }}{{ m.t }}{% if not loop.last %},{% endif %}{% endfor %}", "0p,1q"),
         ("{% if ms == 1 %}a{% elif 'k' in 'key' and not false %}b{% else %}c{% endif %}", "b"),
         ("{{ nothing }}{{ ms.t }}{{ none }}", ""),
+        ("a \n{%- if true -%}\n b{% endif %}", "ab"),
+        ("a {%- if true %} b {% endif -%} c", "a b c"),
+        ("a {{- 'x' }} b {{ 'y' -}} c\n{#- note -#}\td {%- if false %}e{% endif %} f", "ax b ycd f"),
+        (" {%- if true -%} {%- endif -%} ", ""),
+        ("{{ ' - ' }}-{{ '-' -}} ", " - --"),
         ("{{ (nothing or 'd') }}{{ \"\\n'\" }}", "d\n'"),
     ],
 )

@@ -29,11 +29,11 @@ def plain_ids(library, text, end):
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.text(max_size=80))
+@given(st.text(st.characters(exclude_categories=["Cs"]), max_size=80))
 def test_words_are_encoded_as_whole_texts_are(text):
     library, encoder = Tokenizer.from_file(FILE), Subwords(FILE)
     whole = library.encode(text, add_special_tokens=False).ids
-    assert np.frombuffer(encoder.encode(text.encode("utf-8", "replace")), "<u4").tolist() == whole or "?" in text
+    assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == whole
 
 
 @settings(max_examples=60, deadline=None)
