@@ -1,4 +1,5 @@
 from casegrid.sources.catalogue import Catalogue, Dataset, WrongSchema
+from casegrid.sources.feature_files import read_feature_collections, read_feature_texts
 from casegrid.sources.features import geojson_features, geojson_geometries, read_geojson_features
 from casegrid.sources.inference import infer_types, profile_columns, read_inferred, split_typed
 from casegrid.sources.tables import (
@@ -23,6 +24,8 @@ __all__ = [
     "parse_income",
     "profile_columns",
     "read_code_dictionary",
+    "read_feature_collections",
+    "read_feature_texts",
     "read_geojson_features",
     "read_incidents",
     "read_income",

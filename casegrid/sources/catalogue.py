@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casegrid.operators.rows import quoted, union_incidents
+from casegrid.sources.feature_files import read_feature_collections
 from casegrid.sources.features import PROPERTIES, geojson_features
 from casegrid.sources.tables import parse_code_dictionary
 
@@ -27,7 +28,8 @@ class WrongSchema(ValueError):
 
 @dataclass(frozen=True)
 class Dataset:
-    """``format`` is csv, parquet, json, orc, codes (lines of code and description) or geojson (a feature a line).
+    """``format`` is csv, parquet, json, orc, codes (lines of code and description), geojson (a feature a line)
+    or collection (whole feature collections).
 
     ``types`` names the columns that are read; with ``strict`` a value of a csv that is no such value ends the query
     with an error, otherwise it becomes NULL. Properties of features are given by ``properties``.
@@ -52,6 +54,8 @@ class Dataset:
             return parse_code_dictionary(spark.read.text(path))
         if self.format == "geojson":
             return geojson_features(spark.read.text(path), self.properties)
+        if self.format == "collection":
+            return read_feature_collections(spark, path, self.properties)
         options = {"header": "true", **self.options} if self.format == "csv" else dict(self.options)
         rows = spark.read.options(**options).format(self.format).load(path)
         if self.format == "csv":
