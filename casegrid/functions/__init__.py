@@ -1,5 +1,6 @@
 from casegrid.functions.geo import (
     EARTH_RADIUS_M,
+    crossings,
     haversine,
     inside,
     on_earth,
@@ -24,6 +25,7 @@ __all__ = [
     "WHITESPACE",
     "band",
     "band_udf",
+    "crossings",
     "haversine",
     "inside",
     "matches_text",

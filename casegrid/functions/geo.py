@@ -69,8 +69,20 @@ def inside(
 
     ``exclude``: points on an edge are outside. ``half_open``: a point on an edge shared by two
     polygons is inside exactly one of them. ``crossed`` tells whether the ray has crossed an odd number
-    of edges that are not in ``edges``. The first edges are tested in generated code; only lists that
-    are longer go through array functions, which Spark interprets.
+    of edges that are not in ``edges``.
+    """
+    odd, on_edge = crossings(edges, lon, lat, boundary)
+    if crossed is not None:
+        odd = odd != crossed
+    return odd if boundary == "half_open" else odd & ~on_edge
+
+
+def crossings(edges: Column, lon: Column, lat: Column, boundary: str = "exclude") -> tuple[Column, Column]:
+    """Whether an odd number of edges lies east of the point, and whether it is on one that ``boundary`` excludes.
+
+    Lists of one polygon's edges can be judged apart: it holds the point if an odd number of them is odd.
+    The first edges are tested in generated code; only lists that are longer go through array
+    functions, which Spark interprets.
     """
     if boundary not in ("exclude", "half_open"):
         raise ValueError(f"boundary must be 'exclude' or 'half_open', not {boundary!r}")
@@ -91,11 +103,9 @@ def inside(
     odd = longer & (F.size(further) % 2 == 1)
     for e in first:
         odd = odd != F.coalesce(crosses(e), F.lit(False))
-    if crossed is not None:
-        odd = odd != crossed
     if boundary == "half_open":
-        return odd
+        return odd, F.lit(False)
     on_edge = longer & F.exists(edges, touches)
     for e in first:
         on_edge = on_edge | F.coalesce(touches(e), F.lit(False))
-    return odd & ~on_edge
+    return odd, on_edge

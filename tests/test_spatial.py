@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casegrid.functions import haversine, inside, polygon_edges
+from casegrid.operators import contains
 from casegrid.operators.contains import _cells_of, join_contains
 from casegrid.operators.nearest import nearest, nearest_summary
 
@@ -132,6 +133,54 @@ def test_many_vertices_are_listed_in_small_cells(spark):
     assert _cells_of(disc, "coordinates").selectExpr("max(size(_edges))").first()[0] <= 64
 
 
+@pytest.mark.parametrize("boundary", ["exclude", "half_open"])
+def test_chunks_of_edges_give_the_same_rows(spark, monkeypatch, boundary):
+    """Cells that stay crowded are tested chunk by chunk; holes, parts, corners and repeated points included."""
+    monkeypatch.setattr(contains, "CHUNK", 4)
+    monkeypatch.setattr(contains, "MANY_EDGES", 6)
+    monkeypatch.setattr(contains, "MAX_DIVISIONS", 1)
+    rng = random.Random(boundary)
+    made = areas(rng)
+    corners = [c for _, parts in made for rings in parts for ring in rings for c in ring[:3]]
+    spots = [(rng.uniform(-25, 25), rng.uniform(-25, 25)) for _ in range(300)]
+    spots += [(p[0][0][0][0] + rng.gauss(0, 0.01), p[0][0][0][1] + rng.gauss(0, 0.01)) for _, p in made for _ in range(9)]
+    spots += [(float(x), float(y)) for x, y in corners]
+    spots += spots[-20:]
+    points = spark.createDataFrame([(i // 2, x, y) for i, (x, y) in enumerate(spots)], POINTS)
+    polygons = spark.createDataFrame(made, "key string, coordinates array<array<array<array<double>>>>")
+    every_pair = points.join(polygons, F.lit(True)).filter(
+        inside(polygon_edges(F.col("coordinates")), F.col("lon"), F.col("lat"), boundary)
+    )
+    expected = sorted((r["id"], r["lon"], r["key"]) for r in every_pair.collect())
+    cells = _cells_of(polygons, "coordinates")
+    assert cells.filter("_parts > 1").count() > 50 and cells.selectExpr("max(size(_edges))").first()[0] <= 6
+    found = join_contains(points, polygons, lon="lon", lat="lat", boundary=boundary)
+    assert found.columns == ["id", "lon", "lat", "key"]
+    assert sorted((r["id"], r["lon"], r["key"]) for r in found.collect()) == expected
+    assert len(expected) > 100
+
+
+def test_many_edges_in_one_place(spark):
+    """A square with a saw of 12,000 teeth in one corner: that cell stays crowded at any fineness, no row holds more than a chunk."""
+    saw = [[1e-6 * (i + 1) / 24002, 1e-6 * (1 - i % 2)] for i in range(24001)]
+    ring = [[1.0, -1.0], [1.0, 1.0], [0.0, 1.0], *saw]
+    disc = spark.createDataFrame([("saw", [[[*ring, ring[0]]]])], "key string, coordinates array<array<array<array<double>>>>")
+    rng = random.Random(3)
+    spots = [(i, rng.uniform(-0.1, 1.1) * 10.0 ** -(i % 9), rng.uniform(-0.1, 1.1) * 10.0 ** -(i % 9)) for i in range(300)]
+    spots += [(1000 + i, rng.uniform(0, 1e-6), rng.uniform(0, 1e-6)) for i in range(100)]
+    points = spark.createDataFrame(spots, POINTS)
+    cells = _cells_of(disc, "coordinates")
+    assert cells.filter("_parts > 1").count() and cells.selectExpr("max(size(_edges))").first()[0] <= contains.CHUNK
+    edges = [(*min(p, q, key=lambda c: c[1]), *max(p, q, key=lambda c: c[1])) for p, q in zip(ring, [*ring[1:], ring[0]])]
+
+    def held(x, y):
+        return sum(b <= y < d and (x - a) * (d - b) - (c - a) * (y - b) < 0 for a, b, c, d in edges) % 2 == 1
+
+    expected = sorted(i for i, x, y in spots if abs(y) <= 90 and held(x, y))
+    found = join_contains(points, disc, lon="lon", lat="lat")
+    assert sorted(r["id"] for r in found.collect()) == expected and len(expected) > 100
+
+
 def test_window_method_gives_the_same_rows(spark):
     points, sites = case("lattice")
     points, sites = spark.createDataFrame(points, POINTS), spark.createDataFrame(sites, SITES)
