@@ -2,8 +2,9 @@
 
 `Subwords` gives exactly the ids that ``Tokenizer.encode(text, add_special_tokens=False)`` gives for a
 tokenizer that drops white space. Words (maximal runs without ASCII white space) are then independent of
-each other. A word of plain letters followed by plain punctuation is lower-cased and its two parts go
-to the library's BPE model; every other word goes through the library's whole ``encode``.
+each other. A word of plain letters followed by plain punctuation is lower-cased, and its two parts have the
+ids that they have as words; those go to the library's BPE model. Every other word goes through the library's
+whole ``encode``.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from tokenizers import Tokenizer
 
 from casegrid.llm.common import OTHER_CACHES, forget_hashes
 
-CACHED_WORDS, CACHED_PARTS = 400_000, 200_000
+#: Words of the newer and of the older half of the cache.
+CACHED_WORDS = 300_000
 
 #: Letters of ASCII and Latin-1 (composed, with simple lower case), then ASCII punctuation without ' and <.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=-@\[-`{-~]*)")
+_PUNCTUATION = bytes(b for b in range(0x21, 0x7F) if not chr(b).isalnum() and b not in b"'<")
 
 
 def _byte_symbols() -> list[str]:
@@ -40,9 +43,8 @@ class Subwords:
         self._tokenizer = Tokenizer.from_file(tokenizer_file)
         self._model = self._tokenizer.model
         self._symbols = _byte_symbols()
-        self._parts: dict[str, bytes] = {}
         self._words = _Words(self)
-        OTHER_CACHES.extend((self._parts, self._words))
+        OTHER_CACHES.append(self._words)
         with open(tokenizer_file, encoding="utf-8") as file:
             spec = json.load(file)
         self._splits = _drops_white_space(spec)
@@ -60,33 +62,43 @@ class Subwords:
         return b"".join(map(self._words.__getitem__, text.split()))
 
     def _word(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        plain = _PLAIN.fullmatch(text)
-        if plain is None:
-            return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(self._part(part) for part in (plain[1].lower(), plain[2]) if part)
-
-    def _part(self, part: str) -> bytes:
-        ids = self._parts.get(part)
-        if ids is None:
-            if len(self._parts) >= CACHED_PARTS:
-                self._parts.clear()
-            symbols = "".join(map(self._symbols.__getitem__, part.encode()))
-            ids = self._parts[part] = _packed([token.id for token in self._model.tokenize(symbols)])
-        return ids
+        letters = word.rstrip(_PUNCTUATION)
+        if letters.isalpha() or not letters:  # ASCII
+            lowered, rest = letters.lower(), word[len(letters) :]
+        else:
+            text = word.decode("utf-8", "replace")
+            plain = _PLAIN.fullmatch(text)
+            if plain is None:
+                return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
+            lowered, rest = plain[1].lower().encode(), plain[2].encode()
+        if lowered and (rest or lowered != word):
+            return self._words[lowered] + self._words[rest] if rest else self._words[lowered]
+        symbols = word.decode() if word.isascii() else "".join(map(self._symbols.__getitem__, word))
+        return _packed([token.id for token in self._model.tokenize(symbols)])
 
 
 class _Words(dict):
+    """The ids of words. When it is full, the words become the older half and what was there is forgotten; an older
+    word that is met again is among the newer ones."""
+
     def __init__(self, owner: Subwords):
         super().__init__()
-        self._owner = owner
+        self._owner, self._older = owner, {}
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self._older.get(word)
+        if ids is None:
+            ids = self._owner._word(word)
         if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self[word] = self._owner._word(word)
+            self._older = dict(self)
+            super().clear()
+        self[word] = ids
         return ids
 
+    def clear(self) -> None:
+        super().clear()
+        self._older = {}
+
 
 def _packed(ids: list[int]) -> bytes:
     return np.array(ids, "<u4").tobytes() if len(ids) > 16 else array("I", ids).tobytes()

@@ -28,6 +28,8 @@ from casegrid.operators.storage import stored
 
 MAGIC, HEAD = b"CGBP", struct.Struct("<4s4I2Q")
 LANES, BLOCK_IDS, FILE_IDS = 64, 1 << 14, 1 << 22
+#: Where ids take whole bytes, the groups of 64 are arrays of such integers.
+_WHOLE = {8: "u1", 16: "<u2", 32: "<u4"}
 
 
 def bits_for(vocabulary: int) -> int:
@@ -37,6 +39,8 @@ def bits_for(vocabulary: int) -> int:
 def pack(ids: np.ndarray, bits: int) -> bytes:
     """Any number of ids below 2**bits; the last group of 64 is filled up with zeros."""
     groups = -(-len(ids) // LANES)
+    if bits in _WHOLE:
+        return ids.astype(_WHOLE[bits]).tobytes().ljust(groups * bits * 8, b"\0")
     lanes = np.zeros((groups, LANES), np.uint64)
     lanes.ravel()[: len(ids)] = ids
     words = np.zeros((groups, bits), np.uint64)
@@ -49,6 +53,8 @@ def pack(ids: np.ndarray, bits: int) -> bytes:
 
 
 def unpack(payload: bytes, bits: int, count: int) -> np.ndarray:
+    if bits in _WHOLE:
+        return np.frombuffer(payload, _WHOLE[bits])[:count].astype(np.uint32)
     words = np.frombuffer(payload, "<u8").reshape(-1, bits)
     ids = np.empty((len(words), LANES), np.uint32)
     mask = np.uint64((1 << bits) - 1)

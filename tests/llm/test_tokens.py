@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from casegrid.llm import subwords
 from casegrid.llm.packing import Places, best_fit_packing, plan_packing
 from casegrid.llm.subwords import Subwords
 from casegrid.llm.token_files import TokenFile, file_bytes, pack, read_token_files, unpack, write_token_files
@@ -36,6 +37,24 @@ def test_words_are_encoded_as_whole_texts_are(text):
     assert np.frombuffer(encoder.encode(text.encode()), "<u4").tolist() == whole
 
 
+def test_a_full_cache_keeps_frequent_words(monkeypatch):
+    monkeypatch.setattr(subwords, "CACHED_WORDS", 20)
+    encoder, made = Subwords(FILE), []
+    one = encoder._word
+    monkeypatch.setattr(encoder, "_word", lambda word: made.append(word) or one(word))
+    rare = [f"r{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(400)]
+    text = " ".join(f"often Often, {word}" for word in rare)
+    ids = np.frombuffer(encoder.encode(text.encode()), "<u4").tolist()
+    assert ids == Tokenizer.from_file(FILE).encode(text, add_special_tokens=False).ids
+    assert made.count(b"often") == made.count(b"Often,") == 1 and len(made) == 403  # and one comma
+
+
+def test_ids_of_whole_bytes_are_plain_integers():
+    ids = np.random.default_rng(2).integers(0, 1 << 16, 1 << 20, dtype=np.uint32)
+    packed = pack(ids, 16)
+    assert packed == ids.astype("<u2").tobytes() and unpack(packed, 16, len(ids)).tolist() == ids.tolist()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 32), st.integers(0, 400), st.integers(0, 2**32))
 def test_packed_ids_come_back(bits, count, seed):
