@@ -7,7 +7,9 @@ judge a rare expression alike. The score is a logistic function of the differenc
 per word and of the single words that differ most.
 
 Words and pairs are counted exactly, as rows of Spark tables keyed by 64-bit hashes; contexts are counted from sorted
-blocks of the distinct pairs' hashes, each of which holds the word's place where the word is in the model. Of these tables the models
+blocks of the distinct pairs' hashes, each of which holds the word's place where the word is in the model. Pairs of two
+such words travel to be counted in like blocks, named by both places; for that each task has all of the model's words, 8
+bytes each. Of these tables the models
 need no more than what either class has beyond the discount: a pair below it adds nothing, and a word below it
 has its contexts in both likelihoods alike, so that they cancel. That part is sent out in shards of a bounded
 number of words and pairs; each word of a text is looked up in the one shard that has its cell.
@@ -77,6 +79,9 @@ def _batches(names: list[str], columns: list[np.ndarray], rows: int = 1 << 16) -
 
 
 _WORDS, _PAIRS = "key long, n0 long, n1 long", "before long, word long, n0 long, n1 long"
+_BLOCKS = "bucket long, kind int, first long, width int, steps binary"
+#: A fixed odd multiplier.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -121,32 +126,120 @@ def _marked(bits: np.ndarray, words: np.ndarray) -> np.ndarray:
     return (bits[place >> np.uint64(3)] << (place & np.uint64(7)).astype(np.uint8)) & 128 != 0
 
 
-def _count_pairs(kept: np.ndarray):
-    """How often each class has each pair of words. A pair is never more frequent than its words, so those of other words
-    than the ones in the bitmap ``kept`` are left out."""
+def _place_bits(n_kept: int) -> int:
+    return max(1, n_kept.bit_length())
+
+
+def _scrambled(keys: np.ndarray, bits: int) -> np.ndarray:
+    """A bijection of the numbers below 2**bits (an even number of bits) that spreads them evenly; see `_restored`."""
+    mask, half = np.uint64((1 << bits) - 1), np.uint64(bits // 2)
+    keys = keys * _SPREAD & mask
+    return (keys ^ (keys >> half)) * _SPREAD & mask
+
+
+def _restored(keys: np.ndarray, bits: int) -> np.ndarray:
+    mask, half, back = np.uint64((1 << bits) - 1), np.uint64(bits // 2), np.uint64(pow(int(_SPREAD), -1, 1 << 64))
+    keys = keys * back & mask
+    return (keys ^ (keys >> half)) * back & mask
+
+
+def _added(held: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """Distinct keys in order and the sums of their counts, from (keys, n0, n1) with at least one key."""
+    keys, *counts = map(np.concatenate, zip(*held))
+    order, first = _runs(keys)
+    return [keys[order[first]], *(np.add.reduceat(n[order], first, dtype=np.int64) for n in counts)]
+
+
+def _count_pairs(shared, buckets: int):
+    """How often each class has each pair of words, in blocks. A pair is never more frequent than its words, so those of
+    other words than the kept ones are left out: first by the bitmap, then by their places, which make up the pair's key."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, flags = shared.value
+        bits, held, size = _place_bits(len(kept)), [], 0
         for word, before, label in _tokens(batches):
-            both = _marked(kept, word) & _marked(kept, before)
-            word, before, label = word[both], before[both], label[both]
-            if len(word):
-                order, first = _runs(_pair(before, word))
-                one = order[first]
-                yield from _batches(["before", "word", "n0", "n1"], [before[one].view(np.int64), word[one].view(np.int64), *_by_class(label, order, first)])
+            both = _marked(flags, word) & _marked(flags, before)
+            word, before, label = _find(kept, word[both]), _find(kept, before[both]), label[both]
+            both = (word < len(kept)) & (before < len(kept))
+            if not both.any():
+                continue
+            keys = _scrambled((before[both] << bits | word[both]).astype(np.uint64), 2 * bits)
+            held.append(_added([[keys, *(label[both] == c for c in (0, 1))]]))
+            size += len(held[-1][0])
+            if size >= PARTED // 4:
+                held = [_added(held)]
+                size = len(held[0][0])
+                if size >= PARTED // 8:
+                    yield from _counted_blocks(held[0], 2 * bits, buckets)
+                    held, size = [], 0
+        if held:
+            yield from _counted_blocks(_added(held), 2 * bits, buckets)
 
     return counted
 
 
+def _counted_blocks(held: list[np.ndarray], bits: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """`_blocks` of sorted keys below 2**bits, each with the counts of its keys for both classes."""
+    keys, *counts = held
+    at = 0
+    for batch in _blocks(([keys],), buckets, bits):
+        packed = []
+        for width, steps in zip(batch.column("width").to_pylist(), batch.column("steps")):
+            n = np.stack([c[at : at + len(steps.as_buffer()) // width + 1] for c in counts])
+            packed.append(n.astype(np.min_scalar_type(n.max())).tobytes())
+            at += n.shape[1]
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(packed, pa.binary())], names=[*batch.schema.names, "counts"])
+
+
+def _sum_pairs(shared, discounts: tuple[float, float]):
+    """(before, word, n0, n1) of the pairs that either class has beyond its discount, from blocks in the order of their
+    buckets. A task holds the keys of one bucket."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, _ = shared.value
+        bits, held, at = _place_bits(len(kept)), [], None
+
+        def done() -> Iterator[pa.RecordBatch]:
+            if held:
+                keys, *counts = _added(held)
+                over = (counts[0] > discounts[0]) | (counts[1] > discounts[1])
+                places = _restored(keys[over], 2 * bits).astype(np.int64)
+                pair = [kept[places >> bits].view(np.int64), kept[places & ((1 << bits) - 1)].view(np.int64)]
+                yield from _batches(["before", "word", "n0", "n1"], [*pair, *(n[over] for n in counts)])
+
+        for batch in batches:
+            for bucket, _, first, width, steps, packed in zip(*(c.to_pylist() for c in batch.columns)):
+                if bucket != at:
+                    yield from done()
+                    held, at = [], bucket
+                keys = _unpacked(first, width, steps)
+                counts = np.frombuffer(packed, f"<u{len(packed) // (2 * len(keys))}").reshape(2, -1)
+                held.append([keys, *counts])
+        yield from done()
+
+    return summed
+
+
 #: The low bits of the key of a pair whose word is in the model: the word's place. The others are the pair's hash.
 _PLACE = np.uint64((1 << 21) - 1)
 
 
+def _merge(keys: list[np.ndarray]) -> int:
+    """Leaves one array, of the distinct keys in order, and tells how many they are."""
+    together = np.concatenate(keys) if keys else np.empty(0, np.uint64)
+    keys.clear()
+    together.sort()
+    first = np.concatenate([[True], together[1:] != together[:-1]])[: len(together)]
+    keys.append(together[first])
+    return len(keys[0])
+
+
 def _distinct_pairs(kept: np.ndarray, cell: tuple[int, int], buckets: int):
     """Keys of the distinct pairs whose word is in the cell (parts, part), in sorted blocks. Pairs with a word in ``kept``
     (sorted) have its place in their key; of the others only the number will matter."""
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = ([], []), 0
+        held, fresh = ([], []), 0
         for word, before, _ in _tokens(batches):
             if cell[0] > 1:
                 here = word.view(np.int64) % cell[0] == cell[1]
@@ -155,23 +248,22 @@ def _distinct_pairs(kept: np.ndarray, cell: tuple[int, int], buckets: int):
             known = place < len(kept)
             for keys, new in zip(held, (pair[known] & ~_PLACE | place[known], pair[~known])):
                 keys.append(np.unique(new))
-                size += len(keys[-1])
-            if size >= PARTED:
-                held = tuple([np.unique(np.concatenate(keys))] for keys in held)
-                size = len(held[0][0]) + len(held[1][0])
-                if size >= PARTED / 2:
+                fresh += len(keys[-1])
+            if fresh >= PARTED // 4:
+                fresh = 0
+                if sum(map(_merge, held)) >= PARTED / 2:
                     yield from _blocks(held, buckets)
-                    held, size = ([], []), 0
-        if size:
-            yield from _blocks([[np.unique(np.concatenate(keys))] for keys in held], buckets)
+                    held = [], []
+        if sum(map(_merge, held)):
+            yield from _blocks(held, buckets)
 
     return told
 
 
-def _blocks(held, buckets: int) -> Iterator[pa.RecordBatch]:
-    """One row for each bucket, a range of hashes: the first key, and the steps to the others in as few bytes as the
-    longest needs."""
-    shift = np.uint64(65 - buckets.bit_length())
+def _blocks(held, buckets: int, bits: int = 64) -> Iterator[pa.RecordBatch]:
+    """One row for each bucket, a range of the keys below 2**bits: the first key, and the steps to the others in as few
+    bytes as the longest needs."""
+    shift = np.uint64(max(0, bits + 1 - buckets.bit_length()))
     rows = []
     for kind, (keys,) in enumerate(held):
         bucket = keys >> shift
@@ -235,7 +327,7 @@ def _sum_contexts(kept: np.ndarray):
 
 
 def _contexts(texts: DataFrame, kept: np.ndarray, cell: tuple[int, int], buckets: int) -> DataFrame:
-    blocks = texts.mapInArrow(_distinct_pairs(kept, cell, buckets), "bucket long, kind int, first long, width int, steps binary")
+    blocks = texts.mapInArrow(_distinct_pairs(kept, cell, buckets), _BLOCKS)
     dealt = blocks.repartition("bucket").sortWithinPartitions("bucket")
     counts = dealt.mapInArrow(_count_contexts(len(kept)), "part long, contexts binary").repartition("part")
     return stored(counts.mapInArrow(_sum_contexts(kept), "key long, contexts long"))
@@ -365,11 +457,14 @@ def fit_toxicity(
     size = words.count()
     parts = max(1, -(-size // SHARD_WORDS))
     part = lambda i: np.sort(_long(words.filter(F.pmod("key", F.lit(parts)) == i).select("key").toArrow(), "key"))
-    counted = train.mapInArrow(_count_pairs(_bits(map(part, range(parts)))), _PAIRS).groupBy("before", "word").agg(*counts)
-    pairs = stored(counted.filter((F.col("n0") > float(discounts[0])) | (F.col("n1") > float(discounts[1]))))
     texts = with_text(docs, id_col, text_col).select("text", F.lit(None).cast("int").alias("label"))
     measured = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(BUCKETS, 1 << (measured // BUCKET_BYTES).bit_length())
+    every = np.sort(np.concatenate([part(i) for i in range(parts)]))
+    kept = docs.sparkSession.sparkContext.broadcast((every, _bits([every])))
+    blocks = train.mapInArrow(_count_pairs(kept, buckets), f"{_BLOCKS}, counts binary")
+    dealt = blocks.repartition("bucket").sortWithinPartitions("bucket")
+    pairs = stored(dealt.mapInArrow(_sum_pairs(kept, tuple(map(float, discounts))), _PAIRS))
     contexts = reduce(DataFrame.union, [_contexts(texts, part(i), (parts, i), buckets) for i in range(parts)])
     n_contexts = contexts.agg(F.sum("contexts")).first()[0] or 0
     left = [F.greatest(F.col(f"n{c}") - float(discounts[c]), F.lit(0.0)) for c in (0, 1)]

@@ -3,8 +3,10 @@
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -180,3 +182,33 @@ def test_bitmap_has_all_keys_and_few_others():
     keys, others = rng.integers(0, 2**64, (2, 5000), np.uint64)
     bits = toxicity._bits([keys[:10], keys[10:]])
     assert toxicity._marked(bits, keys).all() and toxicity._marked(bits, others).mean() < 0.01
+
+
+@pytest.mark.parametrize("parted", [1 << 22, 400])
+def test_counts_of_pairs_travel_in_few_bytes(monkeypatch, parted):
+    monkeypatch.setattr(toxicity, "PARTED", parted)
+    rng = random.Random(5)
+    some = [f"word{k}" for k in range(300)]
+    texts = [" ".join(rng.choice(some) for _ in range(200)) for _ in range(400)]
+    labels = [rng.choice((0, 0, 1)) for _ in texts]
+    kept = np.unique(np.append(hash_words([w.encode() for w in some[:200]]), toxicity._START))
+    shared = SimpleNamespace(value=(kept, toxicity._bits([kept])))
+    batch = pa.RecordBatch.from_arrays([pa.array([t.encode() for t in texts]), pa.array(labels, pa.int32())], names=["text", "label"])
+    blocks = pa.Table.from_batches(toxicity._count_pairs(shared, 64)(iter([batch])))
+    entries = sum(len(steps) // width + 1 for steps, width in zip(blocks["steps"].to_pylist(), blocks["width"].to_pylist()))
+    assert entries > 20_000 and sum(len(x) for c in ("steps", "counts") for x in blocks[c].to_pylist()) <= 4 * entries
+    words, pairs, _ = exact_counts(list(enumerate(texts)), dict(enumerate(labels)))
+    dealt = blocks.sort_by("bucket").to_batches(max_chunksize=7)
+    found = pa.Table.from_batches(toxicity._sum_pairs(shared, (1.0, 1.0))(iter(dealt)))
+    found = {(b, w): (n0, n1) for b, w, n0, n1 in zip(*(c.to_pylist() for c in found.columns))}
+    known = {None, *some[:200]}
+    over = {(b, w) for b, w, c in pairs if {b, w} <= known and pairs[b, w, c] > 1}
+    assert found == {(key(b), key(w)): (pairs[b, w, 0], pairs[b, w, 1]) for b, w in over} and len(over) > 2000
+
+
+@pytest.mark.parametrize("bits", [2, 10, 34, 62])
+def test_scrambled_keys_are_restored(bits):
+    keys = np.unique(np.random.default_rng(6).integers(0, 1 << bits, 3000, np.uint64))
+    spread = toxicity._scrambled(keys, bits)
+    assert len(np.unique(spread)) == len(keys) and int(spread.max()) < 1 << bits
+    assert toxicity._restored(spread, bits).tolist() == keys.tolist()
