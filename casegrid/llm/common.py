@@ -11,6 +11,7 @@ from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +30,13 @@ def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_WORD_BYTES).split()
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of at most so many rows, for work that takes many times the memory of its row."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def word_chunks(texts: Iterable[bytes | None], split=None) -> Iterator[tuple[int, list[list[bytes]]]]:
     """(first row, words of each row) in runs of rows with about CHUNK_WORDS words."""
     first, held, size = 0, [], 0

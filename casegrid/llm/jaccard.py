@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import hash_words, mixed, ngrams, with_text
+from casegrid.llm.common import hash_words, mixed, ngrams, slices, with_text
 from casegrid.llm.components import components
 from casegrid.llm.groups import SplitJoin
 from casegrid.operators.storage import fits_broadcast, stored
@@ -68,7 +68,7 @@ def _described(rows: DataFrame, size: int) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["kind", "id", "n", "node"]
         counts = np.zeros(1 << RARITY_BITS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingle_set(text.as_py(), size) for text in batch.column(1)]
             counts += np.bincount(_places(np.concatenate(sets)), minlength=len(counts))
             n = len(sets)
@@ -89,7 +89,7 @@ def _nodes(rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> Data
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
-        for batch in batches:
+        for batch in slices(batches):
             out: list[tuple] = []
             for text in batch.column(1):
                 shingles = shingle_set(text.as_py(), size)
@@ -153,7 +153,7 @@ class JaccardJoin:
         rows = self.rows.join(F.broadcast(unique) if fits_broadcast(unique) else unique, "id", "left_semi")
 
         def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in slices(batches):
                 sets = [shingle_set(text.as_py(), self_size) for text in batch.column(1)]
                 arrays = [pa.array([node_of(s) for s in sets]), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays(arrays, names=["node", "shingles"])

@@ -4,6 +4,7 @@ import random
 import re
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -182,3 +183,19 @@ def test_components_of_long_chains(spark):
     chain = [(k, k + 1) for k in range(0, 60)] + [(100, 101), (103, 101)]
     found = {r["node"]: r["component"] for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {**{k: 0 for k in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_sets_of_shingles_are_made_for_a_few_texts_at_a_time():
+    class Rows:
+        def mapInArrow(self, function, schema):
+            self.function = function
+
+    rows = Rows()
+    jaccard._described(rows, 3)
+    texts = [f"one two w{k % 700}".encode() for k in range(1300)] + [None]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1301), pa.int64()), pa.array(texts)], names=["id", "text"])
+    *described, counts = rows.function(iter([batch, batch.slice(0, 0)]))
+    assert max(b.num_rows for b in described) <= 512
+    found = pa.Table.from_batches(described).to_pydict()
+    assert found["id"] == list(range(1301)) and found["n"] == [1] * 1300 + [0] and len(set(found["node"])) == 701
+    assert sum(counts.column("n").to_pylist()) == 1300
