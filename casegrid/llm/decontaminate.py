@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import with_text, word_chunks, words_of
+from casegrid.llm.common import lean, with_text, word_chunks, words_of
 
 SHINGLE, SHARD_WINDOWS = 3, 150_000
 _ID_BITS = 21
@@ -39,7 +39,7 @@ def item_windows(benchmark: DataFrame, window: int, item_col: str = "item_id", t
                     found.append(b" ".join(words[at : at + window]))
             yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(found, pa.binary())], names=["item_id", "words"])
 
-    return with_text(benchmark, item_col, text_col).mapInArrow(windows, "item_id long, words binary").distinct()
+    return with_text(benchmark, item_col, text_col).mapInArrow(lean(windows), "item_id long, words binary").distinct()
 
 
 class WindowIndex:
@@ -125,7 +125,7 @@ def _count_shingles(docs: DataFrame, index: WindowIndex) -> dict[int, np.ndarray
             yield pa.RecordBatch.from_arrays(arrays, names=["size", "place", "n"])
 
     totals = {size: np.zeros(len(codes), np.int64) for size, codes in index.vocabulary.items()}
-    rows = docs.select("text").mapInArrow(counted, "size long, place long, n long")
+    rows = docs.select("text").mapInArrow(lean(counted), "size long, place long, n long")
     for row in rows.groupBy("size", "place").agg(F.sum("n").alias("n")).collect():  # at most the shard's shingles
         totals[row["size"]][row["place"]] = row["n"]
     return totals
@@ -194,7 +194,7 @@ def _matched(docs: DataFrame, index: WindowIndex) -> DataFrame:
                 names=["id", "digest", "n_words", "spans", "items"],
             )
 
-    return docs.mapInArrow(found, _FOUND)
+    return docs.mapInArrow(lean(found), _FOUND)
 
 
 def _shards(windows: DataFrame, shard_windows: int) -> Iterator[WindowIndex]:

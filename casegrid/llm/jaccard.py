@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import hash_words, mixed, ngrams, slices, with_text
+from casegrid.llm.common import hash_words, lean, mixed, ngrams, slices, with_text
 from casegrid.llm.components import components
 from casegrid.llm.groups import SplitJoin
 from casegrid.operators.storage import fits_broadcast, stored
@@ -78,7 +78,7 @@ def _described(rows: DataFrame, size: int) -> DataFrame:
         arrays = [np.ones(len(seen), np.int32), seen, counts[seen], np.zeros(len(seen), np.int64)]
         yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=names)
 
-    return rows.mapInArrow(found, "kind int, id long, n long, node long")
+    return rows.mapInArrow(lean(found), "kind int, id long, n long, node long")
 
 
 _NODES = "node long, size int, keys array<long>, sketch binary, parity array<long>, common long, prefix array<long>"
@@ -116,7 +116,7 @@ def _nodes(rows: DataFrame, counts: np.ndarray, size: int, percent: int) -> Data
                 arrays = [pa.array(list(column), kind) for column, kind in zip(zip(*out), kinds)]
                 yield pa.RecordBatch.from_arrays(arrays, names=["node", "size", "keys", "sketch", "parity", "common", "prefix"])
 
-    return rows.mapInArrow(found, _NODES).dropDuplicates(["node"])
+    return rows.mapInArrow(lean(found), _NODES).dropDuplicates(["node"])
 
 
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -159,7 +159,7 @@ class JaccardJoin:
                 yield pa.RecordBatch.from_arrays(arrays, names=["node", "shingles"])
 
         self_size = self.size
-        made = rows.mapInArrow(found, "node long, shingles array<long>")
+        made = rows.mapInArrow(lean(found), "node long, shingles array<long>")
         return stored(made.join(ids.select("node"), "node", "left_semi").dropDuplicates(["node"]))
 
     def linked(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -181,7 +181,7 @@ class JaccardJoin:
 
         split = SplitJoin(_counts(pairs, "b"), "b")
         joined = split.join(split.dealt(pairs).join(left, "a"), right)
-        return joined.select("a", "b", "left", "right").mapInArrow(compared, "a long, b long")
+        return joined.select("a", "b", "left", "right").mapInArrow(lean(compared), "a long, b long")
 
     def possible(self, pairs: DataFrame, percent: int) -> DataFrame:
         """Those (a, b) of ``pairs``, a stored table, that may have a Jaccard similarity of ``percent`` by their parity bitmaps;
@@ -294,7 +294,7 @@ class JaccardJoin:
                         keep.append(k)
                 yield batch.select([0, 1]).take(pa.array(keep, pa.int64()))
 
-        return stored(rows.select("a", "in_group", "shingles", "held").mapInArrow(enough, "a long, in_group long"))
+        return stored(rows.select("a", "in_group", "shingles", "held").mapInArrow(lean(enough), "a long, in_group long"))
 
     def pairs_of_blocks(self, asked: DataFrame, members: DataFrame) -> DataFrame:
         """(a, b) that may be linked by their parity bitmaps, of all askers and all members of a group, block by block."""
@@ -326,7 +326,7 @@ class JaccardJoin:
                     i, k = np.nonzero(differ * (100 + percent) <= (a_size[:, None] + b_size[None, :]) * (100 - percent))
                     yield pa.RecordBatch.from_arrays([pa.array(a[i]), pa.array(b[k])], names=["a", "b"])
 
-        return met.select("a_held", "b_held").mapInArrow(compared, "a long, b long")
+        return met.select("a_held", "b_held").mapInArrow(lean(compared), "a long, b long")
 
 
 def jaccard_components(

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import with_text
+from casegrid.llm.common import lean, with_text
 from casegrid.llm.subwords import subwords
 from casegrid.operators.storage import stored
 
@@ -234,7 +234,7 @@ def cut_pieces(
                     seen[length] += 1
             yield _batch(_PIECES, list(zip(*rows)) or [[]] * 7)
 
-    return with_text(docs, id_col, text_col).mapInArrow(pieces, _PIECES)
+    return with_text(docs, id_col, text_col).mapInArrow(lean(pieces), _PIECES)
 
 
 def _batch(schema: str, columns) -> pa.RecordBatch:
@@ -263,7 +263,7 @@ def pack_pieces(pieces: DataFrame, capacity: int, large_part: int = LARGE_PART,
     ranked = pieces.join(bases, ["part", "length"]).select(
         "doc_id", "piece", "start", "length", "ids_crc32", (F.col("base") + F.col("nth")).alias("rank")
     )
-    return ranked.mapInArrow(placed, _OUT)
+    return ranked.mapInArrow(lean(placed), _OUT)
 
 
 def best_fit_packing(

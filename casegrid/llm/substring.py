@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import _powers, hash_words, mixed, with_text
+from casegrid.llm.common import _powers, hash_words, lean, mixed, with_text
 from casegrid.operators.storage import fits_broadcast, stored
 
 SHARD_CONTEXTS = 400
@@ -167,7 +167,7 @@ def _anchor_rows(rows: DataFrame, least: int) -> DataFrame:
                 arrays = [pa.array(np.concatenate(column)) for column in out]
                 yield pa.RecordBatch.from_arrays(arrays, names=["id", "row", "place", "anchor", "context"])
 
-    return rows.mapInArrow(found, _ANCHORS)
+    return rows.mapInArrow(lean(found), _ANCHORS)
 
 
 _WORDS = "anchor long, context long, first long, hot boolean, words binary"
@@ -192,7 +192,7 @@ def _context_words(rows: DataFrame, wanted: DataFrame, least: int) -> DataFrame:
                 arrays = [*arrays[:2], pa.array([key] * len(asked), pa.int64()), arrays[2], pa.array(cut, pa.binary())]
                 yield pa.RecordBatch.from_arrays(arrays, names=["anchor", "context", "first", "hot", "words"])
 
-    return rows.mapInArrow(found, _WORDS)
+    return rows.mapInArrow(lean(found), _WORDS)
 
 
 _FOUND = "anchor long, context long, start int, end int"
@@ -223,7 +223,7 @@ def _by_automata(contexts: DataFrame, least: int) -> DataFrame:
         if out:
             yield _spans_batch(out)
 
-    return rows.mapInArrow(found, _FOUND)
+    return rows.mapInArrow(lean(found), _FOUND)
 
 
 def _spans_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -247,7 +247,7 @@ def _by_windows(contexts: DataFrame, least: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     windows = contexts.select("anchor", "context", "first", "words").mapInArrow(
-        found, "anchor long, context long, first long, start int, w0 long, w1 long"
+        lean(found), "anchor long, context long, first long, start int, w0 long, w1 long"
     )
     windows = stored(windows)
     firsts = windows.groupBy("w0", "w1").agg(F.min("first").alias("least"), F.max("first").alias("most"))
@@ -338,5 +338,5 @@ def remove_repeated(
             yield pa.RecordBatch.from_arrays([*batch.columns[:2], *arrays], names=["doc_id", "row", "n_words", "n_removed", "spans", "text"])
 
     joined = rows.join(per_row, rows["id"].eqNullSafe(per_row["id"]) & rows["row"].eqNullSafe(per_row["row"]), "left")
-    found = joined.select(rows["id"], rows["row"], rows["text"], "spans").mapInArrow(removed, _OUT)
+    found = joined.select(rows["id"], rows["row"], rows["text"], "spans").mapInArrow(lean(removed), _OUT)
     return found.withColumn("text", F.col("text").cast("string"))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import hash_words, mixed, with_text, word_chunks
+from casegrid.llm.common import hash_words, lean, mixed, with_text, word_chunks
 from casegrid.llm.labelled import fit_logistic, labelled
 from casegrid.operators.storage import stored
 
@@ -327,10 +327,10 @@ def _sum_contexts(kept: np.ndarray):
 
 
 def _contexts(texts: DataFrame, kept: np.ndarray, cell: tuple[int, int], buckets: int) -> DataFrame:
-    blocks = texts.mapInArrow(_distinct_pairs(kept, cell, buckets), _BLOCKS)
+    blocks = texts.mapInArrow(lean(_distinct_pairs(kept, cell, buckets)), _BLOCKS)
     dealt = blocks.repartition("bucket").sortWithinPartitions("bucket")
-    counts = dealt.mapInArrow(_count_contexts(len(kept)), "part long, contexts binary").repartition("part")
-    return stored(counts.mapInArrow(_sum_contexts(kept), "key long, contexts long"))
+    counts = dealt.mapInArrow(lean(_count_contexts(len(kept))), "part long, contexts binary").repartition("part")
+    return stored(counts.mapInArrow(lean(_sum_contexts(kept)), "key long, contexts long"))
 
 
 @dataclass
@@ -447,7 +447,7 @@ def fit_toxicity(
     """The two models, from the labelled rows for which ``usable`` (over ``id``) holds and from all texts."""
     train = labelled(docs, labels, label, usable, id_col=id_col, text_col=text_col).select("text", "label")
     counts = [F.sum(n).alias(n) for n in ("n0", "n1")]
-    words = stored(train.mapInArrow(_count_words, _WORDS).groupBy("key").agg(*counts))
+    words = stored(train.mapInArrow(lean(_count_words), _WORDS).groupBy("key").agg(*counts))
     no_start = F.col("key") != _START_KEY
     totals = np.array([n or 0 for n in words.filter(no_start).agg(*counts).first()], float)
     #: The same rate in both classes: DISCOUNT occurrences in the smaller one.
@@ -462,9 +462,9 @@ def fit_toxicity(
     buckets = max(BUCKETS, 1 << (measured // BUCKET_BYTES).bit_length())
     every = np.sort(np.concatenate([part(i) for i in range(parts)]))
     kept = docs.sparkSession.sparkContext.broadcast((every, _bits([every])))
-    blocks = train.mapInArrow(_count_pairs(kept, buckets), f"{_BLOCKS}, counts binary")
+    blocks = train.mapInArrow(lean(_count_pairs(kept, buckets)), f"{_BLOCKS}, counts binary")
     dealt = blocks.repartition("bucket").sortWithinPartitions("bucket")
-    pairs = stored(dealt.mapInArrow(_sum_pairs(kept, tuple(map(float, discounts))), _PAIRS))
+    pairs = stored(dealt.mapInArrow(lean(_sum_pairs(kept, tuple(map(float, discounts)))), _PAIRS))
     contexts = reduce(DataFrame.union, [_contexts(texts, part(i), (parts, i), buckets) for i in range(parts)])
     n_contexts = contexts.agg(F.sum("contexts")).first()[0] or 0
     left = [F.greatest(F.col(f"n{c}") - float(discounts[c]), F.lit(0.0)) for c in (0, 1)]
@@ -491,7 +491,7 @@ def _summed(rows: DataFrame, model: Model, leave_out: bool = False) -> DataFrame
                     same = [batch.column(c).slice(first, len(held)) for c in range(3)]
                     yield pa.RecordBatch.from_arrays([*same, pa.array(list(x), pa.list_(pa.float64()))], names=["id", "row", "label", "sums"])
 
-        return rows.mapInArrow(summed, "id long, row long, label int, sums array<double>")
+        return rows.mapInArrow(lean(summed), "id long, row long, label int, sums array<double>")
 
     found = [by(rows.sparkSession.sparkContext.broadcast(shard)) for shard in model.shards()]
     if len(found) == 1:
