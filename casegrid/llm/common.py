@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from casegrid.operators.rows import quoted
 
-CACHED_WORDS, CHUNK_WORDS = 300_000, 1 << 18
+#: Words of the newer and of the older half of a cache.
+CACHED_WORDS = 80_000
+CHUNK_WORDS = 1 << 18
 
 #: Bytes of words as they are compared: digits, small ASCII letters and all of non-ASCII; the rest parts words.
 _WORD_BYTES = bytes(
@@ -39,7 +41,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
 
 
 def give_back() -> None:
-    """Returns to the system what this process has freed; Arrow's and C's allocators would keep it."""
+    """Forgets the words' hashes and returns to the system what this process has freed; Arrow's and C's allocators would keep it."""
+    forget_hashes()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
     if trim is not None:
@@ -48,7 +51,7 @@ def give_back() -> None:
 
 def lean(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     """``task`` for mapInArrow, after which its process gives back memory. Processes are reused from stage to stage, and what
-    they have freed would stay with them while the next stage needs it elsewhere in the executor."""
+    they hold or have freed would stay with them while the next stage needs it elsewhere in the executor."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from task(batches)
@@ -82,14 +85,27 @@ OTHER_CACHES: list[dict] = []
 
 
 class WordHashes(dict):
-    """word (bytes) to its 64-bit hash; forgets all when full."""
+    """word (bytes) to its 64-bit hash. When it is full, the words become the older half and what was there is forgotten; an
+    older word that is met again is among the newer ones."""
+
+    def __init__(self):
+        super().__init__()
+        self._older: dict[bytes, int] = {}
 
     def __missing__(self, word: bytes) -> int:
+        value = self._older.get(word)
+        if value is None:
+            value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
         if len(self) >= CACHED_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+            self._older = dict(self)
+            super().clear()
+        self[word] = value
         return value
 
+    def clear(self) -> None:
+        super().clear()
+        self._older = {}
+
 
 _WORD_HASHES = WordHashes()
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import lean, with_text
+from casegrid.llm.common import lean, slices, with_text
 from casegrid.llm.subwords import subwords
 from casegrid.operators.storage import stored
 
@@ -223,7 +223,7 @@ def cut_pieces(
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, tail = subwords(tokenizer_file), np.array([end_id], "<u4").tobytes()
         part, seen = TaskContext.get().partitionId(), defaultdict(int)
-        for batch in batches:
+        for batch in slices(batches):
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = encoder.encode(text.as_py()) + tail

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casegrid.llm.common import _powers, hash_words, lean, mixed, with_text
+from casegrid.llm.common import _powers, hash_words, lean, mixed, slices, with_text
 from casegrid.operators.storage import fits_broadcast, stored
 
 SHARD_CONTEXTS = 400
@@ -150,7 +150,7 @@ _ANCHORS = "id long, row long, place int, anchor long, context long"
 
 def _anchor_rows(rows: DataFrame, least: int) -> DataFrame:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             for key, row, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 words = words_of(text.as_py())
@@ -237,7 +237,7 @@ def _by_windows(contexts: DataFrame, least: int) -> DataFrame:
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "context", "first", "start", "w0", "w1"]
-        for batch in batches:
+        for batch in slices(batches):
             words = [np.frombuffer(w.as_py(), "<u8") for w in batch.column("words")]
             parts = [_window_hashes(w, least) for w in words]
             counts = [len(p[0]) for p in parts]
@@ -320,7 +320,7 @@ def remove_repeated(
     per_row = spans.groupBy("id", "row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
 
     def removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             n_words, n_removed, out, kept = [], [], [], []
             for text, spans in zip(batch.column(2), batch.column(3).to_pylist()):
                 words = words_of(text.as_py())

@@ -19,7 +19,7 @@ from tokenizers import Tokenizer
 from casegrid.llm.common import OTHER_CACHES, forget_hashes
 
 #: Words of the newer and of the older half of the cache.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 80_000
 
 #: Letters of ASCII and Latin-1 (composed, with simple lower case), then ASCII punctuation without ' and <.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:;=-@\[-`{-~]*)")
@@ -72,32 +72,44 @@ class Subwords:
                 return _packed(self._tokenizer.encode(text, add_special_tokens=False).ids)
             lowered, rest = plain[1].lower().encode(), plain[2].encode()
         if lowered and (rest or lowered != word):
-            return self._words[lowered] + self._words[rest] if rest else self._words[lowered]
+            return self._words.composed(word, self._words[lowered] + self._words[rest] if rest else self._words[lowered])
         symbols = word.decode() if word.isascii() else "".join(map(self._symbols.__getitem__, word))
         return _packed([token.id for token in self._model.tokenize(symbols)])
 
 
 class _Words(dict):
     """The ids of words. When it is full, the words become the older half and what was there is forgotten; an older
-    word that is met again is among the newer ones."""
+    word that is met again is among the newer ones. Words put together from other words' ids are soon made again, so
+    that fewer of them are kept, apart."""
 
     def __init__(self, owner: Subwords):
         super().__init__()
-        self._owner, self._older = owner, {}
+        self._owner, self._older, self._composed = owner, {}, {}
 
     def __missing__(self, word: bytes) -> bytes:
+        ids = self._composed.get(word)
+        if ids is not None:
+            return ids
         ids = self._older.get(word)
         if ids is None:
             ids = self._owner._word(word)
+            if word in self._composed:
+                return ids
         if len(self) >= CACHED_WORDS:
             self._older = dict(self)
             super().clear()
         self[word] = ids
         return ids
 
+    def composed(self, word: bytes, ids: bytes) -> bytes:
+        if len(self._composed) >= CACHED_WORDS // 2:
+            self._composed.clear()
+        self._composed[word] = ids
+        return ids
+
     def clear(self) -> None:
         super().clear()
-        self._older = {}
+        self._older, self._composed = {}, {}
 
 
 def _packed(ids: list[int]) -> bytes:
